@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, pii, quality, simhash
+from . import decontaminate, mixing, pii, quality, simhash, tokens, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,11 +21,21 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.digest_text(F.col("base")), 256).alias("base_sha256"), pii.digest_text(F.col("spans")).alias("spans"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.verdicts(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix(docs).select("doc_id", "source", "block", "release", "deadline", "slot", "position")
@@ -42,9 +52,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op4_quality_rules, op8_mixing, op9_simhash, op10_decontaminate)
+    f.__name__: f for f in (op1_pii, op2_warc, op4_quality_rules, op7_token_counts, op8_mixing, op9_simhash, op10_decontaminate)
+}
+SQL: dict[str, str] = {
+    "op2_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+        d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS payload_digest FROM p),
+        m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS keeper FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN keeper IS NULL OR keeper = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+        FROM m""",
 }
-SQL: dict[str, str] = {}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
