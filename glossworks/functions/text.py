@@ -91,8 +91,8 @@ def batch_name(c: Column) -> Column:
 
 def text_type(c: Column) -> Column:
     """sentence: white space within, or closed by a mark; else word."""
-    t = F.trim(c)
-    return F.when(t.contains(" ") | t.rlike(r"[.!?]$"), "sentence").otherwise("word")
+    t = F.btrim(c, F.lit(" \t\r\n"))
+    return F.when(t.contains(" ") | t.rlike(r"[.!?]\z"), "sentence").otherwise("word")
 
 
 def public_name(c: Column, suffix: str = ".mp4") -> Column:
