@@ -3,9 +3,10 @@
 Fixed cut-offs judge a language or source by another's habits. Here each rule's
 measure is sketched (KLL) per language and source; the sketches merge upwards to
 a language and to everything, and a document is held against the narrowest of
-the three levels with enough documents. A limit lies far outside the middle of
-its level: the upper quartile and `spread` times the distance from the median
-to it, never below the rule's floor, so a level of clean documents rejects none.
+the three levels with enough documents. A limit lies outside the middle of its own
+level: above the upper quartile by `spread` times the distance from the median
+to it, or by the rule's margin if that is more, so that a level of documents
+much alike doesn't reject its edge.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import BLANKS, LOWER, UPPER, materialize, row_key, words
 
-#: measure: floor of its limit. A level where a share stays this low is never cut below it.
-RULES = {"symbol_share": 0.10, "dup_line_share": 0.30, "repeat_share": 0.25, "shout_share": 0.50, "word_chars_mean": 14.0}
+#: measure: least distance of its limit from the level's upper quartile.
+RULES = {"symbol_share": 0.05, "dup_line_share": 0.40, "repeat_share": 0.30, "shout_share": 0.40, "word_chars_mean": 8.0}
 LEAST_WORDS, MOST_REPEATED, WINDOW = 50, 50, 3
 #: Documents that a level needs, and the distance of its limit.
 LEAST_ROWS, SPREAD = 100, 6.0
@@ -67,9 +68,9 @@ def thresholds(rows: DataFrame, lang_col: str, source_col: str, spread: float =
 
     def limits(df: DataFrame, prefix: str) -> list[Column]:
         out = []
-        for rule, floor in RULES.items():
+        for rule, margin in RULES.items():
             q = lambda p, c=rule: F.kll_sketch_get_quantile_double(F.col(c), F.lit(p))
-            out.append(F.greatest(F.lit(floor), q(0.75) + spread * (q(0.75) - q(0.5))).alias(f"{prefix}{rule}"))
+            out.append((q(0.75) + F.greatest(F.lit(margin), spread * (q(0.75) - q(0.5)))).alias(f"{prefix}{rule}"))
         return out
 
     a = narrow.select(lang_col, source_col, F.col("n").alias("n0"), *limits(narrow, "a_"))
