@@ -133,7 +133,7 @@ def digest_text(spans: Column) -> Column:
 
 def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """docs with every span replaced by [KIND]; length_col, if there, is the new length. Overlapping spans are all covered."""
-    found = personal_data(docs, id_col, text_col).where(F.size("spans") > 0).dropDuplicates(["key"]).select(F.col("key").alias("__key"), "spans")
+    found = personal_data(docs, id_col, text_col).where(F.size("spans") > 0).dropDuplicates(["key"]).select(F.col("key").alias("__key"), F.col("spans").alias("__spans"))
     rows = docs.join(found, row_key(id_col, text_col) == F.col("__key"), "left")
     text, names = F.col(text_col), F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
@@ -143,9 +143,9 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
         more = F.struct(x["e"].alias("at"), F.concat(acc["out"], F.array(gap, F.element_at(names, x["k"] + 1))).alias("out"))
         return F.when(x["e"] <= acc["at"], acc).otherwise(more)
 
-    order = F.sort_array(F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
+    order = F.sort_array(F.transform("__spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
     masked = F.aggregate(order, start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.greatest(F.length(text) - a["at"], F.lit(0)))))
-    out = rows.withColumn(text_col, F.when(F.col("spans").isNull(), text).otherwise(masked))
+    out = rows.withColumn(text_col, F.when(F.col("__spans").isNull(), text).otherwise(masked))
     if length_col and length_col in docs.columns:
-        out = out.withColumn(length_col, F.when(F.col("spans").isNull(), F.col(length_col)).otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
+        out = out.withColumn(length_col, F.when(F.col("__spans").isNull(), F.col(length_col)).otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
     return out.select(*docs.columns)
