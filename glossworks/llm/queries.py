@@ -66,7 +66,35 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_warc, op3_secret_scan, op4_quality_rules, op5_license_scan, op6_toxicity, op7_token_counts, op8_mixing, op9_simhash, op10_decontaminate)
 }
+#: op1, op4, op6, op7, op9 and the pipeline rest on what DuckDB lacks (pattern scores, KLL sketches, learned weights, byte-pair
+#: merges, XXH64); tests hold them against brute force. op3 and op5 learn and compress.
 SQL: dict[str, str] = {
+    "op8_mixing": """
+        WITH RECURSIVE c AS (SELECT source, floor(sqrt(count(*)))::BIGINT AS w FROM documents GROUP BY source),
+        o AS (SELECT source, w, row_number() OVER (ORDER BY coalesce(source, ''), source) - 1 AS i FROM c WHERE w > 0),
+        k AS (SELECT count(*) AS n, sum(w)::BIGINT AS total, greatest(256, pow(2, ceil(log2(count(*) * 8)))::BIGINT) AS d FROM o),
+        s AS (SELECT source, i, d, 1 + ((d - n) * w) // total AS share, ((d - n) * w) % total AS rest FROM o, k),
+        f AS (SELECT source, i, d, (share + CASE WHEN row_number() OVER (ORDER BY rest DESC, i) <= d - sum(share) OVER () THEN 1 ELSE 0 END)::BIGINT AS share FROM s),
+        a AS (SELECT list(share ORDER BY i) AS sh, max(d) AS d FROM f),
+        sim AS (SELECT 0::BIGINT AS t, list_transform(sh, lambda x: 0::BIGINT) AS taken, -1::BIGINT AS pick, -1::BIGINT AS nth FROM a
+            UNION ALL SELECT t + 1, list_transform(taken, lambda x, j: x + CASE WHEN j = p % 100000 + 1 THEN 1 ELSE 0 END), p % 100000, taken[p % 100000 + 1] FROM (
+                SELECT t, taken, list_min(list_filter(list_transform(taken, lambda x, j: CASE WHEN x * d // sh[j] <= t THEN ((x + 1) * d + sh[j] - 1) // sh[j] * 100000 + j - 1 END), lambda y: y IS NOT NULL)) AS p
+                FROM sim, a WHERE t < d)),
+        r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS rn FROM documents)
+        SELECT doc_id, r.source, rn // 8 AS block, rn // 8 * d // share AS release, ((rn // 8 + 1) * d + share - 1) // share AS deadline,
+               rn // 8 // share * d + sim.t - 1 AS slot, rn % 8 AS position
+        FROM r LEFT JOIN f ON r.source IS NOT DISTINCT FROM f.source LEFT JOIN sim ON sim.pick = f.i AND sim.nth = (rn // 8) % share AND sim.t > 0""",
+    "op10_decontaminate": r"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS k, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+        b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+        wins AS (SELECT DISTINCT item_id, win, len(win) AS n FROM (SELECT item_id, list_slice(w, i, i + 9) AS win FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0))),
+        sizes AS (SELECT DISTINCT n FROM wins),
+        places AS (SELECT k, n, i, list_slice(w, i, i + n - 1) AS win FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+        found AS (SELECT k, i, places.n, item_id FROM places JOIN wins USING (win)),
+        hit AS (SELECT k, count(*) AS n_hit FROM (SELECT DISTINCT k, unnest(range(i, i + n)) AS p FROM found) GROUP BY k),
+        held AS (SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT k, item_id::VARCHAR AS item FROM found) GROUP BY k)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (k) LEFT JOIN held USING (k)""",
     "op2_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
         d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS payload_digest FROM p),
