@@ -25,11 +25,11 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Identifier-shaped strings that the rules leave: addresses with a written-out or wide at sign, IPv6 or marked-up
 #: addresses, digit groups without a plus or with other separators.
-SHAPED = r"[A-Za-z0-9._%+-]{2,64}(?:@|＠|\(at\)|\[at\]|\{at\})[A-Za-z0-9-]{1,63}(?:(?:\.|\(dot\)|\[dot\])[A-Za-z0-9-]{1,63}){0,4}|(?<![0-9A-Za-z:.])[0-9A-Fa-f]{1,4}(?::{1,2}[0-9A-Fa-f]{1,4}){3,7}|(?<![0-9A-Za-z])\(?[0-9](?:[().\x20/\x2D]{0,3}[0-9]){6,18}(?![0-9A-Za-z])"
+SHAPED = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64}+(?:@|＠|\(at\)|\[at\]|\{at\})[A-Za-z0-9-]{1,63}(?:(?:\.|\(dot\)|\[dot\])[A-Za-z0-9-]{1,63}){0,4}|(?<![0-9A-Za-z:.])[0-9A-Fa-f]{1,4}(?::{1,2}[0-9A-Fa-f]{1,4}){3,7}|(?<![0-9A-Za-z])\(?[0-9](?:[().\x20/\x2D]{0,3}[0-9]){6,18}(?![0-9A-Za-z])"
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: Rounds of scoring, seeds that a pattern needs, and the confidences from which a pattern and an instance count.
 ROUNDS, LEAST_SEEDS, PATTERN_SURE, INSTANCE_SURE = 3, 3, 0.8, 0.8
-#: Characters before a span in which its two words are looked for.
+#: Characters before a span, and after the match before it, in which its two words are looked for.
 REACH = 48
 
 
@@ -50,17 +50,34 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _matches(text: Column, pattern: str, found: str, gaps: str) -> Column:
-    """array<struct<s, e, v>> from the matches and what stands between them, in code points."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,v:string>>").alias("out"))
+def _let(value: Column, body) -> Column:
+    """body of value, which is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    def step(acc, z):
-        s = acc["at"] + F.length(z["g"])
-        e = s + F.length(z["m"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), z["m"].alias("v")))).alias("out"))
 
-    pairs = F.arrays_zip(F.slice(F.col(gaps), 1, F.size(found)).alias("g"), F.col(found).alias("m"))
-    return F.when(F.size(found) == 0, F.array().cast("array<struct<s:int,e:int,v:string>>")).otherwise(F.aggregate(pairs, start, step, lambda a: a["out"]))
+def _running(values: Column, start: Column, merge, block: int = 256) -> Column:
+    """For each value what merge makes of those before it; by sums of blocks, so that texts with very many spans stay cheap."""
+
+    def by_blocks(v: Column) -> Column:
+        sums = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / block).cast("int")), lambda c: F.aggregate(F.slice(v, c * block + 1, block), start, merge))
+
+        def one(b: Column, i: Column) -> Column:
+            c = F.floor(i / block).cast("int")
+            return F.aggregate(F.concat(F.slice(b, 1, c), F.slice(v, c * block + 1, i - c * block)), start, merge)
+
+        return _let(sums, lambda b: F.transform(v, lambda x, i: one(b, i)))
+
+    return F.when(F.size(values) == 0, F.array().cast("array<int>")).otherwise(_let(values, by_blocks))
+
+
+def _matches(found: str, gaps: str) -> Column:
+    """array<struct<s, e, v, g>> from the matches and what stands before each, in code points."""
+    before = F.slice(F.col(gaps), 1, F.size(found))
+    lengths = F.zip_with(before, F.col(found), lambda g, m: F.length(g) + F.length(m))
+    began = _running(lengths, F.lit(0), lambda a, x: a + x)
+    pairs = F.arrays_zip(before.alias("g"), F.col(found).alias("m"), began.alias("at"))
+    spans = F.transform(pairs, lambda z: F.struct((z["at"] + F.length(z["g"])).alias("s"), (z["at"] + F.length(z["g"]) + F.length(z["m"])).alias("e"), z["m"].alias("v"), z["g"].alias("g")))
+    return F.when(F.size(found) == 0, F.array().cast("array<struct<s:int,e:int,v:string,g:string>>")).otherwise(spans)
 
 
 def with_spans(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -74,9 +91,9 @@ def with_spans(docs: DataFrame, keep: list[str], text_col: str = "text") -> Data
     rows = rows.select("*", *gaps)
 
     def spans(kind: str, k: int) -> Column:
-        every = _matches(F.col("__text"), rules[kind][0], f"__m_{kind}", f"__g_{kind}")
+        every = _matches(f"__m_{kind}", f"__g_{kind}")
         good = F.filter(every, lambda x: _valid(kind, x["v"]))
-        left = lambda x: F.substring(F.col("__text"), F.greatest(x["s"] - REACH, F.lit(0)) + 1, F.least(x["s"], F.lit(REACH)))
+        left = lambda x: F.right(x["g"], F.lit(REACH))
         return F.transform(good, lambda x: F.struct(F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"), F.lower(F.regexp_extract(left(x), r"([^\s0-9]+\s+[^\s0-9]+)[\s:=(\x22]*$", 1)).alias("left")))
 
     rows = rows.select(*keep, *[spans(kind, k).alias(f"__{kind}") for k, kind in enumerate(KINDS)], spans("more", -1).alias("__more"))
@@ -136,15 +153,19 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     found = personal_data(docs, id_col, text_col).where(F.size("spans") > 0).dropDuplicates(["key"]).select(F.col("key").alias("__key"), F.col("spans").alias("__spans"))
     rows = docs.join(found, row_key(id_col, text_col) == F.col("__key"), "left")
     text, names = F.col(text_col), F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    order = F.sort_array(F.transform("__spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
 
-    def step(acc, x):
-        gap = F.substring(text, acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0)))
-        more = F.struct(x["e"].alias("at"), F.concat(acc["out"], F.array(gap, F.element_at(names, x["k"] + 1))).alias("out"))
-        return F.when(x["e"] <= acc["at"], acc).otherwise(more)
+    def rebuilt(spans: Column) -> Column:
+        covered = _running(F.transform(spans, lambda x: x["e"]), F.lit(0), lambda a, e: F.greatest(a, e))
 
-    order = F.sort_array(F.transform("__spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
-    masked = F.aggregate(order, start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.greatest(F.length(text) - a["at"], F.lit(0)))))
+        def piece(x: Column, at: Column) -> Column:
+            gap = F.substring(text, at + 1, F.greatest(x["s"] - at, F.lit(0)))
+            return F.when(x["e"] <= at, "").otherwise(F.concat(gap, F.element_at(names, x["k"] + 1)))
+
+        end = F.array_max(F.transform(spans, lambda x: x["e"]))
+        return F.concat(F.array_join(F.zip_with(spans, covered, piece), ""), F.substring(text, end + 1, F.greatest(F.length(text) - end, F.lit(0))))
+
+    masked = _let(order, rebuilt)
     out = rows.withColumn(text_col, F.when(F.col("__spans").isNull(), text).otherwise(masked))
     if length_col and length_col in docs.columns:
         out = out.withColumn(length_col, F.when(F.col("__spans").isNull(), F.col(length_col)).otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
