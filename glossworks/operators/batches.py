@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossworks.functions.common import blank_to_null, first_wins, new_rows_only, stem
+from glossworks.functions.common import blank_to_null, first_wins, new_rows_only
 from glossworks.functions.text import public_name, text_type
 
+#: Endings of file names that belong to one dictionary key, longest first; the first is the dictionary's own.
+SUFFIXES = ("_hiya_complete.mp4", "_hiya.mp4", "_hiya")
+
 
 def gloss_sources(sentence_glosses: DataFrame) -> DataFrame:
     """gloss (lower case), sentences: the distinct ones in first-seen order. sentence_glosses: sentence, gloss, seq."""
@@ -77,7 +80,7 @@ def append_named_files(files: DataFrame, texts: DataFrame, existing: DataFrame,
 
 
 def bare_key(name: Column) -> Column:
-    return F.regexp_replace(name, r"(?:_hiya_complete\.mp4|_hiya\.mp4|_hiya)$", "")
+    return F.coalesce(*[F.when(F.endswith(name, F.lit(x)), F.left(name, F.length(name) - len(x))) for x in SUFFIXES], name)
 
 
 def stable_id(key: Column, base: int = 100_000, slots: int = 27_000) -> Column:
@@ -87,7 +90,7 @@ def stable_id(key: Column, base: int = 100_000, slots: int = 27_000) -> Column:
 
 def attach_dictionary(files: DataFrame, dictionary: DataFrame) -> DataFrame:
     """name, key, word, gloss, sentenceId: a file without an entry has its key as word. dictionary: ref, word, gloss."""
-    own = dictionary.where(F.col("ref").endswith("_hiya_complete.mp4")).select(bare_key(F.col("ref")).alias("key"), F.trim("word").alias("word"), F.trim("gloss").alias("gloss"))
+    own = dictionary.where(F.col("ref").endswith(SUFFIXES[0])).select(bare_key(F.col("ref")).alias("key"), F.trim("word").alias("word"), F.trim("gloss").alias("gloss"))
     joined = files.withColumn("key", bare_key(F.col("name"))).join(own, "key", "left")
     return joined.withColumns({"word": F.coalesce(blank_to_null(F.col("word")), "key"), "gloss": F.coalesce("gloss", F.lit("")), "sentenceId": stable_id(F.col("key"))})
 
@@ -106,7 +109,3 @@ def publish_rows(results: DataFrame, annotations: DataFrame, batch: str, date: s
         F.struct(F.col("video_id").alias("src_videoId"), F.col("sentence_id").alias("src_sid"), F.col("sentence_text").alias("src_sentence"), F.col("filename").alias("src_filename")).alias("_origin"),
     )
     return new_rows_only(rows, existing, ["videoId"]).withColumn("videoFileName", public_name(F.col("videoId")))
-
-
-def origin_stem(df: DataFrame) -> DataFrame:
-    return df.withColumn("stem", stem(F.col("_origin.src_filename")))
