@@ -39,9 +39,10 @@ def build_entries(current: DataFrame, pads: DataFrame, glosses: DataFrame) -> Da
     """fileid, text (pseudo-gloss), original_text, video_name, is_pad, fallback. glosses: sentence, glosses.
 
     The pseudo-gloss is the supplied one, else the map's, else (pads only) the raw
-    text; a current row without one has a null text, see require_glosses.
+    text; a current row without one has a null text, see require_glosses. Of
+    several entries of the map for one sentence the least counts.
     """
-    own = glosses.select(sentence_key(F.col("sentence")).alias("__k"), F.lower(F.array_join("glosses", " ")).alias("__g")).dropDuplicates(["__k"])
+    own = glosses.select(sentence_key(F.col("sentence")).alias("__k"), F.lower(F.array_join("glosses", " ")).alias("__g")).groupBy("__k").agg(F.min("__g").alias("__g"))
     now = current.select("filename", F.col("sentence_text"), F.lit(None).cast("string").alias("pseudo_gloss"), F.lit(False).alias("is_pad"))
     pad = pads.select(F.format_string("pad_%05d.mp4", "idx").alias("filename"), F.col("text").alias("sentence_text"), "pseudo_gloss", F.lit(True).alias("is_pad"))
     joined = now.unionByName(pad).withColumn("__k", sentence_key(F.col("sentence_text"))).join(own, "__k", "left")

@@ -51,8 +51,9 @@ def _frames(s, d, events):
     return events.select(F.col("user_id").alias("session"), F.col("event_id").alias("frame_no"), hand.alias("hand"), F.lit(0.9).alias("head"), F.array(F.col("value"), (F.col("event_id") % 7).cast("double"), F.lit(1.0)).alias("vec"))
 
 
-WINDOWS = """k AS (SELECT user_id AS session, event_id, value, event_id % 7 AS v2, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events WHERE least(1.0, 0.7 + value / 200) >= 0.8),
-        w AS (SELECT session, n, avg(value) OVER x AS a, avg(v2) OVER x AS b FROM k WINDOW x AS (PARTITION BY session ORDER BY n ROWS BETWEEN 5 PRECEDING AND CURRENT ROW))
+VECTORS = """k AS (SELECT user_id AS session, event_id, value, event_id % 7 AS v2, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events WHERE least(1.0, 0.7 + value / 200) >= 0.8),
+        w AS (SELECT session, n, avg(value) OVER x AS a, avg(v2) OVER x AS b FROM k WINDOW x AS (PARTITION BY session ORDER BY n ROWS BETWEEN 5 PRECEDING AND CURRENT ROW))"""
+WINDOWS = f"""{VECTORS}
         SELECT session, ((n - 6) // 3)::BIGINT AS "window", (n - 3)::BIGINT AS centre, round(a, 6) AS a, round(b, 6) AS b FROM w WHERE n >= 6 AND (n - 6) % 3 = 0"""
 
 
@@ -83,9 +84,35 @@ def _tsv(s, d):
 
 def _json_map(s, d):
     place = _place(s)
-    t(s, d, "nation").groupBy("n_regionkey").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("n_name", F.array("n_nationkey"))))).alias("value")).select("value").repartition(1).write.text(place, lineSep="\n")
-    rows = s.read.text(place)  # one object a line here, one a file in the reader
-    return rows.select(F.explode(F.from_json("value", "map<string,array<int>>")).alias("key", "value")).select("key", F.get("value", F.lit(0)).alias("first"))
+    objects = t(s, d, "nation").groupBy("n_regionkey").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("n_name", F.array("n_nationkey"))))).alias("value"))
+    objects.write.partitionBy("n_regionkey").text(place)  # one object to a file
+    return io.read_json_map(s, place, "array<int>").select("key", F.get("value", F.lit(0)).alias("first"))
+
+
+def _json_array(s, d):
+    place = _place(s)
+    rows = t(s, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    arrays = rows.groupBy("c_nationkey").agg(F.to_json(F.collect_list(F.struct("c_custkey", "c_name"))).alias("value"))  # files hold what one reader takes
+    arrays.write.partitionBy("c_nationkey").text(place)
+    return io.read_json_array(s, place, rows.drop("c_nationkey").schema).select("c_custkey", "c_name")
+
+
+def _written_csv(s, d):
+    place, rows = _place(s), t(s, d, "orders").select("o_orderpriority", "o_orderkey", "o_custkey", "o_orderstatus")
+    io.write_csv(rows, place, ["o_orderkey", "o_orderstatus", "o_orderpriority"])
+    return io.read_csv(s, place, rows.select("o_orderkey", "o_orderstatus", "o_orderpriority").schema)
+
+
+def _written_jsonl(s, d):
+    place, rows = _place(s), t(s, d, "conversations").select("conv_id", "turn", "role", "text")
+    io.write_jsonl(rows, place)
+    return io.read_jsonl(s, place, rows.schema)[0]
+
+
+def _written_lines(s, d):
+    place = _place(s)
+    io.write_lines(t(s, d, "conversations"), place, "text")
+    return s.read.text(place).select(F.md5("value").alias("line"))
 
 
 def _inventory(s, d):
@@ -151,12 +178,21 @@ QUERIES = {
     "st2_stream_progress": (lambda s, d: live.run_once(live.stream_progress(_events(s, d).select(F.col("event_type").alias("status"))), _place(s), "complete"), 'SELECT event_type AS status, count(*) AS "count" FROM events GROUP BY 1'),
     "st3_stream_windows": (lambda s, d: _flat(live.stream_windows(_frames(s, d, _events(s, d)), _place(s))), f"WITH {WINDOWS}"),
     "st3_session_windows": (lambda s, d: _flat(live.session_windows(_frames(s, d, t(s, d, "events")))), f"WITH {WINDOWS}"),
-    "st3_recognize": (lambda s, d: _recognize(s, d), None),
+    "st3_recognize": (
+        lambda s, d: _recognize(s, d),
+        f"""WITH {VECTORS}, p (x, y, z, token) AS (VALUES (1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 'LOUD'), (0.0, 1.0, 0.0, 'SEVEN'), (0.3, 0.3, 0.9, 'EVEN')),
+        f AS (SELECT session || '/' || ((n - 6) // 3) AS id, (a * x + b * y + z) / (sqrt(a * a + b * b + 1) * sqrt(x * x + y * y + z * z)) AS sim, token FROM w, p WHERE n >= 6 AND (n - 6) % 3 = 0)
+        SELECT id, arg_max(token, sim) AS token, round(max(sim), 6) AS score FROM f GROUP BY id""",
+    ),
     "io1_read_jsonl": (
         lambda s, d: _jsonl(s, d),
         "SELECT event_id, event_type FROM events WHERE event_id % 10 > 1 UNION ALL SELECT count(*), 'not json' FROM events WHERE event_id % 10 = 0",
     ),
     "io2_read_json_map": (lambda s, d: _json_map(s, d), "SELECT n_name AS key, n_nationkey AS first FROM nation"),
+    "io2_read_json_array": (lambda s, d: _json_array(s, d), "SELECT c_custkey, c_name FROM customer"),
     "io3_read_tsv": (lambda s, d: _tsv(s, d), "SELECT * FROM labels"),
     "io4_file_inventory": (lambda s, d: _inventory(s, d), "SELECT DISTINCT 'dir=' || o_orderstatus AS dir, true AS found, true AS filled FROM orders"),
+    "io5_write_csv": (lambda s, d: _written_csv(s, d), "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders"),
+    "io5_write_jsonl": (lambda s, d: _written_jsonl(s, d), "SELECT conv_id, turn, role, text FROM conversations"),
+    "io5_write_lines": (lambda s, d: _written_lines(s, d), "SELECT md5(regexp_replace(text, '[\\r\\n]+', ' ', 'g')) AS line FROM conversations"),
 }

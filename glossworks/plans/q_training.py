@@ -19,10 +19,13 @@ SOURCES = "src AS (SELECT CASE WHEN seq % 4 = 1 THEN 0 WHEN seq % 4 = 2 THEN 1 E
 PADS = """fresh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lower(text) ORDER BY prio, seq) AS r FROM src WHERE trim(text) <> '' AND NOT (prio = 0 AND starts_with(path, 'word_'))) WHERE r = 1 AND lower(text) NOT IN (SELECT lower(trim(sentence_text)) FROM cur)),
         pads AS (SELECT pseudo_gloss, text, path, prio, (row_number() OVER (ORDER BY prio, seq) - 1)::INT AS idx FROM fresh ORDER BY prio, seq LIMIT greatest(0, 300 - (SELECT count(*) FROM cur)))"""
 KEY = "trim(regexp_replace(trim({c}), '[.!?\\s]+$', ''))"
-ENTRIES = f"""gm AS (SELECT {KEY.format(c='sentence_text')} AS k, min(lower(language)) AS g FROM {{manifest}} WHERE seq % 10 = 0 OR seq % 5 = 1 GROUP BY 1),
-        entries AS (SELECT fileid, coalesce(p, g, CASE WHEN is_pad THEN original_text END) AS text, original_text, video_name, is_pad, is_pad AND p IS NULL AND g IS NULL AS fallback FROM (
+MAP = f"""gm AS (SELECT {KEY.format(c='sentence_text')} AS k, min(lower(language)) AS g FROM {{manifest}} WHERE seq % 10 = 0 OR seq % 5 = 1 GROUP BY 1)"""
+JOINED = f"""entries AS (SELECT fileid, coalesce(p, g, CASE WHEN is_pad THEN original_text END) AS text, original_text, video_name, is_pad, is_pad AND p IS NULL AND g IS NULL AS fallback FROM (
         SELECT regexp_replace(filename, '\\.[^.]*$', '') AS fileid, NULL AS p, sentence_text AS original_text, filename AS video_name, false AS is_pad FROM cur
         UNION ALL SELECT format('pad_{{:05d}}', idx), pseudo_gloss, text, format('pad_{{:05d}}.mp4', idx), true FROM pads) LEFT JOIN gm ON k = {KEY.format(c='original_text')})"""
+ENTRIES = f"{MAP}, {JOINED}"
+VAL = """n AS (SELECT least(greatest(1, round_even(count(*) * 0.09, 0)), count(*) FILTER (is_pad)) AS n_val FROM entries),
+        r AS (SELECT *, is_pad AND row_number() OVER (PARTITION BY is_pad ORDER BY md5('42|' || fileid), fileid) <= (SELECT n_val FROM n) AS val FROM entries)"""
 
 
 def _pads(s, d):
@@ -82,8 +85,7 @@ QUERIES = {
     "tr3_build_entries": (lambda s, d: _entries(s, d), f"WITH {CURRENT}, {SOURCES}, {PADS}, {ENTRIES} SELECT * FROM entries"),
     "tr4_split": (
         lambda s, d: tr.split_train_val_test(_entries(s, d)).select("fileid", "is_pad", "split"),
-        f"""WITH {CURRENT}, {SOURCES}, {PADS}, {ENTRIES}, n AS (SELECT least(greatest(1, round_even(count(*) * 0.09, 0)), count(*) FILTER (is_pad)) AS n_val FROM entries),
-        r AS (SELECT fileid, is_pad, is_pad AND row_number() OVER (PARTITION BY is_pad ORDER BY md5('42|' || fileid), fileid) <= (SELECT n_val FROM n) AS val FROM entries)
+        f"""WITH {CURRENT}, {SOURCES}, {PADS}, {ENTRIES}, {VAL}
         SELECT fileid, is_pad, CASE WHEN val THEN 'val' ELSE 'train' END AS split FROM r UNION ALL SELECT fileid, is_pad, 'test' FROM r WHERE NOT is_pad""",
     ),
     "tr5_entry_tokens": (lambda s, d: tr.entry_tokens(_sentences(s, d)), f"WITH {SENT} SELECT DISTINCT unnest(tokens) AS token FROM sent"),

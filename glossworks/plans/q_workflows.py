@@ -34,11 +34,37 @@ def _w3(s, d):
     return wf.segments_to_labels(raw, s3._videos(s, d).where("total_frames > 0"), s3._augs(s).withColumn("enabled", F.lit(True)), none, s3._params(s, d), s3._map(s, d), poses, s3._prev(s, d))
 
 
+#: clauses of the conversations, their tokens, and the gloss of each; seq orders the tokens.
+W1 = f"""{g.SENTENCES}, p AS (SELECT conv_id * 1000 + turn AS id, pos, len(string_split(sentence, ' ')) AS n, sentence, list_filter(list_transform(regexp_split_to_array(sentence, '\\s*(?:[,;:]|–|—|--)\\s*'), lambda x: trim(x)), lambda x: x <> '') AS a FROM parts),
+        f AS (SELECT id, pos, a, 1 AS i, []::VARCHAR[] AS done, CAST('' AS VARCHAR) AS now FROM p WHERE n > 12
+        UNION ALL SELECT id, pos, a, i + 1, CASE WHEN now = '' OR len(string_split(now || ' ' || a[i], ' ')) <= 12 THEN done ELSE list_append(done, now) END,
+        CASE WHEN now = '' THEN a[i] WHEN len(string_split(now || ' ' || a[i], ' ')) <= 12 THEN now || ' ' || a[i] ELSE a[i] END FROM f WHERE i <= len(a)),
+        clauses AS (SELECT id, pos, 0 AS cp, sentence AS clause FROM p WHERE n <= 12
+        UNION ALL SELECT id, pos, unnest(range(len(done) + 1)), unnest(list_append(done, now)) FROM f WHERE i = len(a) + 1 AND len(a) > 0),
+        {g.RAW}, {g.TOKENS}, {g.FOUND},
+        pieces AS (SELECT id, pos, cp, clause, unnest(regexp_split_to_array(trim(clause), '\\s+')) AS raw, generate_subscripts(regexp_split_to_array(trim(clause), '\\s+'), 1) - 1 AS tp FROM clauses),
+        kept AS (SELECT * FROM (SELECT *, {g.CLEAN.format(x='raw')} AS token FROM pieces) WHERE token <> '' AND token NOT IN ({g.STOPS}) AND NOT regexp_full_match(token, '[0-9]+')),
+        own AS (SELECT k.*, ((k.id::HUGEINT * 10000 + k.pos) * 10000 + cp) * 10000 + tp AS seq,
+        upper(replace(coalesce(v1.word, v2.word, vl.m3, CASE WHEN length(k.token) % 3 = 0 THEN lem.lemma END), 'ß', 'ss')) AS gloss
+        FROM kept k LEFT JOIN lem ON lem.token = k.token LEFT JOIN v v1 ON v1.word = k.token LEFT JOIN v v2 ON v2.word = lem.lemma LEFT JOIN vl ON vl.lemma = lem.lemma)"""
+#: the manifest of approved submissions, padded with the other texts.
+W2 = f"""b AS (SELECT id, max_by(text, batch || '|' || seq) AS text FROM {{batches}} GROUP BY id),
+        cur AS (SELECT s.videoFileName AS filename, coalesce(b.text, s.sentenceText) AS sentence_text FROM {{submissions}} s LEFT JOIN b ON s.sentenceId = b.id WHERE s.source = 'submission' AND s.videoId IN (SELECT videoId FROM {{decisions}} WHERE decision = 'approved')),
+        src AS (SELECT 1 AS prio, seq, NULL::VARCHAR AS pseudo_gloss, sentence_text AS text, filename AS path FROM {{manifest}}), {tr.PADS.replace("300", "600")},
+        gm AS (SELECT {tr.KEY.format(c='text')} AS k, min('w' || id % 7 || ' w' || id % 11) AS g FROM {{batches}} GROUP BY 1), {tr.JOINED}, {tr.VAL}"""
+
 QUERIES = {
-    "w1_text_to_batch": (lambda s, d: _w1(s, d)["batch"].select("text", "type", "origin_sentence", "batch_id"), None),
-    "w1_vocabulary": (lambda s, d: _w1(s, d)["vocabulary"], None),
+    "w1_text_to_batch": (
+        lambda s, d: _w1(s, d)["batch"].select("text", "type", "origin_sentence", "batch_id"),
+        f"""WITH RECURSIVE {W1}, ws AS (SELECT lower(gloss) AS text, arg_min(clause, seq) AS origin_sentence FROM own WHERE gloss IS NOT NULL GROUP BY 1)
+        SELECT text, 'word' AS type, origin_sentence, 'b1' AS batch_id FROM ws UNION ALL SELECT DISTINCT trim(clause), 'sentence', trim(clause), 'b1' FROM clauses WHERE trim(clause) <> '' AND trim(clause) NOT IN (SELECT text FROM ws)""",
+    ),
+    "w1_vocabulary": (lambda s, d: _w1(s, d)["vocabulary"], f"WITH RECURSIVE {W1} SELECT gloss, count(*) AS freq FROM own WHERE gloss IS NOT NULL GROUP BY 1"),
     "w2_variants": (lambda s, d: _w2(s, d)["variants"], None),
-    "w2_entries": (lambda s, d: _w2(s, d)["entries"], None),
+    "w2_entries": (
+        lambda s, d: _w2(s, d)["entries"],
+        f"WITH {W2} SELECT * EXCLUDE (val), CASE WHEN val THEN 'val' ELSE 'train' END AS split FROM r UNION ALL SELECT * EXCLUDE (val), 'test' FROM r WHERE NOT is_pad",
+    ),
     "w3_labels": (lambda s, d: _w3(s, d)["labels"], f"WITH {s3.SINGLE} SELECT stem AS ref, regexp_replace(gloss, '[.,!?;:]+$', '') AS gloss FROM single WHERE gloss IS NOT NULL AND regexp_replace(gloss, '[.,!?;:]+$', '') <> ''"),
     "w3_vocabulary": (lambda s, d: _w3(s, d)["vocabulary"], f"WITH {s3.SINGLE}, {s3.VOC}, l AS (SELECT DISTINCT regexp_replace(gloss, '[.,!?;:]+$', '') AS token FROM single WHERE gloss IS NOT NULL) SELECT * FROM old UNION ALL SELECT token, (SELECT max(id) FROM old) + row_number() OVER (ORDER BY token) FROM l WHERE token <> '' AND token NOT IN (SELECT token FROM old)"),
 }
