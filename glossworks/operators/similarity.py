@@ -1,8 +1,8 @@
 """Nearest vectors by cosine.
 
 Queries are a stated set, shipped to the tasks in blocks of bounded size; every
-task multiplies its vectors with a block and keeps the best k for each query, so
-only those are shuffled.
+task multiplies its vectors with a block, some rows at a time, and keeps the best
+k for each query, so only k rows for a query and task are shuffled.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql.window import Window
 
 from glossworks.functions.common import hash_order
 
-#: Queries in a block.
-BLOCK = 4096
+#: Queries in a block, and vectors that it is multiplied with at a time.
+BLOCK, ROWS = 4096, 2048
 
 
 def _unit(rows) -> tuple[np.ndarray, np.ndarray]:
@@ -31,6 +31,20 @@ def _unit(rows) -> tuple[np.ndarray, np.ndarray]:
     return m[keep] / norms[keep, None], keep
 
 
+def _candidates(sims: np.ndarray, ids: np.ndarray, k: int, min_sim: float) -> pd.DataFrame:
+    """q, far (the order's key), id, sim of all that may be among a query's best k: those as near as its k-th, ties included."""
+    far = -np.round(sims, 12)
+    last = np.partition(far, min(k, far.shape[1]) - 1, axis=1)[:, min(k, far.shape[1]) - 1, None]
+    q, at = np.nonzero((far <= last) & (sims >= min_sim))
+    return pd.DataFrame({"q": q, "far": far[q, at], "id": ids[at], "sim": sims[q, at]})
+
+
+def _nearest(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
+    """The best k of each query; ties by id."""
+    rows = pd.concat([p for p in parts if len(p)] or parts[:1], ignore_index=True).sort_values(["q", "far", "id"], ignore_index=True)
+    return rows[rows.groupby("q").cumcount() < k]
+
+
 def top_k_similar(left: DataFrame, right: DataFrame, k: int, min_sim: float = -1.0) -> DataFrame:
     """q, id, sim, rank: for each query of left (id, vec) the k nearest rows of right (id, vec) with at least min_sim; ties by id.
 
@@ -48,17 +62,15 @@ def top_k_similar(left: DataFrame, right: DataFrame, k: int, min_sim: float = -1
 
         def near(frames: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
             names, queries = shipped.value
-            for frame in frames:
-                m, keep = _unit(frame["vec"])
-                if not len(m) or not len(names):
-                    continue
-                ids = frame["id"].to_numpy()[keep]
-                order = np.argsort(ids, kind="stable")
-                sims = (m[order] @ queries.T).T
-                best = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-                got = np.take_along_axis(sims, best, axis=1)
-                rows = pd.DataFrame({"q": np.repeat(names, best.shape[1]), "id": ids[order][best.ravel()], "sim": got.ravel()})
-                yield rows[rows["sim"] >= min_sim]
+            best = pd.DataFrame({"q": np.zeros(0, dtype=np.int64), "far": np.zeros(0), "id": [], "sim": np.zeros(0)})
+            for frame in frames if len(names) else ():
+                for start in range(0, len(frame), ROWS):
+                    part = frame.iloc[start : start + ROWS]
+                    m, keep = _unit(part["vec"])
+                    if len(m):
+                        best = _nearest([best, _candidates(queries @ m.T, part["id"].to_numpy()[keep], k, min_sim)], k)
+            if len(best):
+                yield pd.DataFrame({"q": names[best["q"]], "id": best["id"], "sim": best["sim"]})
 
         found = right.where(F.col("vec").isNotNull()).select("id", "vec").mapInPandas(near, f"q {q_type}, id {id_type}, sim double")
         out = found if out is None else out.unionByName(found)

@@ -239,3 +239,18 @@ def test_jobs(spark):
 
 def test_parameter_grid(spark):
     assert augment.param_grid(spark, {"a": [1, 2, 3], "b": list(range(10))}).count() == 30
+
+
+def test_nearest_of_many_equal_vectors_are_the_least_ids(spark):
+    right = spark.range(5000).select("id", F.when(F.col("id") % 1000 == 7, F.array(F.lit(1.0), F.lit(0.1))).otherwise(F.array(F.lit(1.0), F.lit(0.0))).alias("vec")).repartition(3)
+    left = spark.createDataFrame([(1, [2.0, 0.0]), (2, [10.0, 1.0]), (3, [0.0, 0.0])], "id long, vec array<double>")
+    got = similarity.top_k_similar(left, right, 6).collect()
+    assert sorted((r.q, r["rank"], r.id) for r in got) == [*((1, i + 1, x) for i, x in enumerate([0, 1, 2, 3, 4, 5])), *((2, i + 1, x) for i, x in enumerate([7, 1007, 2007, 3007, 4007, 0]))]
+    assert similarity.top_k_similar(left, right.where("id < 0"), 6).count() == 0
+
+
+def test_a_map_s_sentence_of_several_entries_takes_the_least(spark):
+    current = spark.createDataFrame([("sentence_1.mp4", "Go home.")], "filename string, sentence_text string")
+    pads = spark.createDataFrame([], "idx int, pseudo_gloss string, text string, path string, prio int")
+    glosses = spark.createDataFrame([("Go home", ["GO", "HOME"]), ("Go home!", ["AWAY"])], "sentence string, glosses array<string>")
+    assert [r.text for r in training.build_entries(current, pads, glosses).collect()] == ["away"]
