@@ -59,8 +59,8 @@ def require_glosses(entries: DataFrame) -> DataFrame:
 
 
 def _first_by_hash(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """key of the first n rows in seeded order: only narrow rows are ordered, and only n leave each task."""
-    return df.select(key, hash_order(seed, F.col(key)).alias("__h")).orderBy("__h", key).limit(n).select(key)
+    """Keys of the first n rows in seeded order, each once: only narrow rows are ordered, and only n leave each task."""
+    return df.select(key, hash_order(seed, F.col(key)).alias("__h")).orderBy("__h", key).limit(n).select(key).distinct()
 
 
 def split_train_val_test(entries: DataFrame, frac: float = 0.09, seed: int = 42) -> DataFrame:

@@ -254,3 +254,42 @@ def test_a_map_s_sentence_of_several_entries_takes_the_least(spark):
     pads = spark.createDataFrame([], "idx int, pseudo_gloss string, text string, path string, prio int")
     glosses = spark.createDataFrame([("Go home", ["GO", "HOME"]), ("Go home!", ["AWAY"])], "sentence string, glosses array<string>")
     assert [r.text for r in training.build_entries(current, pads, glosses).collect()] == ["away"]
+
+
+def test_repeated_variants_keep_their_number(spark):
+    made = spark.createDataFrame([(f"v{i % 30}", "A_base") for i in range(60)], "variant_id string, category string")
+    got = training.split_variants(made, frac=0.2).collect()
+    count = {s: sum(r.split == s for r in got) for s in ("train", "val", "test")}
+    assert count["val"] == count["test"] == 12 and count["train"] == 48
+
+
+def test_second_workload_by_hand(spark):
+    """Entries to variants: every choice made again row by row."""
+    import hashlib
+
+    from glossworks.plans import q_training, q_workflows
+
+    sf = "/root/testdata/sf0.001"
+    md5 = lambda *x: hashlib.md5("|".join(map(str, x)).encode()).hexdigest()
+    found = q_workflows._w2(spark, sf)
+    entries = [(r.fileid, (r.text or "").split()) for r in found["entries"].where("NOT is_pad AND split = 'test'").collect()]
+    clips = {}
+    for r in q_training._index(spark, sf).collect():
+        clips.setdefault(r.token, []).append(r)
+    usable = {token: [r for r in sorted(own, key=lambda r: (r.seq, r.name))[:5] if r.ok] for token, own in clips.items()}
+    made, built = [], {}
+    for fileid, tokens in entries:
+        made += [(fileid, "A_base")] + [(f"{fileid}_a{v}", "A_shuf") for v in range(10)]
+        for kind, many in (("B", 10), ("C", 15)):
+            for v in range(many):
+                name = f"{fileid}_{kind.lower()}v{v}"
+                order = variants.derange(tokens, 0, name) if v else tokens
+                for pos, token in enumerate(order):
+                    if own := usable.get(token):
+                        pick = own[0 if kind == "B" else int(md5(0, name, pos)[:8], 16) % len(own)]
+                        if pick.n_frames > 0:
+                            built[name] = kind
+    made += built.items()
+    first = {x for x, _ in sorted(made, key=lambda x: (md5(42, x[0]), x[0]))[: round(len(made) * 0.1)]}
+    want = sorted((x, kind, split) for x, kind in made for split in (("val", "test") if x in first else ("train",)))
+    assert sorted((r.variant_id, r.category, r.split) for r in found["variants"].collect()) == want
