@@ -13,8 +13,8 @@ BLANKS = "[\\x20\\x09-\\x0D]+"
 #: What separates words of ASCII letters, digits and anything beyond ASCII.
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows up to which a counted table is broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 500_000
+#: Measured bytes up to which a table is broadcast; beyond them the join shuffles.
+BROADCAST_BYTES = 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,9 +35,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A table for the inner side of a join: broadcast if its counted rows are few, else left to a shuffle join."""
-    return F.broadcast(df) if df.count() <= limit else df
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A table for the inner side of a join: broadcast if its rows, measured as JSON and eight bytes a column, are few bytes; else left to a shuffle join."""
+    row = F.octet_length(F.to_json(F.struct(*df.columns))) + 8 * len(df.columns)
+    return F.broadcast(df) if (df.agg(F.sum(row.cast("long"))).first()[0] or 0) <= limit else df
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:

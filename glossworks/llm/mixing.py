@@ -100,7 +100,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
     if weights is None:
         weights = default_weights(docs.groupBy(F.col(source_col).alias("source")).agg(F.count("*").alias("n")))
     slots = materialize(template(shares(weights, period)), "slots")
-    # a period's slots: as many as the number of sources asks for, whatever the rows
+    # a period's slots: as many as the number of sources asks for, whatever the rows (sources are names, at most thousands)
     of = small(slots.select(F.col("D").alias("__d"), F.col("source").alias("__src"), F.col("share").alias("__share"), F.col("nth").alias("__nth"), F.col("at").alias("__at")))
     each = small(slots.select(F.col("source").alias("__own"), F.col("share").alias("__s")).distinct())
     rows = rows.join(each, F.col(source_col).eqNullSafe(F.col("__own")), "left").withColumn("block", F.expr(f"__rn div {int(block)}"))

@@ -171,3 +171,13 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert {r.doc_id for r in out} == clean and len(out) == len(clean)
     assert next(r.text for r in out if r.doc_id == 501).endswith("mail [EMAIL] now")
 
+
+
+def test_a_side_is_broadcast_by_its_bytes(spark):
+    from glossworks.llm.common import small
+
+    def broadcasts(df):
+        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+
+    rows = spark.createDataFrame([(1, "x" * 1000), (2, None)], "id long, w string")
+    assert broadcasts(small(rows)) and broadcasts(small(rows.limit(0))) and not broadcasts(small(rows, 1000))
