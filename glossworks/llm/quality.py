@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, LOWER, UPPER, materialize, row_key, words
+from .common import BLANKS, LOWER, UPPER, materialize, row_key, small, words
 
 #: measure: least distance of its limit from the level's upper quartile.
 RULES = {"symbol_share": 0.05, "dup_line_share": 0.40, "repeat_share": 0.30, "shout_share": 0.40, "word_chars_mean": 8.0}
@@ -64,7 +64,7 @@ def thresholds(rows: DataFrame, lang_col: str, source_col: str, spread: float =
     narrow = materialize(rows.groupBy(lang_col, source_col).agg(F.count("*").alias("n"), *sketched), "sketches")
     merged = [F.kll_merge_agg_double(F.col(r)).alias(r) for r in RULES]
     by_lang = narrow.groupBy(lang_col).agg(F.sum("n").alias("n"), *merged)
-    all_rows = narrow.agg(F.sum("n").alias("n"), *merged)
+    all_rows = narrow.agg(F.sum("n").alias("n"), *merged).where("n > 0")  # an empty sketch has no quantiles
 
     def limits(df: DataFrame, prefix: str) -> list[Column]:
         out = []
@@ -81,27 +81,32 @@ def thresholds(rows: DataFrame, lang_col: str, source_col: str, spread: float =
     return joined.select(F.col(lang_col).alias("__lang"), F.col(source_col).alias("__source"), *[pick(r).alias(f"limit_{r}") for r in RULES])
 
 
-def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", spread: float = SPREAD, least_rows: int = LEAST_ROWS) -> DataFrame:
-    """id_col, key (row_key), the measures, base_failed, the rules' limits, kept of each row.
-
-    A null text counts as empty and fails the base; a null language or source is
-    a group of its own; repeated rows count as often as they come; an empty table
-    gives an empty table. Windows are compared by 64-bit hashes within one text.
-    """
-    keep = {"__id": F.col(id_col), "key": row_key(id_col, text_col), "__l0": F.col(lang_col), "__s0": F.col(source_col), "__text": F.col(text_col)}
-    rows = with_measures(docs.select(*[c.alias(k) for k, c in keep.items()]), ["__id", "key", "__l0", "__s0"], "__text")
+def _judged(docs: DataFrame, keep: dict[str, Column], text_col: str, lang_col: str, source_col: str, spread: float, least_rows: int) -> DataFrame:
+    """keep, the measures, base_failed and kept of each row; what is kept is written with the measures, so that no row has to be found again."""
+    columns = {**keep, "__l0": F.col(lang_col), "__s0": F.col(source_col), "__text": F.col(text_col)}
+    rows = with_measures(docs.select(*[c.alias(k) for k, c in columns.items()]), [*keep, "__l0", "__s0"], "__text")
     rows = _shares(materialize(rows, "measures"))
     base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    limits = thresholds(rows, "__l0", "__s0", spread, least_rows)
+    limits = small(materialize(thresholds(rows, "__l0", "__s0", spread, least_rows), "limits"))
     within = F.lit(True)
     for rule in RULES:
         within = within & (F.col(rule) <= F.col(f"limit_{rule}"))
-    # one row for each language and source, so Spark's own size check decides on a broadcast
     joined = rows.join(limits, F.col("__l0").eqNullSafe(F.col("__lang")) & F.col("__s0").eqNullSafe(F.col("__source")), "left")
-    return joined.select(F.col("__id").alias(id_col), "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & within).alias("kept"))
+    return joined.withColumns({"base_failed": base, "kept": ~base & within})
+
+
+def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", spread: float = SPREAD, least_rows: int = LEAST_ROWS) -> DataFrame:
+    """id_col, key (row_key), the measures, base_failed, kept of each row.
+
+    A null text counts as empty and fails the base; a null language or source is
+    a group of its own; repeated rows count as often as they come; an empty table
+    gives an empty table. Windows are compared by 64-bit hashes within one text.
+    """
+    found = _judged(docs, {"__id": F.col(id_col), "key": row_key(id_col, text_col)}, text_col, lang_col, source_col, spread, least_rows)
+    return found.select(F.col("__id").alias(id_col), "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The documents that verdicts() keeps, as they are."""
-    bad = verdicts(docs, id_col, text_col, lang_col, source_col).where(~F.col("kept")).select(F.col("key").alias("__key")).distinct()
-    return docs.join(bad, row_key(id_col, text_col) == F.col("__key"), "left_anti")
+    """The documents that verdicts() keeps, as they are; texts are written once and never shuffled."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return _judged(docs, {"__row": whole}, text_col, lang_col, source_col, SPREAD, LEAST_ROWS).where("kept").select("__row.*")
