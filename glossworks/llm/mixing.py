@@ -32,9 +32,13 @@ def default_weights(counts: DataFrame) -> DataFrame:
     return counts.select("source", F.floor(F.sqrt(F.col("n").cast("double"))).cast("long").alias("weight"))
 
 
-def shares(weights: DataFrame, period: int = PERIOD) -> DataFrame:
-    """One row: D and sources, an array of (source, share), by largest remainder; each share is at least one."""
+def shares(weights: DataFrame, period: int | None = PERIOD) -> DataFrame:
+    """One row: D and sources, an array of (source, share), by largest remainder; each share is at least one. No period: D is the
+    sum of the weights and each share its weight, with nothing rounded."""
     whole = weights.where("weight > 0").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("name"), "source", "weight"))).alias("w"))
+    if period is None:
+        total = F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a + x["weight"])
+        return whole.select(total.alias("D"), F.transform("w", lambda x: F.struct(x["source"].alias("source"), x["weight"].cast("long").alias("share"))).alias("sources"))
     sized = whole.select("w", F.greatest(F.lit(period), F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.size("w") * 8, F.lit(1)))))).cast("long").alias("D"), F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a + x["weight"]).alias("total"))
     # one slot each, the rest in proportion
     given = sized.select("D", F.transform("w", lambda x, i: F.struct(x["source"].alias("source"), i.alias("i"), x["weight"].alias("weight"))).alias("w"), "total", (F.col("D") - F.size("w")).alias("rest"))
@@ -86,14 +90,16 @@ def numbered(docs: DataFrame, id_col: str, source_col: str) -> DataFrame:
     return joined.withColumn("__rn", (F.col("__before") + F.col("__rn") - 1).cast("long")).drop("__md5", "__part", "__source", "__p", "__before")
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, period: int = PERIOD) -> DataFrame:
+def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, period: int | None = PERIOD) -> DataFrame:
     """docs with block (number within its source), release, deadline, slot, position; columns of these names give way.
 
     Reading by slot, then position, gives the mixture. All rows are returned: a
     source that ends early leaves its later slots free, one without a weight (or
     with none above 0) has null in the added columns. A null source is a source of
     its own, null ids come in md5('') order; an empty table gives an empty table.
-    weights: source, weight (long); null: default_weights.
+    weights: source, weight (long); null: default_weights. period: null keeps to the weights
+    themselves however many rows there are, over as many slots as they sum to; else they are
+    rounded to shares of the period, and what that rounds off adds up from period to period.
     """
     docs = docs.drop("block", "release", "deadline", "slot", "position")
     rows = numbered(docs, id_col, source_col)
