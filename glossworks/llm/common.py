@@ -41,6 +41,19 @@ def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if (df.agg(F.sum(row.cast("long"))).first()[0] or 0) <= limit else df
 
 
+def most_frequent(counted: DataFrame, limit: int, n: str = "n") -> DataFrame:
+    """The rows of the highest counts, at most limit of them: all beyond a count that a histogram of powers of 2^(1/16) gives."""
+    step = F.floor(F.log2(F.col(n)) * 16)
+    bars = counted.where(F.col(n) > 0).groupBy(step.alias("step")).agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect()  # about a thousand at most
+    taken, least = 0, None
+    for bar in bars:
+        taken += bar["rows"]
+        if taken > limit:
+            break
+        least = bar["step"]
+    return counted.where(F.lit(False)) if least is None else counted.where((F.col(n) > 0) & (step >= least))
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """Rows of equal id and text are the same document wherever they are joined by this key."""
     return F.xxhash64(F.col(id_col), F.col(text_col))

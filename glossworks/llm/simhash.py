@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import similar
 from .common import materialize, row_key
 from .graph import components
 
@@ -213,14 +214,14 @@ def links(fps: DataFrame) -> DataFrame:
     return met.where(F.col("b").isNotNull()).unionByName(near).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """id_col, key (row_key), fp, root (of its group: a fingerprint), component_id (least id of the group) of each row.
 
     Null and blank texts have fingerprint 0 and link like any other. Rows that
     repeat an id are all returned; null ids never name a component unless all
     of its ids are null. An empty table gives an empty table.
     """
-    rows = materialize(with_fingerprints(docs, id_col, text_col), "simhash-rows")
+    rows = materialize(with_fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
     fps = materialize(rows.groupBy("fp").agg(F.min(id_col).alias("least")), "simhash-fps")
     roots = components(materialize(links(fps), "simhash-links"))
     linked = roots.join(fps.withColumnRenamed("fp", "node"), "node")
@@ -230,9 +231,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(materialize(every, "simhash-groups"), "fp").select(id_col, "key", "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each group: the one of the least id (of several, that of the least key; a null id comes last)."""
-    found = near_duplicates(docs, id_col, text_col)
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, least: float | None = None) -> DataFrame:
+    """docs with one row of each group: the one of the least id (of several, that of the least key; a null id comes last).
+
+    Groups are linked over fingerprints within the threshold; with least, over texts
+    that share that part of their shingles. Sets of similarity 0.8 differ in about ten
+    bits of 64, where no covering code finds every pair with few copies, so that these
+    groups come from the prefix join of similar.py.
+    """
+    if least is not None:
+        return similar.keep_one(docs, id_col, text_col, shingle, least)
+    found = near_duplicates(docs, id_col, text_col, shingle)
     first = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("key").alias("k"))
     stay = found.groupBy("root").agg(F.min(first).alias("x")).select(F.col("x.k").alias("__key"))
     rows = docs.withColumn("__key", row_key(id_col, text_col)).join(stay, "__key", "left_semi")

@@ -119,3 +119,25 @@ def pfair(shares, period):
         out.append(min(ready)[1])
         taken[out[-1]] += 1
     return out
+
+
+def five_words(text):
+    words = (text or "").lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def near_copies(texts):
+    """Place -> least place reachable over pairs of similarity 0.8 or more."""
+    sets, root = [five_words(t) for t in texts], list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or (a and sets[j] and 5 * len(a & sets[j]) >= 4 * len(a | sets[j])):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return [find(i) for i in range(len(texts))]

@@ -164,8 +164,8 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(ITEMS[:1], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     good = [r for r in rows if not brute.quality(r[1])["base_failed"]]
-    groups = brute.components([(r[0], brute.fingerprint(r[1])) for r in good])
-    one = [r for r in good if groups[r[0]] == r[0]]
+    groups = brute.near_copies([r[1] for r in good])
+    one = [r for i, r in enumerate(good) if groups[i] == i]
     clean = {r[0] for r, c in zip(one, brute.contamination([(r[0], r[1]) for r in one], ITEMS[:1]), strict=True) if not c[5]}
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in out} == clean and len(out) == len(clean)
