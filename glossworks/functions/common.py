@@ -1,8 +1,11 @@
-"""Winners by an explicit order, rows that are new, seeded orders, keys of file names."""
+"""Winners by an explicit order, rows that are new, seeded orders, names that contain others, shared tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -45,9 +48,53 @@ def stem(name: Column) -> Column:
     return F.regexp_replace(file_name(name), r"\.[^.]*$", "")
 
 
-def base_stem(name: Column) -> Column:
-    """The original stem that the grammar of derived names keeps in front: word_<x>, sentence_<n>, or what precedes _seg<nnn>_."""
-    s = F.regexp_replace(stem(name), r"_seg[0-9]{3}_.*$", "")
-    sentence = F.regexp_extract(s, r"(sentence_[0-9]+)", 1)
-    word = F.regexp_extract(s, r"(word_[A-Za-z0-9]+)", 1)
-    return F.when(sentence != "", sentence).when(word != "", word).otherwise(s)
+#: Characters of the keys by which contained stems are found.
+GRAM = 8
+
+
+def _grams(c: Column, size: int) -> Column:
+    """The pieces of size characters of a text (of a shorter one, itself)."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - size + 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(size))))
+
+
+def contained(names: DataFrame, stems: DataFrame) -> DataFrame:
+    """name, stem: every stem that is a part of a name. names: name; stems: stem; blank stems are in no name.
+
+    A stem is looked up by the rarest of its pieces of GRAM characters, a shorter
+    one by itself, so names meet only stems that they share such a piece with.
+    """
+    own = stems.select("stem").where("stem <> ''").distinct()
+    pieces = own.select("stem", F.explode(_grams(F.col("stem"), GRAM)).alias("gram"))
+    rare = pieces.join(pieces.groupBy("gram").count(), "gram").groupBy("stem").agg(F.min_by("gram", F.struct("count", "gram")).alias("gram"))
+    sizes = {GRAM} | {r[0] for r in own.where(F.length("stem") < GRAM).select(F.length("stem")).distinct().collect()}  # at most eight numbers
+    every = F.array_distinct(F.concat(*[_grams(F.col("name"), n) for n in sorted(sizes)]))
+    met = names.select("name").where("name <> ''").distinct().select("name", F.explode(every).alias("gram")).join(rare, "gram")
+    return met.where(F.contains("name", "stem")).select("name", "stem")
+
+
+#: Measured bytes up to which a table is broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a hint to broadcast it if its rows, measured as JSON and eight bytes a column, are few bytes."""
+    row = F.octet_length(F.to_json(F.struct(*df.columns))) + 8 * len(df.columns)
+    return F.broadcast(df) if (df.agg(F.sum(row.cast("long"))).first()[0] or 0) <= limit else df
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where none is set and all runs on one machine."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.glossworks.shared.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="glossworks-")
+        spark.conf.set("spark.glossworks.shared.dir", found)
+    return found
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Writes df as a table in the shared folder and reads it again: cuts the lineage, survives lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/glossworks-{label}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

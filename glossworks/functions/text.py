@@ -10,24 +10,25 @@ from pyspark.sql import functions as F
 #: Contraction endings, longest first, and what they stand for.
 CONTRACTIONS = (("n't", " not"), ("'re", " are"), ("'ve", " have"), ("'ll", " will"), ("'d", " would"), ("'m", " am"), ("'s", " is"))
 #: Words that carry no gloss.
-STOP_WORDS = tuple(
-    """a an the is are was were am be been being have has had do does did will would could should shall may might can must
-    i me my mine we us our ours you your yours he him his she her hers it its they them their theirs this that these those
-    and but or nor so yet for in on at to of by with from up as into about between through after before not no if then than
-    when while who whom which what where how all each every both few more most some any such only own same too very just also
-    now here there""".split()
-)
+STOP_WORDS = (
+    "a", "an", "the", "is", "are", "was", "were", "am", "be", "been", "being", "have", "has", "had", "do", "does", "did", "will", "would", "could", "should", "shall", "may", "might", "can", "must",
+    "i", "me", "my", "mine", "we", "us", "our", "ours", "you", "your", "yours", "he", "him", "his", "she", "her", "hers", "it", "its", "they", "them", "their", "theirs", "this", "that", "these", "those",
+    "and", "but", "or", "nor", "so", "yet", "for", "in", "on", "at", "to", "of", "by", "with", "from", "up", "as", "into", "about", "between", "through", "after", "before", "not", "no", "if", "then", "than",
+    "when", "while", "who", "whom", "which", "what", "where", "how", "all", "each", "every", "both", "few", "more", "most", "some", "any", "such", "only", "own", "same", "too", "very", "just", "also",
+    "now", "here", "there",
+)
 MAX_WORDS = 12
 
 
 def normalize_unicode(c: Column) -> Column:
     """Curly quotes, dashes, ellipsis and no-break space as ASCII."""
-    plain = F.translate(c, "‘’‚“”„–— ", "'''\"\"\"-- ")
+    plain = F.translate(c, "‘’“”–—\xa0", "''\"\"-- ")
     return F.replace(plain, F.lit("…"), F.lit("..."))
 
 
 def expand_contractions(c: Column) -> Column:
-    return reduce(lambda t, x: F.regexp_replace(t, rf"(?i){x[0]}\b", x[1]), CONTRACTIONS, c)
+    """didn't: did not; in any case, wherever an ending stands, with straight or curly apostrophes."""
+    return reduce(lambda t, x: F.regexp_replace(t, f"(?i){x[0]}", x[1]), CONTRACTIONS, F.translate(c, "‘’", "''"))
 
 
 def split_sentences(df: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -63,7 +64,12 @@ def clean_token(c: Column) -> Column:
 def content_tokens(df: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
     """keep, pos, token: cleaned tokens but stop words and plain numbers; pos counts every token from 0."""
     tokens = df.select(*keep, F.posexplode(F.split(F.trim(F.col(text_col)), r"\s+")).alias("pos", "raw")).withColumn("token", clean_token(F.col("raw")))
-    return tokens.where((F.col("token") != "") & ~F.col("token").isin(*STOP_WORDS) & ~F.col("token").rlike(r"^[0-9]+$")).drop("raw")
+    return content_words(tokens).drop("raw")
+
+
+def content_words(tokens: DataFrame) -> DataFrame:
+    """The rows whose token is neither blank nor a stop word nor a plain number."""
+    return tokens.where((F.col("token") != "") & ~F.col("token").isin(*STOP_WORDS) & ~F.col("token").rlike(r"^[0-9]+$"))
 
 
 def clean_id(c: Column) -> Column:

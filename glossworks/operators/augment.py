@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from glossworks.functions.common import hash_order
+from glossworks.functions.common import hash_order, small
 
 TYPES = ("2d_cv", "temporal", "3d_views", "identity")
 
 
 def plan_augment(videos: DataFrame, augs: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """stem, aug_name, out of what is still to be made, and one row: cached, new. videos: stem; augs (a short list): aug_name, enabled; existing: out."""
-    jobs = videos.select("stem").distinct().crossJoin(F.broadcast(augs.where("enabled").select("aug_name").distinct().limit(1000)))  # a configuration names tens
+    """stem, aug_name, out of what is still to be made, and one row: cached, new. videos: stem; augs: aug_name, enabled; existing: out."""
+    jobs = videos.select("stem").distinct().crossJoin(small(augs.where("enabled").select("aug_name").distinct()))
     jobs = jobs.withColumn("out", F.concat("aug_name", F.lit("/"), "stem", F.lit(".mp4")))
     marked = jobs.join(existing.select("out").distinct().withColumn("there", F.lit(True)), "out", "left")
     return marked.where("there IS NULL").select("stem", "aug_name", "out"), marked.agg(F.count_if("there").alias("cached"), F.count_if(F.col("there").isNull()).alias("new"))
@@ -24,20 +24,20 @@ def plan_render(tracked: DataFrame, config: DataFrame) -> DataFrame:
 
     config: one row with viewpoints: array<struct<name, yaw, pitch, zoom>>, templates: array<struct<template_dir, enabled, viewpoints>>.
     """
-    one = F.broadcast(config.limit(1))
+    one = F.broadcast(config.limit(1))  # the one row
     views = tracked.select("stem").crossJoin(one.select(F.inline("viewpoints"))).select(F.lit("fixed_viewpoint").alias("type"), "stem", F.concat_ws("_", "stem", "name").alias("save_name"), "yaw", "pitch", "zoom")
     label = F.substring(F.replace(F.replace("template_dir", F.lit(".jpeg"), F.lit("")), F.lit(" "), F.lit("_")), 1, 20)
     tpl = one.select(F.inline("templates")).where("enabled").select(label.alias("label"), F.inline("viewpoints"))
     plain = F.col("name") == "original"
     named = F.concat(F.lit("x_"), "stem", F.lit("_"), "label", F.when(plain, "").otherwise(F.concat(F.lit("_"), "name")))
     turned = [F.when(~plain, F.col(c)).alias(c) for c in ("yaw", "pitch", "zoom")]
-    return views.unionByName(tracked.select("stem").crossJoin(F.broadcast(tpl)).select(F.lit("cross_reenact").alias("type"), "stem", named.alias("save_name"), *turned))
+    return views.unionByName(tracked.select("stem").crossJoin(small(tpl)).select(F.lit("cross_reenact").alias("type"), "stem", named.alias("save_name"), *turned))
 
 
 def plan_combined(views: DataFrame, augs: DataFrame, n: int = 5, seed: int = 0) -> DataFrame:
     """name, aug_name: n seeded augmentations of each word view whose viewpoint moves on two axes or more. views: name, viewpoint; augs: aug_name."""
     axes = sum(F.col("viewpoint").contains(k).cast("int") for k in ("yaw_", "pitch_", "zoom_"))
-    rows = views.where(F.col("name").startswith("word_") & (axes >= 2)).crossJoin(F.broadcast(augs.select("aug_name").distinct().limit(1000)))
+    rows = views.where(F.col("name").startswith("word_") & (axes >= 2)).crossJoin(small(augs.select("aug_name").distinct()))
     ranked = rows.withColumn("__r", F.row_number().over(Window.partitionBy("name", "viewpoint").orderBy(hash_order(seed, F.col("name"), F.col("viewpoint"), F.col("aug_name")))))
     return ranked.where(F.col("__r") <= n).select("name", "viewpoint", "aug_name")
 
@@ -58,9 +58,12 @@ def augment_totals(summary: DataFrame) -> DataFrame:
     return rows.withColumn("total", sum(F.col(k) for k in TYPES))
 
 
-def param_grid(spark, lists: dict[str, list]) -> DataFrame:
-    """Every combination of the parameters' values."""
+def param_grid(spark: SparkSession, lists: dict[str, list | DataFrame]) -> DataFrame:
+    """Every combination of the parameters' values: lists, or the distinct values of a table's first column."""
     df = spark.range(1).drop("id")
     for name, values in lists.items():
-        df = df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
+        if isinstance(values, DataFrame):
+            df = df.crossJoin(small(values.select(F.col(values.columns[0]).alias(name)).distinct()))
+        else:
+            df = df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
     return df

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossworks.functions.text import clean_token
+from glossworks.functions.text import clean_token, normalize_unicode
 
 #: Part-of-speech tags whose unmatched words are kept.
 KEPT_TAGS = ("NOUN", "PROPN", "VERB", "ADJ", "ADV", "NUM", "PRON")
@@ -21,13 +23,16 @@ def tokenize_with_phrases(df: DataFrame, keep: list[str], phrases: DataFrame, te
     few); the greedy choice then needs only the phrases found in the row.
     """
     words = F.filter(F.transform(F.split(F.lower(F.trim(F.col(text_col))), r"\s+"), clean_token), lambda w: w != "")
-    rows = df.select(*keep, words.alias("__w")).withColumn("__row", F.xxhash64(F.to_json(F.struct(*keep))))
+    rows = df.select(*keep, words.alias("__w"))
     grams = F.flatten(
         F.transform(F.sequence(F.lit(2), F.lit(longest)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size("__w") - n + 1, F.lit(1))), lambda i: F.array_join(F.slice("__w", i, n), " ")))
     )
     many = phrases.where(F.col("phrase").contains(" ")).select("phrase").distinct()
-    found = rows.select(*keep, F.explode(F.array_distinct(grams)).alias("phrase")).join(many, "phrase").groupBy(*keep).agg(F.collect_set("phrase").alias("__p"))  # at most those of one sentence
-    rows = rows.drop("__row").join(found, keep, "left").withColumn("__p", F.coalesce("__p", F.array().cast("array<string>")))
+    # rows whose keys are equal, nulls too, share what was found in them: at most the phrases of their sentences
+    own = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keep)]
+    found = rows.select(*own, F.explode(F.array_distinct(grams)).alias("phrase")).join(many, "phrase").groupBy(*[f"__k{i}" for i in range(len(keep))]).agg(F.collect_set("phrase").alias("__p"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keep)])
+    rows = rows.join(found, same, "left").withColumn("__p", F.coalesce("__p", F.array().cast("array<string>")))
     start = F.struct(F.lit(0).alias("skip"), F.array().cast("array<struct<pos:int,token:string>>").alias("out"))
 
     def step(acc, i):
@@ -90,17 +95,19 @@ def gloss_descriptions(matches: DataFrame, dictionary: DataFrame) -> DataFrame:
     return rows.groupBy("gloss").agg(F.min_by("description", F.struct("seq", "description")).alias("description"))
 
 
-def match_report(tokens: DataFrame, found: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """A row for each distinct word over all files: status, match, count, the first sentence, the files joined by "; ".
+def match_report(tokens: DataFrame, found: DataFrame, dictionary: DataFrame, threshold: float = SEMANTIC) -> DataFrame:
+    """A row for each distinct word over all files: status, match, count, the first sentence (in ASCII marks), the files joined by "; ".
 
-    tokens: token, file, sentence, seq (orders files and sentences); found: as of lookup_vocab; dictionary: word, ref, gloss.
+    tokens: token, file, sentence, seq (orders files and sentences); found: as of lookup_vocab; dictionary: word, ref, gloss. A word
+    found with less confidence than the threshold is unmatched and keeps the confidence.
     """
+    found = found.withColumns({c: F.when(F.col("confidence") >= threshold, F.col(c)) for c in ("match_type", "matched_to")})
     words = tokens.groupBy("token").agg(F.count("*").alias("count"), F.min_by("sentence", F.struct("seq", "sentence")).alias("source_sentence"), F.array_join(F.sort_array(F.collect_set("file")), "; ").alias("source_file"))
     entries = dictionary.groupBy(F.lower("word").alias("matched_to")).agg(F.min_by(F.struct("ref", "gloss"), F.struct("ref", "gloss")).alias("e"))
     joined = words.join(found, "token", "left").join(entries, "matched_to", "left")
     return joined.select(
         F.col("token").alias("word"), F.when(F.col("matched_to").isNotNull(), "matched").otherwise("unmatched").alias("status"), F.coalesce("match_type", F.lit("")).alias("match_type"), F.round("confidence", 2).alias("confidence"),
-        F.coalesce("matched_to", F.lit("")).alias("matched_to"), F.coalesce("e.ref", F.lit("")).alias("ref"), F.coalesce("e.gloss", F.lit("")).alias("gloss"), "count", "source_sentence", "source_file",
+        F.coalesce("matched_to", F.lit("")).alias("matched_to"), F.coalesce("e.ref", F.lit("")).alias("ref"), F.coalesce("e.gloss", F.lit("")).alias("gloss"), "count", normalize_unicode(F.trim("source_sentence")).alias("source_sentence"), "source_file",
     )
 
 

@@ -17,11 +17,26 @@ def run_report(results: DataFrame) -> DataFrame:
     return one.withColumns({"total_generated": made, "total_excluded": F.col("skipped_short") + F.col("failed"), "avg_seconds": F.round(F.coalesce("__s", F.lit(0.0)) / F.greatest(F.lit(1), made), 1)}).drop("__s")
 
 
+#: Names that bound the parts in which names are ranked: a power of two less one.
+BOUNDS = 1023
+
+
 def batch_todo(files: DataFrame, done: DataFrame, size: int = 200) -> DataFrame:
-    """name, batch (from 1) of what isn't done, in name order. Names are ranked by parts of their order, not in one task."""
-    rest = files.select("name").distinct().join(done.select("name").distinct(), "name", "left_anti").withColumn("lead", F.substring("name", 1, 12))
-    sizes = rest.groupBy("lead").count().withColumn("before", F.coalesce(F.sum("count").over(Window.orderBy("lead").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ranked = rest.withColumn("r", F.row_number().over(Window.partitionBy("lead").orderBy("name"))).join(sizes.select("lead", "before"), "lead")
+    """name, batch (from 1) of what isn't done, in name order.
+
+    Names are ranked in parts of about equal size; the bounds of the parts are
+    BOUNDS of the names, taken by hash. They set the sizes, never the result.
+    """
+    rest = files.select("name").where("name IS NOT NULL").distinct().join(done.select("name").distinct(), "name", "left_anti")
+    bounds = sorted((r.name for r in rest.orderBy(F.xxhash64("name"), "name").limit(BOUNDS).collect()), key=lambda n: n.encode())
+    known, steps = F.array(*[F.lit(b) for b in bounds]).cast("array<string>"), [F.lit(1 << i) for i in reversed(range(BOUNDS.bit_length()))]
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when(F.coalesce(F.get(known, at + step - 1) <= F.col("name"), F.lit(False)), at + step).otherwise(at)
+
+    rest = rest.withColumn("part", F.aggregate(F.array(*steps), F.lit(0), further))
+    sizes = rest.groupBy("part").count().withColumn("before", F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row for each part
+    ranked = rest.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy("name"))).join(F.broadcast(sizes.select("part", "before")), "part")
     return ranked.select("name", (F.floor((F.col("before") + F.col("r") - 1) / size) + 1).cast("long").alias("batch"))
 
 
@@ -31,18 +46,28 @@ def progress_by_batch(log: DataFrame) -> DataFrame:
     return log.groupBy("batch").agg(*count).unionByName(log.agg(F.lit(None).cast(log.schema["batch"].dataType).alias("batch"), *count))
 
 
-def upsert_jobs(existing: DataFrame, incoming: DataFrame, key: str = "job_id") -> tuple[DataFrame, DataFrame]:
-    """The table after the upsert (a known job keeps its created_at), and one row: inserted, updated, skipped (incoming rows without an output)."""
+#: What an update sets; the rest of a known job stays as it is.
+UPDATED = ("status", "source_video_path", "generated_video_path", "sentence_text", "created_at", "updated_at")
+
+
+def upsert_jobs(existing: DataFrame, incoming: DataFrame, key: str = "job_id", order: list[str] | None = None, updated: tuple[str, ...] = UPDATED) -> tuple[DataFrame, DataFrame]:
+    """The table after incoming rows were upserted one after the other by order, and one row: inserted, updated, skipped (rows without an output).
+
+    A new job is inserted by its first row; each further row of its id, and every
+    row of a known one, is an update and sets the updated columns (created_at
+    too, so that a job that ran again comes first in listings). order: null, the
+    updated columns, so that equal rows may come in any order.
+    """
     usable = incoming.where("generated_video_path IS NOT NULL")
     rest = [c for c in existing.columns if c != key]
-    a = existing.select(key, F.struct(*rest).alias("a"))
-    b = usable.select(key, F.struct(*rest).alias("b"))
-    both = a.join(b, key, "full_outer")
-    take = lambda c: F.coalesce(f"a.{c}", f"b.{c}") if c == "created_at" else F.when(F.col("b").isNotNull(), F.col(f"b.{c}")).otherwise(F.col(f"a.{c}"))
-    merged = both.select(key, *[take(c).alias(c) for c in rest])
-    counts = both.agg(F.count_if(F.col("a").isNull()).alias("inserted"), F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("updated"))
+    at = F.struct(*(order or [c for c in rest if c in updated]))
+    own = usable.groupBy(key).agg(F.min_by(F.struct(*rest), at).alias("first"), F.max_by(F.struct(*rest), at).alias("last"), F.count("*").alias("n"))
+    both = existing.select(key, F.struct(*rest).alias("a")).join(own, key, "full_outer")
+    known, new = F.col("a").isNotNull(), F.col("n").isNotNull()
+    take = lambda c: F.when(new & F.lit(c in updated), F.col(f"last.{c}")).when(known, F.col(f"a.{c}")).otherwise(F.col(f"first.{c}"))
+    counts = both.agg(F.count_if(~known).alias("inserted"), (F.coalesce(F.sum("n"), F.lit(0)) - F.count_if(~known)).alias("updated"))
     skipped = incoming.agg(F.count_if(F.col("generated_video_path").isNull()).alias("skipped"))
-    return merged, counts.join(F.broadcast(skipped))  # one row each
+    return both.select(key, *[take(c).alias(c) for c in rest]), counts.join(F.broadcast(skipped))  # one row each
 
 
 def failures(results: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossworks.functions.common import base_stem, blank_to_null, last_wins, stem
+from glossworks.functions.common import blank_to_null, last_wins, stem
+from glossworks.operators.segments import match_original
 
 STATUSES = ("approved", "rejected")
 
@@ -140,9 +141,10 @@ def play_plan(glosses: DataFrame, index: DataFrame, letters: DataFrame) -> DataF
 
 
 def attach_by_stem(files: DataFrame, annotations: DataFrame) -> DataFrame:
-    """Derived files with the text of the original whose stem their names are built on."""
-    own = annotations.select(stem(F.col("filename")).alias("__stem"), "sentence_text")
-    return files.withColumn("__stem", base_stem(F.col("name"))).join(own, "__stem", "left").withColumnRenamed("__stem", "stem")
+    """files (name) with stem and sentence_text of the longest annotated stem that a name contains; null where there is none."""
+    own = annotations.groupBy(stem(F.col("filename")).alias("stem")).agg(F.min("sentence_text").alias("sentence_text"))
+    found = match_original(files, own.withColumn("seq", F.lit(0)))
+    return files.join(found, "name", "left").join(own, "stem", "left").select(*files.columns, "stem", "sentence_text")
 
 
 def gloss_video_db(clips: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossworks.functions.common import base_stem, stem
+from glossworks.functions.common import contained, stem
 
 #: Frame rates whose ratio rendered views are slowed by.
 RENDER_RATIO = 30 / 25
@@ -35,24 +35,11 @@ def clips(segments: DataFrame, videos: DataFrame) -> DataFrame:
 
 
 def match_original(files: DataFrame, stems: DataFrame, how: str = "longest") -> DataFrame:
-    """name, stem: the original that a derived file's name contains; the longest, or by how="first" the first by seq.
-
-    The grammar of names gives most keys, which join by equality; only files
-    that it leaves are held against every stem they contain, by their prefixes
-    and pieces. With "first" the grammar doesn't decide, so all are held.
-    """
-    own = stems.select(F.col("stem"), "seq")
-    parsed = files.withColumn("__k", base_stem(F.col("name")))
-    hit = parsed.join(own.select(F.col("stem").alias("__k")).distinct(), "__k").select("name", F.col("__k").alias("stem")) if how == "longest" else None
-    rest = files.select("name") if hit is None else files.select("name").join(hit.select("name").distinct(), "name", "left_anti")
-    # every piece of a name between underscores is a candidate key: names are short, so pieces are few
-    parts = F.split(stem(F.col("name")), "_")
-    n = F.size(parts)
-    pieces = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.array_join(F.slice(parts, i, k), "_"))))
-    found = rest.select("name", F.explode(F.array_distinct(pieces)).alias("stem")).join(own, "stem")
+    """name, stem: the original that a derived file's name contains; the longest, or by how="first" the first by seq."""
     best = F.max_by("stem", F.struct(F.length("stem"), "stem")) if how == "longest" else F.min_by("stem", F.struct("seq", "stem"))
-    other = found.groupBy("name").agg(best.alias("stem"))
-    return other if hit is None else hit.unionByName(other)
+    own = files.select("name", stem(F.col("name")).alias("__s")).distinct()
+    found = contained(own.select(F.col("__s").alias("name")), stems).withColumnRenamed("name", "__s")
+    return own.join(found.join(stems.select("stem", "seq"), "stem"), "__s").groupBy("name").agg(best.alias("stem"))
 
 
 def scale_segments(segments: DataFrame, variants: DataFrame, params: DataFrame) -> DataFrame:
@@ -85,20 +72,26 @@ def training_names(files: DataFrame) -> DataFrame:
 
 
 def single_gloss(poses: DataFrame, gloss_map: DataFrame, labels: DataFrame) -> DataFrame:
-    """stem, gloss, how: the gloss of each pose file by the first that holds: a segment's label, the longest word_ stem in its name,
-    a sentence (none), the one gloss of a stem in its name. poses: stem; gloss_map: stem, glosses; labels: seg_stem, gloss."""
-    seg = F.regexp_extract("stem", r"((?:sentence|[A-Za-z0-9]+)_[A-Za-z0-9]+_seg[0-9]{3}_[^/]*)$", 1)
-    rows = poses.select("stem").distinct()
-    by_seg = rows.withColumn("seg_stem", seg).join(labels.dropDuplicates(["seg_stem"]), "seg_stem").select("stem", F.col("gloss").alias("g1"))
-    named = rows.select(F.concat("stem", F.lit(".mp4")).alias("name"), "stem")
-    original = match_original(named, gloss_map.select("stem").distinct().withColumn("seq", F.lit(0))).select(F.regexp_replace("name", r"\.mp4$", "").alias("stem"), F.col("stem").alias("orig"))
-    joined = rows.join(by_seg, "stem", "left").join(original, "stem", "left").join(gloss_map.select(F.col("stem").alias("orig"), "glosses"), "orig", "left")
-    first = F.get("glosses", F.lit(0))
-    gloss = (
-        F.when(F.col("g1").isNotNull(), F.col("g1")).when(F.col("orig").startswith("word_"), F.upper(first)).when(F.col("orig").startswith("sentence_"), F.lit(None).cast("string")).when(F.size("glosses") == 1, first)
-    )
-    how = F.when(F.col("g1").isNotNull(), "segment").when(F.col("orig").startswith("word_"), "word").when(F.col("orig").startswith("sentence_") | F.col("stem").contains("sentence_"), "sentence").when(F.size("glosses") == 1, "single").otherwise("unmatched")
-    return joined.select("stem", gloss.alias("gloss"), how.alias("how"))
+    """stem, gloss, how: the gloss of each pose file by the first that holds: the longest segment in its name has a label (segment), the
+    longest word_ stem in its name (word), a sentence_ stem (sentence: none), the longest stem of one gloss (single), nothing (unmatched).
+    poses: stem; gloss_map: stem, glosses; labels: seg_stem, gloss."""
+    rows = poses.select(F.col("stem").alias("name")).distinct()
+    segs = labels.groupBy(F.col("seg_stem").alias("stem")).agg(F.min("gloss").alias("label"))
+    originals = gloss_map.groupBy("stem").agg(F.min("glosses").alias("glosses"))
+    keys = segs.join(originals, "stem", "full_outer")
+    found = contained(rows, keys).join(keys, "stem")
+    word, sentence, one = F.startswith("stem", F.lit("word_")), F.startswith("stem", F.lit("sentence_")), F.size("glosses") == 1
+    size, known = F.struct(F.length("stem"), "stem"), F.col("glosses").isNotNull()
+    best = found.groupBy("name").agg(
+        F.max_by("label", F.when(F.col("label").isNotNull(), size)).alias("label"), F.max_by("glosses", F.when(word & known, size)).alias("word"),
+        F.bool_or(sentence & known).alias("sentence"), F.max_by("glosses", F.when(one, size)).alias("one"),
+    )
+    first = lambda c: F.get(c, F.lit(0))
+    layers = (("segment", F.col("label").isNotNull(), F.col("label")), ("word", F.col("word").isNotNull(), F.upper(first("word"))), ("sentence", F.coalesce("sentence", F.lit(False)), F.lit(None)), ("single", F.col("one").isNotNull(), first("one")))
+    gloss, how = F.lit(None).cast("string"), F.lit("unmatched")
+    for kind, holds, value in reversed(layers):
+        gloss, how = F.when(holds, value).otherwise(gloss), F.when(holds, kind).otherwise(how)
+    return rows.join(best, "name", "left").select(F.col("name").alias("stem"), gloss.alias("gloss"), how.alias("how"))
 
 
 def label_table(glosses: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,12 +1,14 @@
 """Nearest vectors by cosine.
 
-Queries are a stated set, shipped to the tasks in blocks of bounded size; every
-task multiplies its vectors with a block, some rows at a time, and keeps the best
-k for each query, so only k rows for a query and task are shuffled.
+Both sides are packed, where they lie, into rows of many unit vectors; a row of
+queries meets each row of vectors, is multiplied with it and keeps its best k, so
+that nothing but blocks leaves a task and only k rows for a query and partition
+are shuffled. Neither side passes the driver.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +19,7 @@ from pyspark.sql.window import Window
 
 from glossworks.functions.common import hash_order
 
-#: Queries in a block, and vectors that it is multiplied with at a time.
+#: Queries and vectors of a block.
 BLOCK, ROWS = 4096, 2048
 
 
@@ -45,37 +47,63 @@ def _nearest(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
     return rows[rows.groupby("q").cumcount() < k]
 
 
+def _packed(df: DataFrame, prefix: str, size: int) -> DataFrame:
+    """<prefix>block, <prefix>ids, <prefix>width and <prefix>unit (float64 bytes) of each size rows of a task; df: id, vec."""
+    kind = df.schema["id"].dataType.simpleString()
+    names = [prefix + x for x in ("block", "ids", "width", "unit")]
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, ids, n = [], [], 0
+
+        def block() -> pd.DataFrame:
+            rows = np.concatenate(held)
+            return pd.DataFrame([[uuid.uuid4().hex, np.concatenate(ids), rows.shape[1], rows.tobytes()]], columns=names)
+
+        for frame in frames:
+            for start in range(0, len(frame), size):
+                part = frame.iloc[start : start + size]
+                unit, keep = _unit(part["vec"])
+                if len(unit):
+                    held.append(unit)
+                    ids.append(part["id"].to_numpy()[keep])
+                    n += len(unit)
+                if n >= size:
+                    yield block()
+                    held, ids, n = [], [], 0
+        if n:
+            yield block()
+
+    return df.where(F.col("vec").isNotNull()).select("id", "vec").mapInPandas(pack, f"{names[0]} string, {names[1]} array<{kind}>, {names[2]} int, {names[3]} binary")
+
+
 def top_k_similar(left: DataFrame, right: DataFrame, k: int, min_sim: float = -1.0) -> DataFrame:
     """q, id, sim, rank: for each query of left (id, vec) the k nearest rows of right (id, vec) with at least min_sim; ties by id.
 
-    Zero and null vectors are left out on both sides. right isn't shuffled.
+    Zero and null vectors are left out on both sides. Neither side is shuffled; queries meet vectors in blocks.
     """
-    spark = left.sparkSession
-    left = left.where(F.col("vec").isNotNull()).select(F.col("id").alias("q"), "vec")
-    blocks = max(1, -(-left.count() // BLOCK))
-    q_type, id_type = left.schema["q"].dataType.simpleString(), right.schema["id"].dataType.simpleString()
-    out = None
-    for b in range(blocks):
-        own = left.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b).toPandas()  # BLOCK queries or about
-        unit, keep = _unit(own["vec"])
-        shipped = spark.sparkContext.broadcast((own["q"].to_numpy()[keep], unit))
-
-        def near(frames: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
-            names, queries = shipped.value
-            best = pd.DataFrame({"q": np.zeros(0, dtype=np.int64), "far": np.zeros(0), "id": [], "sim": np.zeros(0)})
-            for frame in frames if len(names) else ():
-                for start in range(0, len(frame), ROWS):
-                    part = frame.iloc[start : start + ROWS]
-                    m, keep = _unit(part["vec"])
-                    if len(m):
-                        best = _nearest([best, _candidates(queries @ m.T, part["id"].to_numpy()[keep], k, min_sim)], k)
-            if len(best):
-                yield pd.DataFrame({"q": names[best["q"]], "id": best["id"], "sim": best["sim"]})
-
-        found = right.where(F.col("vec").isNotNull()).select("id", "vec").mapInPandas(near, f"q {q_type}, id {id_type}, sim double")
-        out = found if out is None else out.unionByName(found)
+    q_type, id_type = left.schema["id"].dataType.simpleString(), right.schema["id"].dataType.simpleString()
+
+    def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # a task sees a block of queries with all its vectors before the next block, or they change places: keep the best of each
+        best: dict[str, tuple[np.ndarray, pd.DataFrame]] = {}
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                queries, vectors = (np.frombuffer(unit).reshape(-1, width) for unit, width in ((row.qunit, row.qwidth), (row.runit, row.rwidth)))
+                found = _candidates(queries @ vectors.T, np.asarray(row.rids), k, min_sim)
+                names, before = best.get(row.qblock, (np.asarray(row.qids), None))
+                best[row.qblock] = names, _nearest([found] if before is None else [before, found], k)
+                if len(best) > 1:
+                    done = next(iter(best))
+                    if done != row.qblock:
+                        names, rows = best.pop(done)
+                        yield pd.DataFrame({"q": names[rows["q"]], "id": rows["id"], "sim": rows["sim"]})
+        for names, rows in best.values():
+            yield pd.DataFrame({"q": names[rows["q"]], "id": rows["id"], "sim": rows["sim"]})
+
+    met = _packed(left, "q", BLOCK).crossJoin(_packed(right, "r", ROWS))
+    found = met.mapInPandas(near, f"q {q_type}, id {id_type}, sim double")
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.round("sim", 12).desc(), "id"))
-    return out.withColumn("rank", rank).where(F.col("rank") <= k)
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def search(queries: DataFrame, corpus: DataFrame, k: int = 50, seed: int = 0) -> DataFrame:
@@ -106,23 +134,6 @@ def match_clips(glosses: DataFrame, index: DataFrame, lemmas: DataFrame, near: D
 
 
 def nearest_prototype(windows: DataFrame, prototypes: DataFrame) -> DataFrame:
-    """id, token, score of the nearest prototype of each window. windows: id, vec; prototypes: proto_id, vec, token.
-
-    The windows are the many, the prototypes the shipped side: each window's best is found where it lies.
-    """
-    spark = windows.sparkSession
-    own = prototypes.where(F.col("vec").isNotNull()).orderBy("proto_id").toPandas()  # a model's prototypes, the size of its vocabulary
-    unit, keep = _unit(own["vec"])
-    shipped = spark.sparkContext.broadcast((own["token"].to_numpy()[keep], unit))
-    kind = windows.schema["id"].dataType.simpleString()
-
-    def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, protos = shipped.value
-        for frame in frames:
-            m, keep = _unit(frame["vec"])
-            if len(m) and len(protos):
-                sims = m @ protos.T
-                best = sims.argmax(axis=1)
-                yield pd.DataFrame({"id": frame["id"].to_numpy()[keep], "token": [str(tokens[i]) for i in best], "score": sims[np.arange(len(m)), best]})
-
-    return windows.select("id", "vec").mapInPandas(near, f"id {kind}, token string, score double")
+    """id, token, score of the nearest prototype of each window; ties by proto_id. windows: id, vec; prototypes: proto_id, vec, token."""
+    best = top_k_similar(windows, prototypes.select(F.col("proto_id").alias("id"), "vec"), 1)
+    return best.join(prototypes.select(F.col("proto_id").alias("__p"), "token"), F.col("id") == F.col("__p")).select(F.col("q").alias("id"), "token", F.col("sim").alias("score"))

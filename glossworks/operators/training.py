@@ -21,13 +21,14 @@ def sentence_videos(manifest: DataFrame, glosses: DataFrame | None = None) -> Da
     return manifest.withColumn("__k", sentence_key(F.col("sentence_text"))).join(keys, "__k", "left_semi").drop("__k")
 
 
-def pad_to_target(current: DataFrame, sources: DataFrame, target: int = TARGET) -> DataFrame:
-    """idx, pseudo_gloss, text, path, prio of the rows that fill current up to target.
+def pad_to_target(current: DataFrame, sources: DataFrame, target: int = TARGET, times: float | None = None) -> DataFrame:
+    """idx, pseudo_gloss, text, path, prio of the rows that fill current up to target, or up to so many times its own rows.
 
     sources: prio (0: earlier tasks, newest first; then the sets), seq, pseudo_gloss, text, path; distinct by lower-case text,
     none of current's. A row needs a text and a path; files word_* of earlier tasks are out.
     """
-    need = target - current.count()
+    have = current.count()
+    need = (target if times is None else round(times * have)) - have
     usable = sources.where((F.trim("text") != "") & F.col("path").isNotNull() & ~((F.col("prio") == 0) & stem(F.col("path")).startswith("word_"))).withColumn("__k", F.lower("text"))
     known = current.select(F.lower(F.trim("sentence_text")).alias("__k")).distinct()
     fresh = first_wins(usable, ["__k"], ["prio", "seq"]).join(known, "__k", "left_anti").drop("__k")

@@ -10,7 +10,7 @@ from glossworks.operators import batches as bt
 from .tables import table as t
 
 #: conversations as glosses of sentences; turn orders within a conversation, so that seq is unique
-GLOSSES = "SELECT conv_id * 1000 + turn AS seq, substring(text, 1, 20) AS sentence, upper(role) || '_' || CAST((conv_id + turn) % 40 AS STRING) AS gloss FROM {conversations}"
+GLOSSES = "SELECT conv_id * 1000 + turn AS seq, text AS sentence, upper(role) || '_' || CAST((conv_id + turn) % 40 AS STRING) AS gloss FROM {conversations}"
 
 
 def _glosses(s, d):
@@ -25,7 +25,7 @@ def _pub(s, d):
 
 def _ingest(s, d):
     files = t(s, d, "manifest").select("filename").withColumnRenamed("filename", "name")
-    texts = t(s, d, "documents").where("doc_id % 5 <> 0").select(F.col("doc_id").alias("id"), F.substring("text", 1, 10).alias("text"))
+    texts = t(s, d, "documents").where("doc_id % 5 <> 0").select(F.col("doc_id").alias("id"), "text")
     known = t(s, d, "documents").where("doc_id % 7 = 0").select(F.concat(F.lit("x_"), "doc_id").alias("videoId"))
     return bt.ingest_named_files(files, texts, known, r"^sentence_([0-9]+)\.mp4$", "x")
 
@@ -71,7 +71,7 @@ QUERIES = {
     ),
     "bt6_ingest_rows": (
         lambda s, d: _ingest(s, d)[0],
-        "SELECT 'x_' || doc_id AS videoId, doc_id AS sentenceId, 'sentence_' || doc_id || '.mp4' AS name, substr(text, 1, 10) AS text FROM documents WHERE doc_id % 3 = 0 AND doc_id % 5 <> 0 AND doc_id % 7 <> 0",
+        "SELECT 'x_' || doc_id AS videoId, doc_id AS sentenceId, 'sentence_' || doc_id || '.mp4' AS name, text FROM documents WHERE doc_id % 3 = 0 AND doc_id % 5 <> 0 AND doc_id % 7 <> 0",
     ),
     "bt7_attach_dictionary": (
         lambda s, d: bt.attach_dictionary(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from glossworks.operators import frames as fr
 from glossworks.operators import gloss as gl
@@ -21,7 +22,7 @@ FLAGS = f"""{REF}, j AS (SELECT num.video, i, num.n, body, (r_body - body) / r_b
         c AS (SELECT *, b::INT + ((l AND r) OR (l AND rj > side * 0.1) OR (r AND lj > side * 0.1))::INT + (lj > side * 0.25 AND rj > side * 0.25)::INT AS cats FROM j),
         flags AS (SELECT video, i, n, CASE WHEN body IS NULL THEN true ELSE cats >= 2 END AS glitch, CASE WHEN body IS NOT NULL THEN cats END AS n_categories,
         CASE WHEN body IS NULL THEN 'no_pose' ELSE concat_ws(';', CASE WHEN b THEN 'body_drop' END, CASE WHEN l THEN 'lhand_lost' END, CASE WHEN r THEN 'rhand_lost' END, CASE WHEN lj > side * 0.1 THEN 'lwrist_jump' END, CASE WHEN rj > side * 0.1 THEN 'rwrist_jump' END) END AS reasons FROM c)"""
-SIMS = "sims AS (SELECT q.vec_id AS q, c.vec_id AS id, list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS sim FROM embeddings q, embeddings c WHERE q.vec_id % 20 = 0 AND c.vec_id % 10 <> 0)"
+SIMS = "sims AS (SELECT q.vec_id AS q, c.vec_id AS id, list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS sim FROM embeddings q, embeddings c WHERE q.vec_id % 20 = 0)"
 TL = "tl AS (SELECT job, idx, n_frames + CASE WHEN lead(idx) OVER w IS NOT NULL THEN 125 ELSE 0 END AS len FROM (SELECT o_custkey AS job, o_orderkey AS idx, o_orderkey % 90 AS n_frames FROM orders) WHERE n_frames > 0 WINDOW w AS (PARTITION BY job ORDER BY idx)), tt AS (SELECT job, idx, len, coalesce(sum(len) OVER (PARTITION BY job ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS began FROM tl), timeline AS (SELECT job, idx, round(began / 25, 3)::DOUBLE AS start_time, round((began + len) / 25, 3)::DOUBLE AS end_time FROM tt)"
 
 
@@ -42,16 +43,24 @@ def _timeline(s, d):
     return fr.test_timeline(t(s, d, "orders").select(F.col("o_custkey").alias("job"), F.col("o_orderkey").alias("idx"), (F.col("o_orderkey") % 90).alias("n_frames")), 25.0)
 
 
-def _vec(s, d, where):
+def _vec(s, d, where="true"):
     return t(s, d, "embeddings").where(where).select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), "label")
 
 
 def _top(s, d, k, least=-1.0):
-    return sr.top_k_similar(_vec(s, d, "vec_id % 20 = 0"), _vec(s, d, "vec_id % 10 <> 0"), k, least)
+    return sr.top_k_similar(_vec(s, d, "vec_id % 20 = 0"), _vec(s, d), k, least)
+
+
+def _means(s, d):
+    """One prototype for each label: the mean of its vectors."""
+    each = _vec(s, d).select("label", F.posexplode("vec").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    means = each.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda x: x["m"]).alias("vec"))
+    return means.select(F.col("label").cast("long").alias("proto_id"), "vec", F.concat(F.lit("t"), "label").alias("token"))
 
 
 def _neighbours(s, d):
-    return _top(s, d, 5).select(F.concat(F.lit("w"), "q").alias("word"), F.concat(F.lit("w"), "id").alias("neighbour"), F.round("sim", 9).alias("sim"))
+    """The five nearest of each word but itself."""
+    return _top(s, d, 6).where("q <> id").withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("rank"))).where("r <= 5").select(F.concat(F.lit("w"), "q").alias("word"), F.concat(F.lit("w"), "id").alias("neighbour"), F.round("sim", 9).alias("sim"))
 
 
 QUERIES = {
@@ -90,7 +99,7 @@ QUERIES = {
         f"WITH {TL}, e AS (SELECT user_id AS job, event_id, value / 3 AS t FROM events) SELECT e.job, event_id, t, idx FROM e JOIN timeline l ON e.job = l.job AND l.start_time <= t AND t < l.end_time",
     ),
     "sr1_search": (
-        lambda s, d: sr.search(_vec(s, d, "vec_id % 20 = 0"), _vec(s, d, "vec_id % 10 <> 0").withColumn("text", F.concat(F.lit("text "), "id")), 5, 11),
+        lambda s, d: sr.search(_vec(s, d, "vec_id % 20 = 0"), _vec(s, d).withColumn("text", F.concat(F.lit("text "), "id")), 5, 11),
         f"""WITH {SIMS}, p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(sim, 12) DESC, id) AS r FROM sims WHERE length('text ' || id) > 5) WHERE r <= 15),
         k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY md5('11|' || q || '|' || id)) AS x FROM p) WHERE x <= 5) SELECT q, id, round(sim, 4) AS score, (row_number() OVER (PARTITION BY q ORDER BY r))::INT AS rank FROM k""",
     ),
@@ -101,21 +110,23 @@ QUERIES = {
     "sr3_match_clips": (
         lambda s, d: sr.match_clips(
             _vec(s, d, "vec_id % 20 = 0").select(F.lit(1).alias("job"), F.col("id").alias("pos"), F.concat(F.lit("W"), "id").alias("gloss")),
-            _vec(s, d, "vec_id % 10 <> 0 OR vec_id % 60 = 0").select(F.concat(F.lit("w"), "id").alias("gloss"), F.concat("id", F.lit(".mp4")).alias("path")),
+            _vec(s, d).where("id % 20 <> 0 OR id % 60 = 0").select(F.concat(F.lit("w"), "id").alias("gloss"), F.concat("id", F.lit(".mp4")).alias("path")),
             _vec(s, d, "vec_id % 100 = 0").select(F.concat(F.lit("w"), "id").alias("word"), F.concat(F.lit("w"), F.col("id") + 1).alias("lemma")),
             _neighbours(s, d).select(F.col("word").alias("gloss"), "neighbour", "sim"), 0.3,
         ),
-        f"""WITH {SIMS}, b AS (SELECT q, arg_max(id, sim) AS nb, max(sim) AS sim FROM sims GROUP BY q), m AS (SELECT max(vec_id) AS top FROM embeddings)
-        SELECT 1 AS job, q AS pos, 'W' || q AS gloss, CASE WHEN q % 60 = 0 THEN q || '.mp4' WHEN q % 100 = 0 AND q < top THEN (q + 1) || '.mp4' WHEN sim >= 0.3 THEN nb || '.mp4' END AS path, CASE WHEN q % 60 = 0 THEN 'exact' WHEN q % 100 = 0 AND q < top THEN 'lemma' WHEN sim >= 0.3 THEN 'semantic' ELSE 'none' END AS match_type,
-        CASE WHEN q % 60 = 0 THEN 1.0 WHEN q % 100 = 0 AND q < top THEN 0.9 WHEN sim >= 0.3 THEN round(sim, 3) ELSE 0.0 END::DOUBLE AS score FROM b, m""",
+        f"""WITH {SIMS}, b AS (SELECT q, arg_max(id, sim) AS nb, max(sim) AS sim FROM sims WHERE id <> q GROUP BY q), m AS (SELECT max(vec_id) AS top FROM embeddings),
+        c AS (SELECT q, nb, sim, q % 60 = 0 AS own, q % 100 = 0 AND q < top AS lem, sim >= 0.3 AND (nb % 20 <> 0 OR nb % 60 = 0) AS near FROM b, m)
+        SELECT 1 AS job, q AS pos, 'W' || q AS gloss, CASE WHEN own THEN q || '.mp4' WHEN lem THEN (q + 1) || '.mp4' WHEN near THEN nb || '.mp4' END AS path, CASE WHEN own THEN 'exact' WHEN lem THEN 'lemma' WHEN near THEN 'semantic' ELSE 'none' END AS match_type,
+        CASE WHEN own THEN 1.0 WHEN lem THEN 0.9 WHEN near THEN round(sim, 3) ELSE 0.0 END::DOUBLE AS score FROM c""",
     ),
     "sr4_nearest_prototype": (
-        lambda s, d: sr.nearest_prototype(_vec(s, d, "vec_id % 10 <> 0"), _vec(s, d, "vec_id % 50 = 0").select(F.col("id").alias("proto_id"), "vec", F.concat(F.lit("t"), "label").alias("token"))).withColumn("score", F.round("score", 6)),
-        "SELECT c.vec_id AS id, 't' || arg_max(p.label, list_cosine_similarity(p.embedding::DOUBLE[], c.embedding::DOUBLE[])) AS token, round(max(list_cosine_similarity(p.embedding::DOUBLE[], c.embedding::DOUBLE[])), 6) AS score FROM embeddings c, embeddings p WHERE c.vec_id % 10 <> 0 AND p.vec_id % 50 = 0 GROUP BY 1",
+        lambda s, d: sr.nearest_prototype(_vec(s, d), _means(s, d)).withColumn("score", F.round("score", 6)),
+        """WITH p AS (SELECT label, list(m ORDER BY i) AS vec FROM (SELECT label, i, avg(x) AS m FROM (SELECT label, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY ALL) GROUP BY 1)
+        SELECT c.vec_id AS id, 't' || arg_max(p.label, list_cosine_similarity(p.vec, c.embedding::DOUBLE[])) AS token, round(max(list_cosine_similarity(p.vec, c.embedding::DOUBLE[])), 6) AS score FROM embeddings c, p GROUP BY 1""",
     ),
     "tx12_explain_unmatched": (
-        lambda s, d: gl.explain_unmatched(_neighbours(s, d), _vec(s, d, "vec_id % 10 <> 0").select(F.concat(F.lit("w"), "id").alias("word"), F.concat(F.lit("meaning "), "label").alias("definition")), 0.3, 0.2),
-        f"""WITH {SIMS}, r AS (SELECT q, id, sim, row_number() OVER (PARTITION BY q ORDER BY round(sim, 12) DESC, id) AS r FROM sims), x AS (SELECT q, id, sim, r, label FROM r JOIN embeddings ON vec_id = id WHERE r <= 5)
+        lambda s, d: gl.explain_unmatched(_neighbours(s, d), _vec(s, d).select(F.concat(F.lit("w"), "id").alias("word"), F.concat(F.lit("meaning "), "label").alias("definition")), 0.3, 0.2),
+        f"""WITH {SIMS}, r AS (SELECT q, id, sim, row_number() OVER (PARTITION BY q ORDER BY round(sim, 12) DESC, id) AS r FROM sims WHERE id <> q), x AS (SELECT q, id, sim, r, label FROM r JOIN embeddings ON vec_id = id WHERE r <= 5)
         SELECT 'w' || q AS word, max(CASE WHEN r = 1 AND sim >= 0.3 THEN 'meaning ' || label ELSE '' END) AS gloss, coalesce(string_agg('w' || id, ', ' ORDER BY r) FILTER (sim >= 0.2 AND r <= 3), '') AS alternate_words FROM x GROUP BY q""",
     ),
 }

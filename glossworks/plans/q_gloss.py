@@ -21,6 +21,10 @@ FOUND = f"""v AS (SELECT word FROM {{benchmark_words}}), lem AS (SELECT DISTINCT
         found AS (SELECT l.token, CASE WHEN a.word IS NOT NULL THEN 'exact' WHEN b.word IS NOT NULL THEN 'lemma' WHEN vl.m3 IS NOT NULL THEN 'lemma_lemma' END AS match_type,
         CASE WHEN a.word IS NOT NULL THEN 0.95 WHEN b.word IS NOT NULL THEN 0.90 WHEN vl.m3 IS NOT NULL THEN 0.85 END::DOUBLE AS confidence, coalesce(a.word, b.word, vl.m3) AS matched_to
         FROM lem l LEFT JOIN v a ON a.word = l.token LEFT JOIN v b ON b.word = l.lemma LEFT JOIN vl ON vl.lemma = l.lemma)"""
+EXPAND = "translate({x}, '‘’', '''''')"
+for _end, _full in tx.CONTRACTIONS:
+    EXPAND = f"regexp_replace({EXPAND}, '" + _end.replace("'", "''") + f"', '{_full}', 'gi')"
+ASCII = "replace(translate({x}, '‘’“”–—' || chr(160), '''''''\"\"-- '), '…', '...')"
 KEY = ["conv_id", "turn"]
 
 
@@ -50,23 +54,23 @@ def _glosses(s, d):
 
 
 def _report(s, d):
-    rows = _conv(s, d).select(*KEY, F.col("role").alias("file"), F.substring("text", 1, 15).alias("sentence"), (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"))
+    rows = _conv(s, d).select(*KEY, F.col("role").alias("file"), F.col("text").alias("sentence"), (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"))
     tokens = _tokens(s, d).join(rows, KEY)
     return gl.match_report(tokens, _found(s, d), t(s, d, "benchmark_words").select("word", F.md5("word").alias("ref"), F.upper("word").alias("gloss")))
 
 
 GLOSSES = f"glosses AS (SELECT conv_id, turn, pos, upper(replace(CASE WHEN f.matched_to IS NOT NULL THEN f.matched_to WHEN length(t.token) % 3 = 0 THEN {LEMMA.format(w='t.token')} END, 'ß', 'ss')) AS gloss FROM tokens t LEFT JOIN found f USING (token))"
-REPORT = """report AS (SELECT t.token AS word, CASE WHEN f.matched_to IS NULL THEN 'unmatched' ELSE 'matched' END AS status, coalesce(f.match_type, '') AS match_type, f.confidence, coalesce(f.matched_to, '') AS matched_to,
+REPORT = f"""report AS (SELECT t.token AS word, CASE WHEN f.matched_to IS NULL THEN 'unmatched' ELSE 'matched' END AS status, coalesce(f.match_type, '') AS match_type, f.confidence, coalesce(f.matched_to, '') AS matched_to,
         CASE WHEN f.matched_to IS NULL THEN '' ELSE md5(f.matched_to) END AS ref, CASE WHEN f.matched_to IS NULL THEN '' ELSE upper(f.matched_to) END AS gloss, t.count, t.source_sentence, t.source_file
-        FROM (SELECT token, count(*) AS count, arg_min(substr(c.text, 1, 15), conv_id * 1000 + turn) AS source_sentence, string_agg(DISTINCT role, '; ' ORDER BY role) AS source_file FROM tokens JOIN conversations c USING (conv_id, turn) GROUP BY token) t JOIN found f USING (token))"""
+        FROM (SELECT token, count(*) AS count, {ASCII.format(x='trim(arg_min(c.text, conv_id * 1000 + turn))')} AS source_sentence, string_agg(DISTINCT role, '; ' ORDER BY role) AS source_file FROM tokens JOIN conversations c USING (conv_id, turn) GROUP BY token) t JOIN found f USING (token))"""
 QUERIES = {
     "tx1_normalize_unicode": (
-        lambda s, d: _conv(s, d).select(*KEY, tx.normalize_unicode(F.concat(F.lit("It’s “don‘t”—we’LL…\xa0"), F.substring("text", 1, 9))).alias("text")),
-        "SELECT conv_id, turn, 'It''s \"don''t\"-we''LL... ' || substr(text, 1, 9) AS text FROM conversations",
+        lambda s, d: _conv(s, d).select(*KEY, tx.normalize_unicode(F.concat(F.lit("It’s “don‘t”—we’LL…\xa0"), F.col("text"))).alias("text")),
+        f"SELECT conv_id, turn, 'It''s \"don''t\"-we''LL... ' || {ASCII.format(x='text')} AS text FROM conversations",
     ),
     "tx2_expand_contractions": (
-        lambda s, d: _conv(s, d).select(*KEY, tx.expand_contractions(F.concat(F.lit("Didn't I've WE'LL it's he'd I'm they're "), F.substring("text", 1, 9))).alias("text")),
-        "SELECT conv_id, turn, 'Did not I have WE will it is he would I am they are ' || substr(text, 1, 9) AS text FROM conversations",
+        lambda s, d: _conv(s, d).select(*KEY, tx.expand_contractions(F.concat(F.lit("Didn’t I've WE'LL it‘s he'd I'm they're "), F.col("text"))).alias("text")),
+        f"SELECT conv_id, turn, 'Did not I have WE will it is he would I am they are ' || {EXPAND.format(x='text')} AS text FROM conversations",
     ),
     "tx3_split_sentences": (lambda s, d: tx.split_sentences(_conv(s, d), KEY), f"WITH {SENTENCES} SELECT conv_id, turn, pos::INT AS pos, sentence FROM parts"),
     "tx4_pack_clauses": (
@@ -100,9 +104,9 @@ QUERIES = {
     "tx10_gloss_descriptions": (
         lambda s, d: gl.gloss_descriptions(
             t(s, d, "documents").select(F.upper("lang").alias("gloss"), F.col("source").alias("ref")),
-            t(s, d, "documents").select(F.col("source").alias("ref"), F.when(F.col("doc_id") % 3 == 0, " ").otherwise(F.substring("text", 1, 9)).alias("gloss"), F.col("doc_id").alias("seq")),
+            t(s, d, "documents").select(F.col("source").alias("ref"), F.when(F.col("doc_id") % 3 == 0, " ").otherwise(F.col("text")).alias("gloss"), F.col("doc_id").alias("seq")),
         ),
-        """WITH m AS (SELECT DISTINCT upper(lang) AS gloss, source AS ref FROM documents), k AS (SELECT source AS ref, trim(substr(text, 1, 9)) AS description, doc_id FROM documents WHERE doc_id % 3 <> 0)
+        """WITH m AS (SELECT DISTINCT upper(lang) AS gloss, source AS ref FROM documents), k AS (SELECT source AS ref, trim(text) AS description, doc_id FROM documents WHERE doc_id % 3 <> 0)
         SELECT gloss, arg_min(description, doc_id) AS description FROM m JOIN k USING (ref) WHERE description <> '' GROUP BY gloss""",
     ),
     "tx11_match_report": (lambda s, d: _report(s, d), f"WITH {RAW}, {TOKENS}, {FOUND}, {REPORT} SELECT * FROM report"),

@@ -26,7 +26,15 @@ def _files(s, d):
 
 
 def _jobs(s, d, where):
-    return t(s, d, "orders").where(where).select(F.concat(F.lit("job"), "o_orderkey").alias("job_id"), F.lit("completed").alias("status"), F.when(F.col("o_orderkey") % 11 != 0, F.concat(F.lit(where[0:1]), "o_custkey")).alias("generated_video_path"), F.col("o_orderdate").alias("created_at"), F.col("o_orderdate").alias("updated_at"))
+    return t(s, d, "orders").where(where).select(F.concat(F.lit("job"), "o_orderkey").alias("job_id"), F.concat(F.lit(where[0:1]), "o_orderkey").alias("video_id"), F.lit("completed").alias("status"), F.when(F.col("o_orderkey") % 11 != 0, F.concat(F.lit(where[0:1]), "o_custkey")).alias("generated_video_path"), F.col("o_orderdate").alias("created_at"), F.col("o_orderdate").alias("updated_at"))
+
+
+def _again(s, d):
+    """Jobs that run once more, a fifth of them twice."""
+    once = _jobs(s, d, "(o_orderkey % 3 = 0)")
+    later = lambda df, n: df.withColumns({c: F.col(c) + F.make_interval(days=F.lit(n)) for c in ("created_at", "updated_at")})
+    twice = later(once.where("CAST(substring(job_id, 4) AS BIGINT) % 5 = 0"), 2).withColumn("generated_video_path", F.when(F.col("generated_video_path").isNotNull(), "late"))
+    return later(once, 1).unionByName(twice)
 
 
 def _tasks(s, d):
@@ -57,12 +65,26 @@ WINDOWS = f"""{VECTORS}
         SELECT session, ((n - 6) // 3)::BIGINT AS "window", (n - 3)::BIGINT AS centre, round(a, 6) AS a, round(b, 6) AS b FROM w WHERE n >= 6 AND (n - 6) % 3 = 0"""
 
 
+RECOGNIZED = f"""WITH {VECTORS}, p (x, y, z, token) AS (VALUES (1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 'LOUD'), (0.0, 1.0, 0.0, 'SEVEN'), (0.3, 0.3, 0.9, 'EVEN')),
+        f AS (SELECT session || '/' || ((n - 6) // 3) AS id, (a * x + b * y + z) / (sqrt(a * a + b * b + 1) * sqrt(x * x + y * y + z * z)) AS sim, token FROM w, p WHERE n >= 6 AND (n - 6) % 3 = 0)
+        SELECT id, arg_max(token, sim) AS token, round(max(sim), 6) AS score FROM f GROUP BY id"""
+
+
 def _flat(df):
     return df.select("session", "window", "centre", F.round(F.get("vec", F.lit(0)), 6).alias("a"), F.round(F.get("vec", F.lit(1)), 6).alias("b"))
 
 
+def _protos(s):
+    return s.createDataFrame([(0, [1.0, 0.0, 0.0], "LOUD"), (1, [0.0, 1.0, 0.0], "SEVEN"), (2, [0.3, 0.3, 0.9], "EVEN")], "proto_id int, vec array<double>, token string")
+
+
+def _recognize_live(s, d):
+    rows = live.stream_windows(_frames(s, d, _events(s, d)), _place(s), _protos(s))
+    return rows.select(F.concat_ws("/", "session", "window").alias("id"), "token", F.round("score", 6).alias("score"))
+
+
 def _recognize(s, d):
-    protos = s.createDataFrame([(0, [1.0, 0.0, 0.0], "LOUD"), (1, [0.0, 1.0, 0.0], "SEVEN"), (2, [0.3, 0.3, 0.9], "EVEN")], "proto_id int, vec array<double>, token string")
+    protos = _protos(s)
     w = live.session_windows(_frames(s, d, t(s, d, "events"))).withColumn("id", F.concat_ws("/", "session", "window"))
     return sr.nearest_prototype(w, protos).withColumn("score", F.round("score", 6))
 
@@ -136,13 +158,13 @@ QUERIES = {
         "SELECT o_orderkey % 8 AS batch, count(*) FILTER (o_custkey % 5 <> 0) AS ok, count(*) FILTER (o_custkey % 5 = 0) AS failed FROM orders GROUP BY ROLLUP (o_orderkey % 8)",
     ),
     "jb3_upsert_jobs": (
-        lambda s, d: jb.upsert_jobs(_jobs(s, d, "o_orderkey % 2 = 0"), _jobs(s, d, "(o_orderkey % 3 = 0)").withColumn("created_at", F.lit(None).cast("timestamp")))[0].select("job_id", "generated_video_path", "created_at"),
-        """SELECT 'job' || o_orderkey AS job_id, CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN '(' || o_custkey ELSE 'o' || o_custkey END AS generated_video_path, CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate END AS created_at
-        FROM orders WHERE o_orderkey % 2 = 0 OR (o_orderkey % 3 = 0 AND o_orderkey % 11 <> 0)""",
+        lambda s, d: jb.upsert_jobs(_jobs(s, d, "o_orderkey % 2 = 0"), _again(s, d), order=["updated_at"])[0].select("job_id", "video_id", "generated_video_path", "created_at"),
+        """SELECT 'job' || o_orderkey AS job_id, CASE WHEN o_orderkey % 2 = 0 THEN 'o' ELSE '(' END || o_orderkey AS video_id, CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 3 <> 0 THEN 'o' || o_custkey WHEN o_orderkey % 5 = 0 THEN 'late' ELSE '(' || o_custkey END AS generated_video_path,
+        o_orderdate + to_days(CASE WHEN o_orderkey % 3 <> 0 OR o_orderkey % 11 = 0 THEN 0 WHEN o_orderkey % 5 = 0 THEN 2 ELSE 1 END) AS created_at FROM orders WHERE o_orderkey % 2 = 0 OR (o_orderkey % 3 = 0 AND o_orderkey % 11 <> 0)""",
     ),
     "jb3_upsert_counts": (
-        lambda s, d: jb.upsert_jobs(_jobs(s, d, "o_orderkey % 2 = 0"), _jobs(s, d, "(o_orderkey % 3 = 0)"))[1],
-        "SELECT count(*) FILTER (o_orderkey % 2 <> 0 AND o_orderkey % 11 <> 0) AS inserted, count(*) FILTER (o_orderkey % 2 = 0 AND o_orderkey % 11 <> 0) AS updated, count(*) FILTER (o_orderkey % 11 = 0) AS skipped FROM orders WHERE o_orderkey % 3 = 0",
+        lambda s, d: jb.upsert_jobs(_jobs(s, d, "o_orderkey % 2 = 0"), _again(s, d), order=["updated_at"])[1],
+        "SELECT count(*) FILTER (o_orderkey % 2 <> 0 AND o_orderkey % 11 <> 0) AS inserted, count(*) FILTER (o_orderkey % 2 = 0 AND o_orderkey % 11 <> 0) + count(*) FILTER (o_orderkey % 5 = 0 AND o_orderkey % 11 <> 0) AS updated, count(*) FILTER (o_orderkey % 11 = 0) + count(*) FILTER (o_orderkey % 5 = 0 AND o_orderkey % 11 = 0) AS skipped FROM orders WHERE o_orderkey % 3 = 0",
     ),
     "jb4_failures": (lambda s, d: jb.failures(_results(s, d)), "SELECT o_orderkey || '.mp4' AS filename, 'try ' || (o_orderkey % 3 + 1) AS error FROM orders WHERE o_custkey % 5 = 0"),
     "jb5_recent": (
@@ -180,10 +202,9 @@ QUERIES = {
     "st3_session_windows": (lambda s, d: _flat(live.session_windows(_frames(s, d, t(s, d, "events")))), f"WITH {WINDOWS}"),
     "st3_recognize": (
         lambda s, d: _recognize(s, d),
-        f"""WITH {VECTORS}, p (x, y, z, token) AS (VALUES (1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 'LOUD'), (0.0, 1.0, 0.0, 'SEVEN'), (0.3, 0.3, 0.9, 'EVEN')),
-        f AS (SELECT session || '/' || ((n - 6) // 3) AS id, (a * x + b * y + z) / (sqrt(a * a + b * b + 1) * sqrt(x * x + y * y + z * z)) AS sim, token FROM w, p WHERE n >= 6 AND (n - 6) % 3 = 0)
-        SELECT id, arg_max(token, sim) AS token, round(max(sim), 6) AS score FROM f GROUP BY id""",
+        RECOGNIZED,
     ),
+    "st3_stream_recognize": (lambda s, d: _recognize_live(s, d), RECOGNIZED),
     "io1_read_jsonl": (
         lambda s, d: _jsonl(s, d),
         "SELECT event_id, event_type FROM events WHERE event_id % 10 > 1 UNION ALL SELECT count(*), 'not json' FROM events WHERE event_id % 10 = 0",

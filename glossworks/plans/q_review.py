@@ -101,11 +101,11 @@ QUERIES = {
     ),
     "rv13_play_plan": (
         lambda s, d: rv.play_plan(
-            t(s, d, "documents").select(F.col("doc_id").alias("job"), F.lit(0).alias("pos"), F.substring_index("text", " ", 1).alias("gloss")),
+            t(s, d, "documents").select(F.col("doc_id").alias("job"), F.posexplode(F.split("text", " ")).alias("pos", "gloss")),
             t(s, d, "benchmark_words").select(F.col("word").alias("gloss"), F.concat("word", F.lit(".mp4")).alias("path")),
             t(s, d, "benchmark_words").select(F.substring("word", 1, 1).alias("letter")).distinct().select("letter", F.concat(F.lit("letters/"), "letter").alias("path")),
         ),
-        """WITH g AS (SELECT doc_id AS job, 0 AS pos, lower(split_part(text, ' ', 1)) AS key FROM documents), i AS (SELECT word AS key, word || '.mp4' AS clip FROM {benchmark_words}),
+        """WITH g AS (SELECT doc_id AS job, unnest(range(len(string_split(text, ' '))))::INT AS pos, lower(trim(unnest(string_split(text, ' ')))) AS key FROM documents), i AS (SELECT word AS key, word || '.mp4' AS clip FROM {benchmark_words}),
         l AS (SELECT DISTINCT substr(word, 1, 1) AS unit FROM {benchmark_words}), j AS (SELECT * FROM g LEFT JOIN i USING (key)),
         p AS (SELECT job, pos, key, unnest(range(length(key))) AS char_pos FROM j WHERE clip IS NULL)
         SELECT job, pos, 0 AS char_pos, key AS unit, clip AS path FROM j WHERE clip IS NOT NULL
@@ -113,10 +113,11 @@ QUERIES = {
     ),
     "rv14_attach_by_stem": (
         lambda s, d: rv.attach_by_stem(
-            t(s, d, "manifest").select(F.concat(F.lit("aug_"), F.regexp_replace("filename", r"\.mp4$", "_seg001_x.mp4")).alias("name")),
+            t(s, d, "manifest").select(F.concat(F.lit("aug-"), F.regexp_replace("filename", r"\.mp4$", "_seg001_x.mp4")).alias("name")),
             t(s, d, "manifest").where("seq % 2 = 0").select("filename", "sentence_text"),
         ),
-        """SELECT replace(m.filename, '.mp4', '') AS stem, 'aug_' || replace(m.filename, '.mp4', '_seg001_x.mp4') AS name, CASE WHEN m.seq % 2 = 0 THEN m.sentence_text END AS sentence_text FROM {manifest} m""",
+        """WITH f AS (SELECT DISTINCT 'aug-' || replace(filename, '.mp4', '_seg001_x.mp4') AS name FROM {manifest}), a AS (SELECT replace(filename, '.mp4', '') AS stem, min(sentence_text) AS sentence_text FROM {manifest} WHERE seq % 2 = 0 GROUP BY 1),
+        m AS (SELECT name, max_by(stem, length(stem)) AS stem FROM f JOIN a ON contains(name, stem) GROUP BY 1) SELECT name, stem, sentence_text FROM f LEFT JOIN m USING (name) LEFT JOIN a USING (stem)""",
     ),
     "rv15_gloss_video_db": (
         lambda s, d: rv.gloss_video_db(t(s, d, "submissions").select(F.col("sentenceText").alias("gloss"), F.col("videoFileName").alias("path"), (F.col("seq") % 10).alias("duration"))).withColumn("clips", F.md5(F.array_join("clips", ","))),

@@ -38,31 +38,46 @@ def _augs(s):
     return s.createDataFrame(TEMPORAL, "aug_name string, ratio double")
 
 
-def _few(s, d):
-    return t(s, d, "orders").where("o_orderkey % 50 = 1").select(F.concat(F.lit("sentence_"), "o_orderkey").alias("stem"))
+def _all(s, d):
+    return t(s, d, "orders").select(F.concat(F.lit("sentence_"), "o_orderkey").alias("stem"))
 
 
 def _derived(s, d):
-    temporal = _few(s, d).crossJoin(F.broadcast(_augs(s))).select(F.concat("aug_name", F.lit("_"), "stem", F.lit(".mp4")).alias("name"), F.lit("temporal").alias("aug_type"), "aug_name", "stem")
-    views = _few(s, d).select(F.concat("stem", F.lit("_yaw_left.mp4")).alias("name"), F.lit("view").alias("aug_type"), F.lit("yaw_left").alias("aug_name"), "stem")
+    temporal = _all(s, d).crossJoin(F.broadcast(_augs(s))).select(F.concat("aug_name", F.lit("_"), "stem", F.lit(".mp4")).alias("name"), F.lit("temporal").alias("aug_type"), "aug_name", "stem")
+    views = _all(s, d).select(F.concat("stem", F.lit("_yaw_left.mp4")).alias("name"), F.lit("view").alias("aug_type"), F.lit("yaw_left").alias("aug_name"), "stem")
     return temporal.unionByName(views)
 
 
 def _params(s, d):
-    return _few(s, d).crossJoin(F.broadcast(_augs(s))).select("aug_name", "stem", F.col("ratio").alias("speed_ratio"))
+    return _all(s, d).crossJoin(F.broadcast(_augs(s))).select("aug_name", "stem", F.col("ratio").alias("speed_ratio"))
+
+
+#: pose files by the names of their training clips: segments, words, augmented words and sentences, and files of no original
+
+def _names(rows, prefix, level, path):
+    named = sg.training_names(rows.select(path.alias("rel_path"), F.lit(prefix).alias("prefix"), F.lit(level).alias("level")))
+    return named.select(F.regexp_replace("out", r"\.mp4$", "").alias("stem"))
+
+
+def _word(key="o_orderkey"):
+    """Stems with underscores, of which some begin as others do."""
+    return F.concat(F.lit("word_"), F.when(F.col(key) % 4 == 0, "ice").otherwise("ice_crème"), F.lit("_"), (F.col(key) % 700).cast("string"))
 
 
 def _poses(s, d):
-    clip = sg.segment_labels(_segs(s, d)).where("seg_stem LIKE '%1%'").select(F.concat(F.lit("seg_"), "seg_stem").alias("stem"))
-    words = t(s, d, "orders").where("o_orderkey % 9 = 0").select(F.concat(F.lit("orig_word_w"), "o_orderkey", F.lit("_word")).alias("stem"))
-    whole = t(s, d, "orders").where("o_orderkey % 100 = 1").select(F.concat(F.lit("aug_sentence_"), "o_orderkey").alias("stem"))
+    o = t(s, d, "orders")
+    clip = _names(sg.segment_labels(_segs(s, d)), "seg_", "sentence", F.concat("seg_stem", F.lit(".mp4")))
+    words = _names(o.where("o_orderkey % 9 = 0").withColumn("w", _word()), "orig_", "word", F.concat("w", F.lit(".mp4")))
+    moved = _names(o.where("o_orderkey % 9 = 1").withColumn("w", _word()), "aug_word_", "word", F.concat(F.lit("blur/cv-"), "w", F.lit("-2.mp4")))
+    whole = _names(o, "aug_", "sentence", F.concat(F.lit("speed/"), F.lit("sentence_"), "o_orderkey", F.lit(".mp4")))
     other = t(s, d, "nation").select(F.concat(F.lit("x_"), "n_name").alias("stem"))
-    return clip.unionByName(words).unionByName(whole).unionByName(other)
+    return clip.unionByName(words).unionByName(moved).unionByName(whole).unionByName(other).distinct()
 
 
 def _map(s, d):
-    w = t(s, d, "orders").where("o_orderkey % 18 = 0").select(F.concat(F.lit("word_w"), "o_orderkey").alias("stem"), F.array(F.concat(F.lit("w"), "o_orderkey", F.lit("."))).alias("glosses"))
-    x = t(s, d, "orders").where("o_orderkey % 9 <> 0").select(F.concat(F.lit("sentence_"), "o_orderkey").alias("stem"), F.array(F.lit("A"), F.lit("B")).alias("glosses"))
+    o = t(s, d, "orders")
+    w = o.where("o_orderkey % 18 < 2").select(_word().alias("stem"), F.array(F.concat(F.lit("w"), F.col("o_orderkey") % 700, F.lit("."))).alias("glosses")).distinct()
+    x = o.where("o_orderkey % 9 <> 0").select(F.concat(F.lit("sentence_"), "o_orderkey").alias("stem"), F.array(F.lit("A"), F.lit("B")).alias("glosses"))
     n = t(s, d, "nation").where("n_nationkey % 2 = 0").select(F.col("n_name").alias("stem"), F.array(F.lit("N!")).alias("glosses"))
     return w.unionByName(x).unionByName(n)
 
@@ -71,10 +86,19 @@ def _single(s, d):
     return sg.single_gloss(_poses(s, d), _map(s, d), sg.segment_labels(_segs(s, d)))
 
 
-SINGLE = f"""{SEGS}, {LABELS}, single AS (SELECT 'seg_' || seg_stem AS stem, gloss, 'segment' AS how FROM labs WHERE seg_stem LIKE '%1%'
-        UNION ALL SELECT 'orig_word_w' || o_orderkey || '_word', CASE WHEN o_orderkey % 18 = 0 THEN 'W' || o_orderkey || '.' END, CASE WHEN o_orderkey % 18 = 0 THEN 'word' ELSE 'unmatched' END FROM orders WHERE o_orderkey % 9 = 0
-        UNION ALL SELECT 'aug_sentence_' || o_orderkey, NULL, 'sentence' FROM orders WHERE o_orderkey % 100 = 1
-        UNION ALL SELECT 'x_' || n_name, CASE WHEN n_nationkey % 2 = 0 THEN 'N!' END, CASE WHEN n_nationkey % 2 = 0 THEN 'single' ELSE 'unmatched' END FROM nation)"""
+#: every stem against every name; segments only against names of their own video
+WORD = "'word_' || CASE WHEN o_orderkey % 4 = 0 THEN 'ice' ELSE 'ice_crème' END || '_' || o_orderkey % 700"
+SINGLE = f"""{SEGS}, {LABELS}, names AS (SELECT DISTINCT name, regexp_extract(name, 'sentence_[0-9]+') AS video FROM (SELECT 'seg_' || seg_stem || '_sentence' AS name FROM labs
+        UNION ALL SELECT 'orig_' || {WORD} || '_word' FROM orders WHERE o_orderkey % 9 = 0 UNION ALL SELECT 'aug_word_blur_cv-' || {WORD} || '-2_word' FROM orders WHERE o_orderkey % 9 = 1
+        UNION ALL SELECT 'aug_speed_sentence_' || o_orderkey || '_sentence' FROM orders UNION ALL SELECT 'x_' || n_name FROM nation)),
+        gmap AS (SELECT DISTINCT {WORD} AS stem, 'w' || o_orderkey % 700 || '.' AS one FROM orders WHERE o_orderkey % 18 < 2 UNION ALL SELECT 'sentence_' || o_orderkey, NULL FROM orders WHERE o_orderkey % 9 <> 0 UNION ALL SELECT n_name, 'N!' FROM nation WHERE n_nationkey % 2 = 0),
+        seg AS (SELECT name, arg_max(gloss, length(seg_stem)) AS label FROM names JOIN labs ON video = regexp_extract(seg_stem, 'sentence_[0-9]+') AND contains(name, seg_stem) WHERE video <> '' GROUP BY name),
+        word AS (SELECT name, arg_max(one, length(stem)) AS g FROM names JOIN gmap ON starts_with(stem, 'word_') AND contains(name, stem) GROUP BY name),
+        sentence AS (SELECT DISTINCT name FROM names JOIN gmap ON starts_with(stem, 'sentence_') AND contains(name, stem)),
+        lone AS (SELECT name, arg_max(one, length(stem)) AS g FROM names JOIN gmap ON one IS NOT NULL AND contains(name, stem) GROUP BY name),
+        single AS (SELECT name AS stem, CASE WHEN seg.label IS NOT NULL THEN seg.label WHEN word.g IS NOT NULL THEN upper(word.g) WHEN sentence.name IS NOT NULL THEN NULL ELSE lone.g END AS gloss,
+        CASE WHEN seg.label IS NOT NULL THEN 'segment' WHEN word.g IS NOT NULL THEN 'word' WHEN sentence.name IS NOT NULL THEN 'sentence' WHEN lone.g IS NOT NULL THEN 'single' ELSE 'unmatched' END AS how
+        FROM names LEFT JOIN seg USING (name) LEFT JOIN word USING (name) LEFT JOIN sentence USING (name) LEFT JOIN lone USING (name))"""
 
 
 def _config(s):
@@ -84,11 +108,11 @@ def _config(s):
 
 
 def _plan(s, d):
-    return au.plan_augment(_few(s, d), _augs(s).withColumn("enabled", F.col("ratio") != 3.0), _few(s, d).where("stem LIKE '%1'").select(F.concat(F.lit("speed_050x/"), "stem", F.lit(".mp4")).alias("out")))
+    return au.plan_augment(_all(s, d), _augs(s).withColumn("enabled", F.col("ratio") != 3.0), _all(s, d).where("stem LIKE '%1'").select(F.concat(F.lit("speed_050x/"), "stem", F.lit(".mp4")).alias("out")))
 
 
 def _views(s, d):
-    return t(s, d, "orders").where("o_orderkey % 20 = 0").select(F.concat(F.when(F.col("o_orderkey") % 3 == 0, "sentence_").otherwise("word_"), "o_orderkey").alias("name"), F.when(F.col("o_orderkey") % 40 == 0, "yaw_l_zoom_in").otherwise("yaw_l").alias("viewpoint"))
+    return t(s, d, "orders").select(F.concat(F.when(F.col("o_orderkey") % 3 == 0, "sentence_").otherwise("word_"), "o_orderkey").alias("name"), F.when(F.col("o_orderkey") % 40 == 0, "yaw_l_zoom_in").otherwise("yaw_l").alias("viewpoint"))
 
 
 def _results(s, d):
@@ -134,24 +158,24 @@ QUERIES = {
     ),
     "sg3_scale_segments": (
         lambda s, d: sg.scale_segments(_segs(s, d), _derived(s, d), _params(s, d)).select("name", "aug_type", "stem", F.col("seg").cast("long").alias("seg"), F.round("start", 6).alias("start"), F.round("end", 6).alias("end"), "label"),
-        f"""WITH {SEGS}, {AUGS}, few AS (SELECT 'sentence_' || o_orderkey AS stem FROM orders WHERE o_orderkey % 50 = 1), v AS (SELECT aug_name || '_' || stem || '.mp4' AS name, 'temporal' AS aug_type, stem, ratio FROM few, augs UNION ALL SELECT stem || '_yaw_left.mp4', 'view', stem, 1.2 FROM few)
+        f"""WITH {SEGS}, {AUGS}, few AS (SELECT 'sentence_' || o_orderkey AS stem FROM orders), v AS (SELECT aug_name || '_' || stem || '.mp4' AS name, 'temporal' AS aug_type, stem, ratio FROM few, augs UNION ALL SELECT stem || '_yaw_left.mp4', 'view', stem, 1.2 FROM few)
         SELECT name, aug_type, stem, seg, round("start" / ratio, 6) AS "start", round("end" / ratio, 6) AS "end", label FROM v JOIN segs USING (stem)""",
     ),
     "sg4_match_original": (
-        lambda s, d: sg.match_original(_derived(s, d).select("name").unionByName(t(s, d, "nation").select(F.concat(F.lit("cv_flip_"), "n_name", F.lit("_part_2.mp4")).alias("name"))), _few(s, d).withColumn("seq", F.lit(1)).unionByName(t(s, d, "nation").select(F.col("n_name").alias("stem"), F.lit(2).alias("seq")))),
-        f"WITH {AUGS}, few AS (SELECT 'sentence_' || o_orderkey AS stem FROM orders WHERE o_orderkey % 50 = 1) SELECT aug_name || '_' || stem || '.mp4' AS name, stem FROM few, augs UNION ALL SELECT stem || '_yaw_left.mp4', stem FROM few UNION ALL SELECT 'cv_flip_' || n_name || '_part_2.mp4', n_name FROM nation",
+        lambda s, d: sg.match_original(_derived(s, d).select("name").unionByName(t(s, d, "nation").select(F.concat(F.lit("cv_flip_"), "n_name", F.lit("_part_2.mp4")).alias("name"))), _all(s, d).withColumn("seq", F.lit(1)).unionByName(t(s, d, "nation").select(F.col("n_name").alias("stem"), F.lit(2).alias("seq")))),
+        f"WITH {AUGS}, few AS (SELECT 'sentence_' || o_orderkey AS stem FROM orders) SELECT aug_name || '_' || stem || '.mp4' AS name, stem FROM few, augs UNION ALL SELECT stem || '_yaw_left.mp4', stem FROM few UNION ALL SELECT 'cv_flip_' || n_name || '_part_2.mp4', n_name FROM nation",
     ),
     "sg5_plan_augment": (
         lambda s, d: _plan(s, d)[0],
-        f"WITH {AUGS}, few AS (SELECT 'sentence_' || o_orderkey AS stem FROM orders WHERE o_orderkey % 50 = 1) SELECT stem, aug_name, aug_name || '/' || stem || '.mp4' AS out FROM few, augs WHERE ratio <> 3 AND NOT (aug_name = 'speed_050x' AND stem LIKE '%1')",
+        f"WITH {AUGS}, few AS (SELECT 'sentence_' || o_orderkey AS stem FROM orders) SELECT stem, aug_name, aug_name || '/' || stem || '.mp4' AS out FROM few, augs WHERE ratio <> 3 AND NOT (aug_name = 'speed_050x' AND stem LIKE '%1')",
     ),
     "sg5_plan_counts": (
         lambda s, d: _plan(s, d)[1],
-        "SELECT count(*) FILTER (o_orderkey % 10 = 1) AS cached, 6 * count(*) - count(*) FILTER (o_orderkey % 10 = 1) AS new FROM orders WHERE o_orderkey % 50 = 1",
+        "SELECT count(*) FILTER (o_orderkey % 10 = 1) AS cached, 6 * count(*) - count(*) FILTER (o_orderkey % 10 = 1) AS new FROM orders",
     ),
     "sg6_plan_render": (
-        lambda s, d: au.plan_render(_few(s, d), _config(s)),
-        """WITH few AS (SELECT 'sentence_' || o_orderkey AS stem FROM orders WHERE o_orderkey % 50 = 1)
+        lambda s, d: au.plan_render(_all(s, d), _config(s)),
+        """WITH few AS (SELECT 'sentence_' || o_orderkey AS stem FROM orders)
         SELECT 'fixed_viewpoint' AS type, stem, stem || '_front' AS save_name, 0::DOUBLE AS yaw, 0::DOUBLE AS pitch, 1::DOUBLE AS zoom FROM few UNION ALL SELECT 'fixed_viewpoint', stem, stem || '_yaw_left', -15, 0, 1 FROM few
         UNION ALL SELECT 'cross_reenact', stem, 'x_' || stem || '_a_very_long_template', NULL, NULL, NULL FROM few UNION ALL SELECT 'cross_reenact', stem, 'x_' || stem || '_a_very_long_template_up', 0, 10, 1 FROM few""",
     ),
@@ -200,7 +224,7 @@ QUERIES = {
         "SELECT o_orderstatus AS line FROM orders WHERE o_orderkey % 5 <> 0",
     ),
     "sg17_param_grid": (
-        lambda s, d: au.param_grid(s, {"yaw": [-10, 0, 10], "zoom": [1, 2]}).crossJoin(t(s, d, "region").select("r_name")),
-        "SELECT yaw, zoom, r_name FROM (VALUES (-10), (0), (10)) a(yaw), (VALUES (1), (2)) b(zoom), region",
+        lambda s, d: au.param_grid(s, {"yaw": t(s, d, "part").select(F.col("p_size").cast("int") - 25), "brand": t(s, d, "part").select("p_brand"), "zoom": [1, 2]}),
+        "SELECT yaw, brand, zoom FROM (SELECT DISTINCT p_size::INT - 25 AS yaw FROM part), (SELECT DISTINCT p_brand AS brand FROM part), (VALUES (1), (2)) b(zoom)",
     ),
 }

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from glossworks.functions import text as tx
 from glossworks.operators import training as tr
 from glossworks.operators import variants as va
 
+from . import q_gloss as g
 from .tables import table as t
 
 
@@ -15,11 +17,11 @@ def _current(s, d):
 
 
 CURRENT = "cur AS (SELECT * FROM {manifest} WHERE seq % 10 = 0)"
-SOURCES = "src AS (SELECT CASE WHEN seq % 4 = 1 THEN 0 WHEN seq % 4 = 2 THEN 1 ELSE 2 END AS prio, seq, CASE WHEN seq % 3 = 1 THEN upper(language) END AS pseudo_gloss, sentence_text AS text, filename AS path FROM {manifest} WHERE seq % 2 = 1 OR seq % 4 = 2)"
+SOURCES = "src AS (SELECT CASE WHEN seq % 4 = 1 THEN 0 WHEN seq % 4 = 2 THEN 1 ELSE 2 END AS prio, seq, CASE WHEN seq % 3 = 1 THEN upper(language) END AS pseudo_gloss, sentence_text AS text, filename AS path FROM {manifest} WHERE seq % 10 <> 0)"
 PADS = """fresh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lower(text) ORDER BY prio, seq) AS r FROM src WHERE trim(text) <> '' AND NOT (prio = 0 AND starts_with(path, 'word_'))) WHERE r = 1 AND lower(text) NOT IN (SELECT lower(trim(sentence_text)) FROM cur)),
-        pads AS (SELECT pseudo_gloss, text, path, prio, (row_number() OVER (ORDER BY prio, seq) - 1)::INT AS idx FROM fresh ORDER BY prio, seq LIMIT greatest(0, 300 - (SELECT count(*) FROM cur)))"""
+        pads AS (SELECT pseudo_gloss, text, path, prio, (row_number() OVER (ORDER BY prio, seq) - 1)::INT AS idx FROM fresh ORDER BY prio, seq LIMIT (SELECT count(*) FROM cur))"""
 KEY = "trim(regexp_replace(trim({c}), '[.!?\\s]+$', ''))"
-MAP = f"""gm AS (SELECT {KEY.format(c='sentence_text')} AS k, min(lower(language)) AS g FROM {{manifest}} WHERE seq % 10 = 0 OR seq % 5 = 1 GROUP BY 1)"""
+MAP = f"""gm AS (SELECT {KEY.format(c='sentence_text')} AS k, min(lower(language)) AS g FROM {{manifest}} GROUP BY 1)"""
 JOINED = f"""entries AS (SELECT fileid, coalesce(p, g, CASE WHEN is_pad THEN original_text END) AS text, original_text, video_name, is_pad, is_pad AND p IS NULL AND g IS NULL AS fallback FROM (
         SELECT regexp_replace(filename, '\\.[^.]*$', '') AS fileid, NULL AS p, sentence_text AS original_text, filename AS video_name, false AS is_pad FROM cur
         UNION ALL SELECT format('pad_{{:05d}}', idx), pseudo_gloss, text, format('pad_{{:05d}}.mp4', idx), true FROM pads) LEFT JOIN gm ON k = {KEY.format(c='original_text')})"""
@@ -29,34 +31,45 @@ VAL = """n AS (SELECT least(greatest(1, round_even(count(*) * 0.09, 0)), count(*
 
 
 def _pads(s, d):
-    m = t(s, d, "manifest").where("seq % 2 = 1 OR seq % 4 = 2")
+    m = t(s, d, "manifest").where("seq % 10 <> 0")
     prio = F.when(F.col("seq") % 4 == 1, 0).when(F.col("seq") % 4 == 2, 1).otherwise(2)
-    return tr.pad_to_target(_current(s, d), m.select(prio.alias("prio"), "seq", F.when(F.col("seq") % 3 == 1, F.upper("language")).alias("pseudo_gloss"), F.col("sentence_text").alias("text"), F.col("filename").alias("path")), 300)
+    return tr.pad_to_target(_current(s, d), m.select(prio.alias("prio"), "seq", F.when(F.col("seq") % 3 == 1, F.upper("language")).alias("pseudo_gloss"), F.col("sentence_text").alias("text"), F.col("filename").alias("path")), times=2)
 
 
 def _entries(s, d):
-    keys = t(s, d, "manifest").where("seq % 10 = 0 OR seq % 5 = 1").withColumn("k", tr.sentence_key(F.col("sentence_text"))).groupBy("k").agg(F.array(F.min("language")).alias("glosses"))
+    keys = t(s, d, "manifest").withColumn("k", tr.sentence_key(F.col("sentence_text"))).groupBy("k").agg(F.array(F.min("language")).alias("glosses"))
     return tr.require_glosses(tr.build_entries(_current(s, d), _pads(s, d), keys.withColumnRenamed("k", "sentence")))
 
 
 def _sentences(s, d):
-    """Short token lists: words w0-w59 by the digits of the id."""
-    return t(s, d, "documents").where("doc_id % 5 = 0").select(F.concat(F.lit("sentence_"), "doc_id").alias("fileid"), F.expr("concat_ws(' ', 'w' || doc_id % 7, 'w' || doc_id % 11, 'w' || doc_id % 60, 'w' || doc_id % 3)").alias("text"))
+    """The sentences of the conversations, in lower case."""
+    rows = tx.split_sentences(t(s, d, "conversations"), ["conv_id", "turn"])
+    return rows.select(F.concat_ws("_", F.lit("sentence"), "conv_id", "turn", "pos").alias("fileid"), F.lower("sentence").alias("text"))
 
 
-SENT = "sent AS (SELECT 'sentence_' || doc_id AS fileid, ['w' || doc_id % 7, 'w' || doc_id % 11, 'w' || doc_id % 60, 'w' || doc_id % 3] AS tokens FROM documents WHERE doc_id % 5 = 0)"
+SENT = f"{g.SENTENCES}, sent AS (SELECT 'sentence_' || conv_id || '_' || turn || '_' || pos AS fileid, string_split(lower(sentence), ' ') AS tokens FROM parts)"
 SLOTS = "slots AS (SELECT 'A_base' AS category, 0 AS variant, '' AS mark UNION ALL SELECT 'A_shuf', i, '_a' || i FROM range(10) r(i) UNION ALL SELECT 'B', i, '_bv' || i FROM range(10) r(i) UNION ALL SELECT 'C', i, '_cv' || i FROM range(15) r(i))"
-INDEX = "idx AS (SELECT DISTINCT 'w' || user_id % 50 AS token, 'clip' || user_id % 50 || '_' || event_id % 9 AS name, event_id % 9 AS seq, (user_id % 50 * 9 + event_id % 9) % 4 <> 0 AND user_id % 50 <> 5 AS ok, (user_id % 50 + event_id % 9) % 6 AS n_frames FROM events)"
+#: each word of the documents of a language and a source is a clip of the word
+INDEX = "idx AS (SELECT DISTINCT token, token || '_' || source || '_' || lang AS name, length(lang || source) * 100 + length(source) AS seq, length(token || source) % 4 <> 0 AS ok, length(token || source || lang) % 6 AS n_frames FROM (SELECT lang, source, unnest(string_split(lower(text), ' ')) AS token FROM documents) WHERE token <> '')"
 CAND = "cand AS (SELECT token, name, n_frames, ok, row_number() OVER (PARTITION BY token ORDER BY seq, name) AS ord FROM idx QUALIFY ord <= 5)"
 
 
+def _words(s, d):
+    rows = t(s, d, "documents").select("lang", "source", F.explode(F.split(F.lower("text"), " ")).alias("token")).where("token <> ''").distinct()
+    size = lambda *c: F.length(F.concat(*c))
+    return rows.select(
+        "token", F.concat_ws("_", "token", "source", "lang").alias("name"), (size("lang", "source") * 100 + F.length("source")).alias("seq"), (size("token", "source") % 4 != 0).alias("ok"), (size("token", "source", "lang") % 6).alias("n_frames")
+    ).distinct()
+
+
 def _index(s, d):
+    """Clips of words that the tables' numbers name."""
     i, j = F.col("user_id") % 50, F.col("event_id") % 9
     return t(s, d, "events").select(F.concat(F.lit("w"), i).alias("token"), F.concat(F.lit("clip"), i, F.lit("_"), j).alias("name"), j.alias("seq"), (((i * 9 + j) % 4 != 0) & (i != 5)).alias("ok"), ((i + j) % 6).cast("int").alias("n_frames")).distinct()
 
 
 def _resolved(s, d):
-    index = _index(s, d)
+    index = _words(s, d)
     return tr.resolve_resources(tr.entry_tokens(_sentences(s, d)), index, index.where("ok"))
 
 
@@ -68,7 +81,7 @@ def _plan(s, d):
 def _fixed(s, d):
     moved = va.expand_variants(_sentences(s, d)).where("category = 'A_shuf' OR variant > 0").join(_sentences(s, d), "fileid")
     same = F.exists(F.arrays_zip("tokens", F.split("text", " ").alias("o")), lambda x: x["tokens"] == x["o"])
-    return moved.agg(F.count("*").alias("n"), F.count_if(same & (F.size(F.array_distinct("tokens")) >= 4)).alias("fixed_points"))
+    return moved.agg(F.count("*").alias("n"), F.count_if(same & (F.size(F.array_distinct("tokens")) == F.size("tokens")) & (F.size("tokens") > 1)).alias("fixed_points"))
 
 
 def _split(s, d):
@@ -90,8 +103,8 @@ QUERIES = {
     ),
     "tr5_entry_tokens": (lambda s, d: tr.entry_tokens(_sentences(s, d)), f"WITH {SENT} SELECT DISTINCT unnest(tokens) AS token FROM sent"),
     "tr6_pool_index": (
-        lambda s, d: tr.pool_index(t(s, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("utterance_id"), F.array("role", F.substring("text", 1, 5)).alias("tokens"))),
-        "SELECT lower(trim(role || ' ' || substr(text, 1, 5))) AS phrase, conv_id || '-' || turn AS utterance_id FROM conversations",
+        lambda s, d: tr.pool_index(t(s, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("utterance_id"), F.array("role", "text").alias("tokens"))),
+        "SELECT lower(trim(role || ' ' || text)) AS phrase, conv_id || '-' || turn AS utterance_id FROM conversations",
     ),
     "tr7_word_index": (
         lambda s, d: tr.word_index(
@@ -122,13 +135,13 @@ QUERIES = {
     ),
     "tr11_fixed_points": (lambda s, d: _fixed(s, d), f"WITH {SENT} SELECT count(*) * (10 + 9 + 14) AS n, 0::BIGINT AS fixed_points FROM sent"),
     "tr12_planned_variants": (
-        lambda s, d: va.planned_variants(_plan(s, d), _index(s, d).select("name", "n_frames")).where("category = 'B' AND variant_id LIKE '%_bv0'").select("variant_id", F.array_join("used", " ").alias("used"), "n_frames"),
+        lambda s, d: va.planned_variants(_plan(s, d), _words(s, d).select("name", "n_frames")).where("category = 'B' AND variant_id LIKE '%_bv0'").select("variant_id", F.array_join("used", " ").alias("used"), "n_frames"),
         f"""WITH {SENT}, {INDEX}, {CAND}, c AS (SELECT token, arg_min(name, ord) AS name, arg_min(n_frames, ord) AS n_frames FROM cand WHERE ok GROUP BY 1),
         x AS (SELECT fileid, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM sent)
         SELECT fileid || '_bv0' AS variant_id, string_agg(name, ' ' ORDER BY pos) AS used, sum(n_frames)::BIGINT AS n_frames FROM x JOIN c USING (token) WHERE n_frames > 0 GROUP BY fileid""",
     ),
     "tr12_concat_features": (
-        lambda s, d: va.concat_features(_plan(s, d).where("category = 'B'"), _index(s, d).select("name", "n_frames", F.expr("transform(sequence(1, greatest(n_frames, 1)), i -> array(cast(i AS float), cast(length(name) AS float)))").alias("feat"))).select("variant_id", "n_frames", F.aggregate("feat", F.lit(0.0), lambda a, x: a + x[0] * x[1]).alias("check")),
+        lambda s, d: va.concat_features(_plan(s, d).where("category = 'B'"), _words(s, d).select("name", "n_frames", F.expr("transform(sequence(1, greatest(n_frames, 1)), i -> array(cast(i AS float), cast(length(name) AS float)))").alias("feat"))).select("variant_id", "n_frames", F.aggregate("feat", F.lit(0.0), lambda a, x: a + x[0] * x[1]).alias("check")),
         f"""WITH {SENT}, {SLOTS}, {INDEX}, {CAND}, c AS (SELECT token, arg_min(name, ord) AS name, arg_min(n_frames, ord) AS n_frames FROM cand WHERE ok GROUP BY 1), x AS (SELECT fileid, unnest(tokens) AS token FROM sent)
         SELECT fileid || mark AS variant_id, sum(n_frames)::INT AS n_frames, sum(n_frames * (n_frames + 1) / 2 * length(name))::DOUBLE AS check FROM x JOIN c USING (token), slots WHERE n_frames > 0 AND category = 'B' GROUP BY fileid, mark""",
     ),
@@ -143,13 +156,13 @@ QUERIES = {
         SELECT category, count(*) FILTER (NOT val) AS train, count(*) FILTER (val) AS val, count(*) FILTER (val) AS test FROM r GROUP BY 1""",
     ),
     "tr14_frame_stats": (
-        lambda s, d: tr.frame_stats(va.planned_variants(_plan(s, d), _index(s, d).select("name", "n_frames")).where("category = 'B'")),
+        lambda s, d: tr.frame_stats(va.planned_variants(_plan(s, d), _words(s, d).select("name", "n_frames")).where("category = 'B'")),
         f"""WITH {SENT}, {SLOTS}, {INDEX}, {CAND}, c AS (SELECT token, arg_min(n_frames, ord) AS n_frames FROM cand WHERE ok GROUP BY 1), x AS (SELECT fileid, unnest(tokens) AS token FROM sent),
         f AS (SELECT fileid, sum(n_frames)::BIGINT AS n FROM x JOIN c USING (token) WHERE n_frames > 0 GROUP BY 1), v AS (SELECT n FROM f, slots WHERE category = 'B')
         SELECT 'B' AS cat, count(*) AS n, min(n) AS min, max(n) AS max, round(avg(n), 6) AS mean, trunc(median(n))::BIGINT AS median FROM v""",
     ),
     "tr14_top_drops": (
-        lambda s, d: tr.top_drops(va.drops(_plan(s, d).where("category = 'B'"), _index(s, d).select("name", "n_frames"))),
+        lambda s, d: tr.top_drops(va.drops(_plan(s, d).where("category = 'B'"), _words(s, d).select("name", "n_frames"))),
         f"""WITH {SENT}, {INDEX}, {CAND}, c AS (SELECT token, arg_min(n_frames, ord) AS n_frames FROM cand WHERE ok GROUP BY 1), x AS (SELECT unnest(tokens) AS token FROM sent)
         SELECT CASE WHEN n_frames IS NULL THEN 'no_clip:' ELSE 'empty:' END || token AS reason, count(*) * 10 AS n FROM x LEFT JOIN c USING (token) WHERE coalesce(n_frames, 0) = 0 GROUP BY 1 ORDER BY n DESC, reason LIMIT 20""",
     ),

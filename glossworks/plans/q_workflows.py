@@ -13,7 +13,7 @@ from .tables import table as t
 
 def _w1(s, d):
     texts = t(s, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
-    return wf.text_to_batch(texts, t(s, d, "benchmark_words"), g._lemmas(g._tokens(s, d)), g._lexicon(s, d), "b1")
+    return wf.text_to_batch(texts, t(s, d, "benchmark_words").unionByName(g._phrases(s, d).withColumnRenamed("phrase", "word")), g._lemmas(g._tokens(s, d)), g._lexicon(s, d), "b1")
 
 
 def _w2(s, d):
@@ -23,7 +23,7 @@ def _w2(s, d):
     accepted = subs.select(F.col("sentenceText").alias("text"))
     glosses = t(s, d, "batches").select(F.col("text").alias("sentence"), F.array(F.concat(F.lit("w"), F.col("id") % 7), F.concat(F.lit("w"), F.col("id") % 11)).alias("glosses"))
     index = tr._index(s, d)
-    return wf.reviews_to_training_set(subs, t(s, d, "decisions"), accepted, t(s, d, "batches"), glosses, sources, index, index.where("ok").select("name", "n_frames"), 600)
+    return wf.reviews_to_training_set(subs, t(s, d, "decisions"), accepted, t(s, d, "batches"), glosses, sources, index, index.where("ok").select("name", "n_frames"), times=2)
 
 
 def _w3(s, d):
@@ -41,16 +41,20 @@ W1 = f"""{g.SENTENCES}, p AS (SELECT conv_id * 1000 + turn AS id, pos, len(strin
         CASE WHEN now = '' THEN a[i] WHEN len(string_split(now || ' ' || a[i], ' ')) <= 12 THEN now || ' ' || a[i] ELSE a[i] END FROM f WHERE i <= len(a)),
         clauses AS (SELECT id, pos, 0 AS cp, sentence AS clause FROM p WHERE n <= 12
         UNION ALL SELECT id, pos, unnest(range(len(done) + 1)), unnest(list_append(done, now)) FROM f WHERE i = len(a) + 1 AND len(a) > 0),
-        {g.RAW}, {g.TOKENS}, {g.FOUND},
-        pieces AS (SELECT id, pos, cp, clause, unnest(regexp_split_to_array(trim(clause), '\\s+')) AS raw, generate_subscripts(regexp_split_to_array(trim(clause), '\\s+'), 1) - 1 AS tp FROM clauses),
-        kept AS (SELECT * FROM (SELECT *, {g.CLEAN.format(x='raw')} AS token FROM pieces) WHERE token <> '' AND token NOT IN ({g.STOPS}) AND NOT regexp_full_match(token, '[0-9]+')),
+        b AS (SELECT list_filter(list_transform(regexp_split_to_array(lower(trim(text)), '\\s+'), lambda x: {g.CLEAN.format(x='x')}), lambda x: x <> '') AS w FROM benchmark),
+        ph AS (SELECT DISTINCT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS phrase FROM b),
+        {g.RAW}, {g.TOKENS}, {g.FOUND.replace("v AS (SELECT word FROM {benchmark_words})", "v AS (SELECT word FROM {benchmark_words} UNION SELECT phrase FROM ph)")},
+        ex AS (SELECT id, pos, cp, clause, list_filter(list_transform(regexp_split_to_array(lower(trim({g.EXPAND.format(x='clause')})), '\\s+'), lambda x: {g.CLEAN.format(x='x')}), lambda x: x <> '') AS w FROM clauses),
+        g2 AS (SELECT id, pos, cp, clause, w, i, phrase IS NOT NULL AS two FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM ex) LEFT JOIN ph ON phrase = w[i] || ' ' || w[i + 1]),
+        walk AS (SELECT id, pos, cp, 1::BIGINT AS i FROM ex UNION ALL SELECT g2.id, g2.pos, g2.cp, g2.i + CASE WHEN two THEN 2 ELSE 1 END FROM walk JOIN g2 ON walk.id = g2.id AND walk.pos = g2.pos AND walk.cp = g2.cp AND walk.i = g2.i),
+        kept AS (SELECT * FROM (SELECT id, pos, cp, clause, i - 1 AS tp, CASE WHEN two THEN w[i] || ' ' || w[i + 1] ELSE w[i] END AS token FROM walk JOIN g2 USING (id, pos, cp, i)) WHERE token NOT IN ({g.STOPS}) AND NOT regexp_full_match(token, '[0-9]+')),
         own AS (SELECT k.*, ((k.id::HUGEINT * 10000 + k.pos) * 10000 + cp) * 10000 + tp AS seq,
         upper(replace(coalesce(v1.word, v2.word, vl.m3, CASE WHEN length(k.token) % 3 = 0 THEN lem.lemma END), 'ß', 'ss')) AS gloss
         FROM kept k LEFT JOIN lem ON lem.token = k.token LEFT JOIN v v1 ON v1.word = k.token LEFT JOIN v v2 ON v2.word = lem.lemma LEFT JOIN vl ON vl.lemma = lem.lemma)"""
 #: the manifest of approved submissions, padded with the other texts.
 W2 = f"""b AS (SELECT id, max_by(text, batch || '|' || seq) AS text FROM {{batches}} GROUP BY id),
         cur AS (SELECT s.videoFileName AS filename, coalesce(b.text, s.sentenceText) AS sentence_text FROM {{submissions}} s LEFT JOIN b ON s.sentenceId = b.id WHERE s.source = 'submission' AND s.videoId IN (SELECT videoId FROM {{decisions}} WHERE decision = 'approved')),
-        src AS (SELECT 1 AS prio, seq, NULL::VARCHAR AS pseudo_gloss, sentence_text AS text, filename AS path FROM {{manifest}}), {tr.PADS.replace("300", "600")},
+        src AS (SELECT 1 AS prio, seq, NULL::VARCHAR AS pseudo_gloss, sentence_text AS text, filename AS path FROM {{manifest}}), {tr.PADS},
         gm AS (SELECT {tr.KEY.format(c='text')} AS k, min('w' || id % 7 || ' w' || id % 11) AS g FROM {{batches}} GROUP BY 1), {tr.JOINED}, {tr.VAL}"""
 
 QUERIES = {

@@ -26,7 +26,7 @@ TABLES = {
     "files": """SELECT DISTINCT 'b' || CAST(user_id % 3 AS STRING) || '_' || CAST(user_id * 20 + event_id % 20 AS STRING) || '.mp4' AS name FROM {events} WHERE event_id % 7 <> 0""",
     "clips": """SELECT 'word_' || chr(97 + CAST(user_id % 26 AS INT)) || CAST(event_id % 5 AS STRING) || '_' || CAST(20240101000000 + event_id AS STRING) || '.mp4' AS name, event_id AS seq FROM {events}""",
     "sentence_glosses": """SELECT conv_id AS sentence_id, turn AS seq, text AS sentence, upper(role) || '_' || CAST(turn % 4 AS STRING) AS gloss, CAST(turn AS BIGINT) AS pos FROM {conversations}""",
-    "manifest": """SELECT doc_id AS seq, CASE WHEN doc_id % 3 = 0 THEN 'sentence_' || CAST(doc_id AS STRING) || '.mp4' ELSE 'word_' || lang || CAST(doc_id AS STRING) || '.mp4' END AS filename, replace(lower(substring(text, 1, 12)), 'ß', 'ss') AS sentence_text, lang AS language, source, doc_id AS sentence_id FROM {documents}""",
+    "manifest": """SELECT doc_id AS seq, CASE WHEN doc_id % 3 = 0 THEN 'sentence_' || CAST(doc_id AS STRING) || '.mp4' ELSE 'word_' || lang || CAST(doc_id AS STRING) || '.mp4' END AS filename, replace(lower(text), 'ß', 'ss') AS sentence_text, lang AS language, source, doc_id AS sentence_id FROM {documents}""",
     "approved_docs": """SELECT l.doc_id FROM {labels} l WHERE l.quality = 1""",
     "benchmark_words": """SELECT DISTINCT word FROM (SELECT explode(split(lower(text), '[^a-z]+')) AS word FROM {benchmark}) w WHERE length(word) > 1""",
 }

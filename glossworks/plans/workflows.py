@@ -5,40 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossworks.functions.text import content_tokens, pack_clauses, split_sentences
+from glossworks.functions.common import materialize
+from glossworks.functions.text import content_words, expand_contractions, pack_clauses, split_sentences
 from glossworks.operators import augment, batches, gloss, review, segments, training, variants, vocab
 
 
 def text_to_batch(texts: DataFrame, words: DataFrame, lemmas: DataFrame, pos_lexicon: DataFrame, batch_id: str) -> dict[str, DataFrame]:
-    """Texts (id, text) -> clauses -> tokens -> glosses -> vocabulary and recording batch.
+    """Texts (id, text) -> clauses without contractions -> words and phrases -> glosses -> vocabulary and recording batch.
 
     Distinct tokens only meet the vocabulary; a repeated clause is one row of
     the glosses, while the vocabulary counts every occurrence.
     """
     clauses = pack_clauses(split_sentences(texts.select("id", "text"), ["id"]), ["id", "pos"]).withColumnRenamed("pos", "sentence_pos")
-    tokens = content_tokens(clauses, ["id", "sentence_pos", "clause_pos", "clause"], "clause")
+    keep = ["id", "sentence_pos", "clause_pos", "clause"]
+    phrases = words.select(F.lower("word").alias("phrase")).where("phrase LIKE '% %'")
+    tokens = content_words(gloss.tokenize_with_phrases(clauses.withColumn("expanded", expand_contractions(F.col("clause"))), keep, phrases, "expanded"))
     found = gloss.lookup_vocab(tokens, words, lemmas)
-    of_clause = gloss.extract_glosses(tokens, ["id", "sentence_pos", "clause_pos", "clause"], found, pos_lexicon)
+    of_clause = gloss.extract_glosses(tokens, keep, found, pos_lexicon)
     rows = of_clause.select(F.col("clause").alias("sentence"), F.posexplode("glosses").alias("p", "gloss"), F.struct("id", "sentence_pos", "clause_pos").alias("c"))
     rows = rows.select("sentence", "gloss", F.struct("c.id", "c.sentence_pos", "c.clause_pos", "p").alias("seq"))
     sentences = clauses.select(F.col("clause").alias("text"), F.struct("id", "sentence_pos", "clause_pos", F.lit(-1).alias("p")).alias("seq"))
     return {"glosses": of_clause, "vocabulary": gloss.vocab_stats(of_clause), "batch": batches.build_batch(rows, sentences, batch_id)}
 
 
-def reviews_to_training_set(subs: DataFrame, decs: DataFrame, accepted: DataFrame, texts: DataFrame, glosses: DataFrame, sources: DataFrame, index: DataFrame, frames: DataFrame, target: int, preset: str = "36x", seed: int = 0) -> dict[str, DataFrame]:
+def reviews_to_training_set(subs: DataFrame, decs: DataFrame, accepted: DataFrame, texts: DataFrame, glosses: DataFrame, sources: DataFrame, index: DataFrame, frames: DataFrame, target: int | None = None, times: float | None = None, preset: str = "36x", seed: int = 0) -> dict[str, DataFrame]:
     """Review logs -> manifest -> padded entries -> resources -> variants -> split. Everything is planned on ids.
 
     glosses: sentence, glosses; sources: as of pad_to_target; index: token, name, seq; frames: name, n_frames.
     """
     manifest = review.collect(subs, decs, accepted, texts)
-    pads = training.pad_to_target(manifest, sources, target)
-    entries = training.build_entries(manifest, pads, glosses)
+    manifest = materialize(manifest, "manifest")
+    pads = training.pad_to_target(manifest, sources, target or training.TARGET, times)
+    entries = materialize(training.build_entries(manifest, pads, glosses), "entries")
     resolved = training.resolve_resources(training.entry_tokens(entries.where("NOT is_pad")), index, frames)
     usable = resolved.where("has_feature").select("token", "ord", "name").withColumn("category", F.explode(F.array(F.lit("B"), F.lit("C"))))
-    planned = variants.expand_variants(entries.where("NOT is_pad"), preset, seed)
+    planned = materialize(variants.expand_variants(entries.where("NOT is_pad"), preset, seed), "variants")  # orders are drawn once
     recipe = variants.recipe(planned, usable, seed)
     made = variants.planned_variants(recipe, frames)
-    kept = planned.where(F.col("category").startswith("A")).select("variant_id", "category").unionByName(made.select("variant_id", "category"))
+    kept = materialize(planned.where(F.col("category").startswith("A")).select("variant_id", "category").unionByName(made.select("variant_id", "category")), "kept")
     return {"manifest": manifest, "entries": training.split_train_val_test(entries, seed=42), "recipe": recipe, "variants": training.split_variants(kept)}
 
 

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from glossworks.functions.common import last_wins
+from glossworks.operators.similarity import nearest_prototype
+
 #: Frames of a window and between windows, and least hand and head scores.
 SIZE, STRIDE, LEAST = 6, 3, 0.8
 
@@ -54,23 +57,53 @@ def advance(frames: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _means(full), after
 
 
-def stream_windows(frames: DataFrame, path: str) -> DataFrame:
-    """session_windows of a stream, run over all that is there.
+#: Micro-batches after which the states of all sessions are written together, and without a frame in which a session is forgotten.
+WHOLE, IDLE = 16, 1000
+
+
+def _forget(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
-    Each micro-batch reads the state that the one before it wrote and writes its
-    windows and its state under its own number: a batch that runs again writes
-    the same again. A session's state is a count and SIZE - 1 vectors.
+
+def stream_windows(frames: DataFrame, path: str, prototypes: DataFrame | None = None, idle: int = IDLE) -> DataFrame:
+    """session_windows of a stream, run over all that is there; with prototypes (as of nearest_prototype) each window's token and score.
+
+    A session's state is a count and SIZE - 1 vectors. A micro-batch reads the last
+    state of all sessions (written every WHOLE batches) and what changed since,
+    and writes the sessions it changed and its windows under its own number: a
+    batch that runs again writes the same again. Sessions without a frame for
+    idle batches and states that no batch needs any more are dropped.
     """
     spark, kinds = frames.sparkSession, {f.name: f.dataType.simpleString() for f in frames.schema.fields}
-    schema = f"session {kinds['session']}, n bigint, vecs array<{kinds['vec']}>"
+    schema = f"session {kinds['session']}, n bigint, vecs array<{kinds['vec']}>, seen bigint"
+
+    def before(own: SparkSession, epoch: int) -> DataFrame:
+        """The states that batches before this one left."""
+        if not epoch:
+            return own.createDataFrame([], schema)
+        whole = (epoch - 1) // WHOLE * WHOLE
+        parts = [f"{path}/whole/{whole}", *(f"{path}/changed/{e}" for e in range(whole + 1, epoch))]
+        return last_wins(own.read.schema(schema).parquet(*parts), ["session"], ["seen"])
 
     def batch(df: DataFrame, epoch: int) -> None:
         own = df.sparkSession
-        state = own.read.schema(schema).parquet(f"{path}/state/{epoch - 1}") if epoch else own.createDataFrame([], schema)
+        state = before(own, epoch)
         windows, after = advance(df, state)
+        if prototypes is not None:
+            named = windows.withColumn("id", F.struct("session", "window"))
+            windows = named.join(nearest_prototype(named, prototypes), "id").drop("id")
         windows.write.mode("overwrite").parquet(f"{path}/windows/batch={epoch}")
-        idle = state.join(after.select("session"), "session", "left_anti")
-        after.select("session", F.col("n").cast("long").alias("n"), "vecs").unionByName(idle).write.mode("overwrite").parquet(f"{path}/state/{epoch}")
+        changed = kept_frames(df).select("session").distinct()
+        after = after.join(changed, "session", "left_semi").select("session", F.col("n").cast("long").alias("n"), "vecs", F.lit(epoch).cast("long").alias("seen"))
+        after.write.mode("overwrite").parquet(f"{path}/changed/{epoch}")
+        if epoch % WHOLE == 0:
+            now = own.read.schema(schema).parquet(f"{path}/changed/{epoch}")
+            rest = state.join(now.select("session"), "session", "left_anti").where(F.col("seen") > epoch - idle)
+            now.unionByName(rest).write.mode("overwrite").parquet(f"{path}/whole/{epoch}")
+            old = epoch - WHOLE  # still needed if this batch runs again
+            _forget(own, f"{path}/whole/{old - WHOLE}", *(f"{path}/changed/{e}" for e in range(old - WHOLE, old + 1)))
 
     frames.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).foreachBatch(batch).start().awaitTermination()
     return spark.read.parquet(f"{path}/windows").drop("batch")

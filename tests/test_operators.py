@@ -82,7 +82,7 @@ def test_readers_and_writers(spark, tmp_path):
 
 def test_text_functions(spark):
     one = lambda s, f: spark.createDataFrame([(s,)], "s string").select(f(F.col("s"))).first()[0]
-    assert one("WE'LL didn't I've", text.expand_contractions) == "WE will did not I have"
+    assert one("WE'LL didn't I’ve it‘s", text.expand_contractions) == "WE will did not I have it is"
     assert [one(x, text.clean_id) for x in (None, "NaN", "123.0", "12.5", "")] == ["", "", "123", "12.5", ""]
     assert [one(x, text.text_type) for x in ("word", "two words", "end.\n", "")] == ["word", "sentence", "sentence", "word"]
     assert one(" A_b ", text.gloss_key) == "a b" and one("is it ?! ", text.sentence_key) == "is it"
@@ -101,6 +101,20 @@ def test_the_longest_phrase_wins(spark):
     assert [(r.id, r.pos, r.token) for r in got] == [(1, 0, "in"), (1, 1, "new york city"), (1, 4, "new york"), (2, 0, "new")]
 
 
+def test_phrases_of_rows_without_a_key(spark):
+    phrases = spark.createDataFrame([("ice cream",)], "phrase string")
+    got = gloss.tokenize_with_phrases(spark.createDataFrame([(None, "Ice cream now"), (1, "ice")], "id int, sentence string"), ["id"], phrases)
+    assert rows(got) == ["(1, 0, 'ice')", "(None, 0, 'ice cream')", "(None, 2, 'now')"]
+
+
+def test_a_report_keeps_what_was_nearly_found(spark):
+    tokens = spark.createDataFrame([("go", "f", "I’d go…", 1), ("gone", "f", "x", 2)], "token string, file string, sentence string, seq int")
+    found = spark.createDataFrame([("go", "semantic", 0.8, "went"), ("gone", "semantic", 0.513, "went")], "token string, match_type string, confidence double, matched_to string")
+    report = {r.word: r for r in gloss.match_report(tokens, found, spark.createDataFrame([("went", "r", "g")], "word string, ref string, gloss string")).collect()}
+    assert (report["go"].status, report["go"].source_sentence, report["go"].ref) == ("matched", "I'd go...", "r")
+    assert (report["gone"].status, report["gone"].confidence, report["gone"].matched_to) == ("unmatched", 0.51, "")
+
+
 def test_a_sentence_equal_to_a_word_is_left_out(spark):
     g = spark.createDataFrame([("s1", "HELLO", 1), ("s2", "Hello", 2)], "sentence string, gloss string, seq long")
     s = spark.createDataFrame([("hello", 1), ("Hello", 2), (" s1 ", 3), ("", 4)], "text string, seq long")
@@ -171,6 +185,43 @@ def test_the_longest_stem_wins(spark):
     assert rows(segments.match_original(files.limit(2), stems, "first"))[1] == "('cv_odd_name_x.mp4', 'odd')"
 
 
+def test_names_as_training_clips_have_them(spark):
+    """Segments named by segment_labels and training_names keep their labels; words and sentences go by what their names contain."""
+    points = spark.createDataFrame([("my_long-clip", 0, "go."), ("my_long-clip", 1, "ice/cream!"), ("sentence_12", 0, "GO")], "stem string, seg int, label string")
+    labels = segments.segment_labels(points)
+    files = labels.select(F.concat("seg_stem", F.lit(".mp4")).alias("rel_path"), F.lit("seg_").alias("prefix"), F.lit("sentence").alias("level"))
+    poses = segments.training_names(files).select(F.regexp_replace("out", r"\.mp4$", "").alias("stem"))
+    more = ["aug_word_ice_cream", "cv-word_apple-2", "x_sentence_12_y", "sentence_1234", "aug_FRANCE", "word_icy", "nothing", "ab"]
+    poses = poses.unionByName(spark.createDataFrame([(x,) for x in more], "stem string"))
+    known = [("word_ice", ["ice"]), ("word_ice_cream", ["cream", "x"]), ("word_apple", ["apple"]), ("sentence_12", ["A", "B"]), ("FRANCE", ["France"]), ("b", ["bee"]), ("sentence_1", ["A"])]
+    got = {r.stem: (r.gloss, r.how) for r in segments.single_gloss(poses, spark.createDataFrame(known, "stem string, glosses array<string>"), labels).collect()}
+    assert got == {
+        "seg_my_long-clip_seg000_go._sentence": ("GO", "segment"), "seg_my_long-clip_seg001_ice_cream__sentence": ("ICE/CREAM", "segment"), "seg_sentence_12_seg000_GO_sentence": ("GO", "segment"),
+        "aug_word_ice_cream": ("CREAM", "word"), "cv-word_apple-2": ("APPLE", "word"), "x_sentence_12_y": (None, "sentence"), "sentence_1234": (None, "sentence"),
+        "aug_FRANCE": ("France", "single"), "word_icy": (None, "unmatched"), "nothing": (None, "unmatched"), "ab": ("bee", "single"),
+    }
+    assert segments.label_table(segments.single_gloss(poses, spark.createDataFrame(known, "stem string, glosses array<string>"), labels))[0].count() == 7
+    texts = spark.createDataFrame([("word_ice.mp4", "ice"), ("word_ice_cream.mp4", "ice cream")], "filename string, sentence_text string")
+    attached = review.attach_by_stem(spark.createDataFrame([("aug_word_ice_cream.mp4",), ("aug-word_ice-2.mp4",), ("other.mp4",)], "name string"), texts)
+    assert rows(attached) == ["('aug-word_ice-2.mp4', 'word_ice', 'ice')", "('aug_word_ice_cream.mp4', 'word_ice_cream', 'ice cream')", "('other.mp4', None, None)"]
+
+
+def test_batches_in_name_order(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "BOUNDS", 7)
+    names = [f"same_long_prefix_{i:03d}.mp4" for i in range(90)] + ["é.mp4", "z.mp4", "A.mp4"]
+    todo = jobs.batch_todo(spark.createDataFrame([(n,) for n in names * 2], "name string"), spark.createDataFrame([(names[5],)], "name string"), 10)
+    want = sorted((n for n in names if n != names[5]), key=lambda n: n.encode())
+    assert {r.name: r.batch for r in todo.collect()} == {n: i // 10 + 1 for i, n in enumerate(want)}
+
+
+def test_more_augmentations_than_a_thousand(spark):
+    augs = spark.createDataFrame([(f"a{i:04d}", True) for i in range(1500)], "aug_name string, enabled boolean")
+    plan, counts = augment.plan_augment(spark.createDataFrame([("s",)], "stem string"), augs, spark.createDataFrame([("a0003/s.mp4",)], "out string"))
+    assert plan.count() == 1499 and tuple(counts.first()) == (1, 1499)
+    views = spark.createDataFrame([("word_x", "yaw_1_zoom_2")], "name string, viewpoint string")
+    assert augment.plan_combined(views, augs, 1200).count() == 1200
+
+
 def test_clip_edges(spark):
     segs = spark.createDataFrame([("s", 0, 0.0, 1.0, "go/é."), ("s", 1, 1.0, 9.0, "b"), ("s", 2, 2.0, 2.0, "c"), ("s", 3, 9.0, 10.0, "d")], "stem string, seg int, start double, end double, label string")
     got = segments.clips(segs, spark.createDataFrame([("s", 25.0, 100)], "stem string, fps double, total_frames int")).orderBy("seg").collect()
@@ -227,10 +278,11 @@ def test_windows_of_kept_frames_and_their_stream(spark, tmp_path):
 
 
 def test_jobs(spark):
-    schema = "job_id string, generated_video_path string, created_at int"
-    old, new = spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], schema), spark.createDataFrame([("b", "z", 9), ("c", "w", 9), ("d", None, 9)], schema)
-    merged, counts = jobs.upsert_jobs(old, new)
-    assert rows(merged) == ["('a', 'x', 1)", "('b', 'z', 2)", "('c', 'w', 9)"] and tuple(counts.first()) == (1, 1, 1)
+    schema = "job_id string, video_id string, generated_video_path string, created_at int"
+    old = spark.createDataFrame([("a", "A", "x", 1), ("b", "B", "y", 2)], schema)
+    new = spark.createDataFrame([("b", "B2", "z", 9), ("b", "B3", "zz", 10), ("c", "C", "w", 9), ("c", "C2", "ww", 11), ("d", "D", None, 9)], schema)
+    merged, counts = jobs.upsert_jobs(old, new, order=["created_at"])  # one row of an id, set by its last; a new one keeps what its first inserted
+    assert rows(merged) == ["('a', 'A', 'x', 1)", "('b', 'B', 'zz', 10)", "('c', 'C', 'ww', 11)"] and tuple(counts.first()) == (1, 3, 1)
     tasks = spark.createDataFrame([(f"t{i}", "completed", i) for i in range(7)] + [("x", "running", 9)], "task_id string, status string, created_at int")
     assert rows(jobs.retention(tasks)) == ["('t0',)", "('t1',)"] and jobs.retention(tasks, 0).count() == 0
     todo = jobs.batch_todo(spark.createDataFrame([(f"f{i:02d}",) for i in range(7)], "name string"), spark.createDataFrame([("f00",)], "name string"), 4)
