@@ -2,45 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossworks.functions.common import BROADCAST_BYTES, materialize, shared_dir, small
+
+__all__ = ["BLANKS", "BROADCAST_BYTES", "NOT_WORD", "ascii_lower", "materialize", "most_frequent", "row_key", "shared_dir", "small", "words"]
+
 #: ASCII white space: space and tab to carriage return.
 BLANKS = "[\\x20\\x09-\\x0D]+"
 #: What separates words of ASCII letters, digits and anything beyond ASCII.
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Measured bytes up to which a table is broadcast; beyond them the join shuffles.
-BROADCAST_BYTES = 64 << 20
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = spark.conf.get("spark.glossworks.shared.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="glossworks-")
-        spark.conf.set("spark.glossworks.shared.dir", found)
-    return found
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it again: cuts the lineage, survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/glossworks-{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """A table for the inner side of a join: broadcast if its rows, measured as JSON and eight bytes a column, are few bytes; else left to a shuffle join."""
-    row = F.octet_length(F.to_json(F.struct(*df.columns))) + 8 * len(df.columns)
-    return F.broadcast(df) if (df.agg(F.sum(row.cast("long"))).first()[0] or 0) <= limit else df
-
-
 def most_frequent(counted: DataFrame, limit: int, n: str = "n") -> DataFrame:
     """The rows of the highest counts, at most limit of them: all beyond a count that a histogram of powers of 2^(1/16) gives."""
     step = F.floor(F.log2(F.col(n)) * 16)

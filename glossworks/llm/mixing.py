@@ -1,10 +1,11 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame functions only.
 
-Weights become whole shares of a period of slots. Block k of a source with share
-s of D is released at slot floor(k*D/s) and due by ceil((k+1)*D/s); earliest
-deadline first gives every slot to a released block, so that before any slot each
-source is less than one block off its target. As all sources are exactly on
-target at a period's end, one period is worked out and repeated: a block's slot
+Weights are whole numbers. With W their sum (divided, as they are, by their
+greatest common divisor), block k of a source of weight w is released at slot
+floor(k*W/w) and due by ceil((k+1)*W/w); earliest deadline first gives every slot
+to a released block, so that before any slot each source is less than one block
+off its target. After W slots every source is exactly on target, so W slots are
+worked out and repeated for ever without an error that grows: a block's slot
 follows from its number alone, and no task sees a whole source.
 """
 
@@ -17,8 +18,8 @@ from pyspark.sql.window import Window
 from .common import materialize, small
 
 BLOCK = 8
-#: Slots of a period; doubled until a source has eight on average.
-PERIOD = 256
+#: Slots that are worked out at most, and at a time. Weights that need more don't get a plan (they are better rounded by who sets them).
+MOST_SLOTS, CHUNK = 1 << 21, 1024
 #: Sources are dealt in this many parts of equal hash prefix (16 ** PREFIX) for numbering.
 PREFIX = 3
 
@@ -32,24 +33,23 @@ def default_weights(counts: DataFrame) -> DataFrame:
     return counts.select("source", F.floor(F.sqrt(F.col("n").cast("double"))).cast("long").alias("weight"))
 
 
-def shares(weights: DataFrame, period: int | None = PERIOD) -> DataFrame:
-    """One row: D and sources, an array of (source, share), by largest remainder; each share is at least one. No period: D is the
-    sum of the weights and each share its weight, with nothing rounded."""
-    whole = weights.where("weight > 0").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("name"), "source", "weight"))).alias("w"))
-    if period is None:
-        total = F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a + x["weight"])
-        return whole.select(total.alias("D"), F.transform("w", lambda x: F.struct(x["source"].alias("source"), x["weight"].cast("long").alias("share"))).alias("sources"))
-    sized = whole.select("w", F.greatest(F.lit(period), F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.size("w") * 8, F.lit(1)))))).cast("long").alias("D"), F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a + x["weight"]).alias("total"))
-    # one slot each, the rest in proportion
-    given = sized.select("D", F.transform("w", lambda x, i: F.struct(x["source"].alias("source"), i.alias("i"), x["weight"].alias("weight"))).alias("w"), "total", (F.col("D") - F.size("w")).alias("rest"))
-    given = given.select("D", "rest", F.transform("w", lambda x: F.struct(x["source"].alias("source"), x["i"].alias("i"), (1 + _div(F.col("rest") * x["weight"], F.col("total"))).alias("share"), ((F.col("rest") * x["weight"]) % F.col("total")).alias("left"))).alias("w"))
-    given = given.select("D", "w", (F.col("D") - F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a + x["share"])).alias("over"), F.array_sort(F.transform("w", lambda x: F.struct((-x["left"]).alias("l"), x["i"].alias("i")))).alias("order"))
-    extra = lambda x: F.when(F.array_position(F.transform("order", lambda o: o["i"]), x["i"]) <= F.col("over"), 1).otherwise(0)
-    return given.select("D", F.transform("w", lambda x: F.struct(x["source"].alias("source"), (x["share"] + extra(x)).cast("long").alias("share"))).alias("sources"))
+def shares(weights: DataFrame) -> DataFrame:
+    """One row: D and sources, an array of (source, share): the weights above 0 by their greatest common divisor, in order of name, and their sum."""
+    whole = weights.where("weight > 0").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("name"), "source", F.col("weight").cast("long").alias("weight")))).alias("w"))
+
+    def gcd(a: Column, b: Column) -> Column:
+        """Euclid's steps; 64-bit numbers need fewer than 92."""
+        turned = F.aggregate(F.sequence(F.lit(1), F.lit(92)), F.struct(a.alias("a"), b.alias("b")), lambda s, _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), F.pmod(s["a"], F.greatest(s["b"], F.lit(1))).alias("b"))))
+        return turned["a"]
+
+    divisor = F.aggregate("w", F.lit(0).cast("long"), lambda a, x: gcd(x["weight"], a))
+    known = whole.select("w", F.greatest(divisor, F.lit(1)).alias("g"))
+    parts = F.transform("w", lambda x: F.struct(x["source"].alias("source"), _div(x["weight"], F.col("g")).alias("share")))
+    return known.select(parts.alias("sources")).select(F.aggregate("sources", F.lit(0).cast("long"), lambda a, x: a + x["share"]).alias("D"), "sources")
 
 
 def template(plan: DataFrame) -> DataFrame:
-    """D, source, share, nth, at: the slot in a period of each of a source's blocks, by earliest deadline first."""
+    """D, source, share, nth, at: the slot of each block of the first D slots, by earliest deadline first; ties by the order of names."""
 
     def jobs(taken):
         def job(s, i):
@@ -72,9 +72,21 @@ def template(plan: DataFrame) -> DataFrame:
             1,
         )
 
-    start = F.struct(F.transform("sources", lambda s: F.lit(0).cast("long")).alias("taken"), F.array().cast("array<struct<at:bigint,i:int,nth:bigint>>").alias("out"))
-    ran = plan.where(F.size("sources") > 0).select("D", "sources", F.aggregate(F.sequence(F.lit(0).cast("long"), F.col("D") - 1), start, slot, lambda s: s["out"]).alias("out"))
-    return ran.select("D", "sources", F.inline("out")).select("D", F.element_at("sources", F.col("i") + 1).alias("s"), "nth", "at").select("D", "s.source", "s.share", "nth", "at")
+    none = F.array().cast("array<struct<at:bigint,i:int,nth:bigint>>")
+
+    def chunk(state, c):
+        """CHUNK slots, so that what is appended to stays short."""
+        start = F.struct(state["taken"].alias("taken"), none.alias("out"))
+        ran = F.aggregate(F.sequence(c * CHUNK, F.least((c + 1) * CHUNK, F.col("D")) - 1), start, slot)
+        return F.element_at(F.transform(F.array(ran), lambda r: F.struct(r["taken"].alias("taken"), F.concat(state["done"], F.array(r["out"])).alias("done"))), 1)
+
+    start = F.struct(F.transform("sources", lambda s: F.lit(0).cast("long")).alias("taken"), F.array().cast("array<array<struct<at:bigint,i:int,nth:bigint>>>").alias("done"))
+    fits = F.when(F.col("D") <= MOST_SLOTS, F.col("D")).otherwise(F.raise_error(F.concat(F.lit("the weights sum to "), F.col("D").cast("string"), F.lit(f" by their greatest common divisor, more than {MOST_SLOTS}"))).cast("long"))
+    chunks = F.sequence(F.lit(0).cast("long"), _div(F.col("D") - 1, F.lit(CHUNK).cast("long")))
+    plan = materialize(plan.withColumn("D", fits), "plan")  # one row; else its expressions would be worked out again in every slot
+    ran = plan.where(F.size("sources") > 0).select("D", "sources", F.aggregate(chunks, start, chunk, lambda s: s["done"]).alias("done"))
+    each = ran.select("D", "sources", F.explode("done").alias("out")).select("D", "sources", F.inline("out"))
+    return each.select("D", F.element_at("sources", F.col("i") + 1).alias("s"), "nth", "at").select("D", "s.source", "s.share", "nth", "at")
 
 
 def numbered(docs: DataFrame, id_col: str, source_col: str) -> DataFrame:
@@ -90,23 +102,22 @@ def numbered(docs: DataFrame, id_col: str, source_col: str) -> DataFrame:
     return joined.withColumn("__rn", (F.col("__before") + F.col("__rn") - 1).cast("long")).drop("__md5", "__part", "__source", "__p", "__before")
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, period: int | None = PERIOD) -> DataFrame:
+def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK) -> DataFrame:
     """docs with block (number within its source), release, deadline, slot, position; columns of these names give way.
 
-    Reading by slot, then position, gives the mixture. All rows are returned: a
-    source that ends early leaves its later slots free, one without a weight (or
-    with none above 0) has null in the added columns. A null source is a source of
-    its own, null ids come in md5('') order; an empty table gives an empty table.
-    weights: source, weight (long); null: default_weights. period: null keeps to the weights
-    themselves however many rows there are, over as many slots as they sum to; else they are
-    rounded to shares of the period, and what that rounds off adds up from period to period.
+    Reading by slot, then position, gives the mixture: before any slot each source
+    is less than one block off its weight's part, however long it goes on. All
+    rows are returned: a source that ends early leaves its later slots free, one
+    without a weight (or with none above 0) has null in the added columns. A null
+    source is a source of its own, null ids come in md5('') order, rows that repeat
+    an id in any; an empty table gives an empty table.
+    weights: source, weight (whole numbers); null: default_weights.
     """
     docs = docs.drop("block", "release", "deadline", "slot", "position")
     rows = numbered(docs, id_col, source_col)
     if weights is None:
         weights = default_weights(docs.groupBy(F.col(source_col).alias("source")).agg(F.count("*").alias("n")))
-    slots = materialize(template(shares(weights, period)), "slots")
-    # a period's slots: as many as the number of sources asks for, whatever the rows (sources are names, at most thousands)
+    slots = materialize(template(shares(weights)), "slots")
     of = small(slots.select(F.col("D").alias("__d"), F.col("source").alias("__src"), F.col("share").alias("__share"), F.col("nth").alias("__nth"), F.col("at").alias("__at")))
     each = small(slots.select(F.col("source").alias("__own"), F.col("share").alias("__s")).distinct())
     rows = rows.join(each, F.col(source_col).eqNullSafe(F.col("__own")), "left").withColumn("block", F.expr(f"__rn div {int(block)}"))

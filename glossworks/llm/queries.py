@@ -72,10 +72,8 @@ SQL: dict[str, str] = {
     "op8_mixing": """
         WITH RECURSIVE c AS (SELECT source, floor(sqrt(count(*)))::BIGINT AS w FROM documents GROUP BY source),
         o AS (SELECT source, w, row_number() OVER (ORDER BY coalesce(source, ''), source) - 1 AS i FROM c WHERE w > 0),
-        k AS (SELECT count(*) AS n, sum(w)::BIGINT AS total, greatest(256, pow(2, ceil(log2(count(*) * 8)))::BIGINT) AS d FROM o),
-        s AS (SELECT source, i, d, 1 + ((d - n) * w) // total AS share, ((d - n) * w) % total AS rest FROM o, k),
-        f AS (SELECT source, i, d, (share + CASE WHEN row_number() OVER (ORDER BY rest DESC, i) <= d - sum(share) OVER () THEN 1 ELSE 0 END)::BIGINT AS share FROM s),
-        a AS (SELECT list(share ORDER BY i) AS sh, max(d) AS d FROM f),
+        f AS (SELECT source, i, w // (SELECT list_reduce(list(w), lambda a, b: gcd(a, b)) FROM o) AS share FROM o),
+        a AS (SELECT list(share ORDER BY i) AS sh, sum(share)::BIGINT AS d FROM f),
         sim AS (SELECT 0::BIGINT AS t, list_transform(sh, lambda x: 0::BIGINT) AS taken, -1::BIGINT AS pick, -1::BIGINT AS nth FROM a
             UNION ALL SELECT t + 1, list_transform(taken, lambda x, j: x + CASE WHEN j = p % 100000 + 1 THEN 1 ELSE 0 END), p % 100000, taken[p % 100000 + 1] FROM (
                 SELECT t, taken, list_min(list_filter(list_transform(taken, lambda x, j: CASE WHEN x * d // sh[j] <= t THEN ((x + 1) * d + sh[j] - 1) // sh[j] * 100000 + j - 1 END), lambda y: y IS NOT NULL)) AS p
@@ -83,7 +81,7 @@ SQL: dict[str, str] = {
         r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS rn FROM documents)
         SELECT doc_id, r.source, rn // 8 AS block, rn // 8 * d // share AS release, ((rn // 8 + 1) * d + share - 1) // share AS deadline,
                rn // 8 // share * d + sim.t - 1 AS slot, rn % 8 AS position
-        FROM r LEFT JOIN f ON r.source IS NOT DISTINCT FROM f.source LEFT JOIN sim ON sim.pick = f.i AND sim.nth = (rn // 8) % share AND sim.t > 0""",
+        FROM r CROSS JOIN a LEFT JOIN f ON r.source IS NOT DISTINCT FROM f.source LEFT JOIN sim ON sim.pick = f.i AND sim.nth = (rn // 8) % share AND sim.t > 0""",
     "op10_decontaminate": r"""
         WITH d AS (SELECT doc_id, row_number() OVER () AS k, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
         b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),

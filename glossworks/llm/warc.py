@@ -15,6 +15,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyarrow import fs
@@ -30,6 +31,8 @@ LEAST_BYTES = 1000
 #: Bytes after which a stretch (what one task reads) and an archive end.
 STRETCH, ARCHIVE = 32 << 20, 1 << 30
 READ = 1 << 18
+#: Tasks that stretches are dealt over at most; beyond them a task reads several, one after the other.
+MOST_TASKS = 20_000
 
 
 def plan(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", least_bytes: int = LEAST_BYTES) -> DataFrame:
@@ -51,17 +54,22 @@ def chunks(planned: DataFrame, id_col: str = "page_id", url_col: str = "url", ch
     ).select("id", "url", "bytes", "digest", "to", "i", F.when(F.col("to").isNull(), F.substring("__payload", F.col("i") * chunk + 1, F.lit(chunk))).alias("data"))
 
 
+def _urn(page: str | None) -> str:
+    """A record's name; a null id has one of its own."""
+    return "<urn:page>" if pd.isna(page) else f"<urn:page:{quote(page)}>"
+
+
 def _head(row, kind: str) -> bytes:
     """The WARC header block of a record, and of a response the HTTP header with it."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     length = len(http) + (int(row.bytes) if kind == "response" else 0)
     url = "".join(c for c in (row.url or "") if c >= " ") or "urn:page"
     lines = [
-        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{row.id}>", f"WARC-Target-URI: {url}", "WARC-Date: 2000-01-01T00:00:00Z",
+        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_urn(row.id)}", f"WARC-Target-URI: {url}", "WARC-Date: 2000-01-01T00:00:00Z",
         f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(row.digest)).decode()}", f"X-Payload-Length: {int(row.bytes)}",
     ]
     if kind == "revisit":
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{row.to}>"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_urn(row.to)}"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {length}", "", ""]
     return "\r\n".join(lines).encode() + http
 
@@ -129,6 +137,12 @@ def _records(stream, length: int) -> Iterator[tuple[dict[str, str], Iterator[byt
         unpack = zlib.decompressobj(31)
         buffer = b""
 
+        def more_of_it() -> bytes:
+            data = pull()
+            if not data:
+                raise EOFError("a record is shorter than its header says")
+            return data
+
         def pull() -> bytes:
             """Some bytes of this member; nothing at its end."""
             nonlocal waiting
@@ -145,22 +159,23 @@ def _records(stream, length: int) -> Iterator[tuple[dict[str, str], Iterator[byt
             return b""
 
         while b"\r\n\r\n" not in buffer:
-            buffer += pull()
+            buffer += more_of_it()
         head, _, buffer = buffer.partition(b"\r\n\r\n")
         fields = dict(line.split(": ", 1) for line in head.decode("utf-8", "replace").split("\r\n")[1:])
         rest = int(fields["Content-Length"])
 
         def payload(buffer: bytes, rest: int) -> Iterator[bytes]:
             while b"\r\n\r\n" not in buffer:
-                buffer += pull()
+                buffer += more_of_it()
             http, _, buffer = buffer.partition(b"\r\n\r\n")
             rest -= len(http) + 4
             while rest:
-                buffer = buffer or pull()
+                buffer = buffer or more_of_it()
                 piece, buffer = buffer[:rest], buffer[rest:]
                 rest -= len(piece)
                 yield piece
-                buffer = b"" if not rest else buffer
+            if buffer not in (b"", b"\r\n\r\n"[: len(buffer)]):
+                raise ValueError("a record is longer than its header says")
 
         pieces = payload(buffer, rest)
         yield fields, pieces
@@ -184,7 +199,7 @@ def read_chunks(stretches: DataFrame, folder: str, with_data: bool = False, chun
                 with store.open_input_file(part.path) as stream:
                     stream.seek(part.start)
                     for n, (fields, pieces) in enumerate(_records(stream, part.end - part.start)):
-                        page = lambda name, fields=fields: fields[name][10:-1] if name in fields else None
+                        page = lambda name, fields=fields: unquote(fields[name][10:-1]) if fields.get(name, "").startswith("<urn:page:") else None
                         fixed = (f"{part.path}:{part.start}:{n}", page("WARC-Record-ID"), fields["WARC-Target-URI"], fields["WARC-Type"], page("WARC-Refers-To"), base64.b32decode(fields["WARC-Payload-Digest"][5:]).hex(), int(fields["X-Payload-Length"]))
                         sha, data, i = hashlib.sha1(), b"", 0
                         for piece in pieces:
@@ -203,8 +218,9 @@ def read_chunks(stretches: DataFrame, folder: str, with_data: bool = False, chun
         if rows:
             yield pd.DataFrame(rows, columns=names)
 
-    dealt = stretches.repartition("path", "start")
-    return dealt.mapInPandas(read, schema)
+    # a number given keeps each stretch a task of its own, or a few of the very many
+    parts = max(1, min(stretches.count(), MOST_TASKS))
+    return stretches.repartition(parts, "path", "start").mapInPandas(read, schema)
 
 
 def records(table: DataFrame) -> DataFrame:
@@ -219,12 +235,13 @@ def records(table: DataFrame) -> DataFrame:
 def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
     """Writes pages as archives in the shared folder, reads them back: records() of what is there.
 
-    A null payload is empty; a null id is written as "None" and read back as null;
-    of rows that repeat an id and a kept payload each is a response; an empty table
-    gives no archive and no rows.
+    A null payload is empty and a null id null again; of rows that repeat an id and
+    a kept payload each is a response, of equal payloads that of the largest id; a
+    payload of any length passes in chunks; an empty table gives no archive and no
+    rows. A damaged archive fails the read.
     """
     folder = f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     stretches = write_archives(chunks(plan(pages, id_col, payload_col), id_col, url_col), folder)
     kind = pages.schema[id_col].dataType
     found = records(read_chunks(stretches, folder))
-    return found.select(F.when(F.col("id") != "None", F.col("id")).cast(kind).alias(id_col), "url", F.col("kind").alias("record_type"), F.col("to").cast(kind).alias("refers_to"), "payload_bytes", "payload_digest")
+    return found.select(F.col("id").cast(kind).alias(id_col), "url", F.col("kind").alias("record_type"), F.col("to").cast(kind).alias("refers_to"), "payload_bytes", "payload_digest")

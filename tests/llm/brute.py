@@ -1,6 +1,7 @@
 """Plain Python versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -51,6 +52,50 @@ def quality(text):
     }
 
 
+def kept(rows):
+    """doc_id -> whether quality rules keep it. rows: doc_id, text, lang, source."""
+    from glossworks.llm.quality import PRIOR, RULES, SPREAD
+
+    measures, good = {}, {}
+    for doc, text, lang, source, *_ in rows:
+        q = quality(text)
+        lines = sum(1 for x in text.split("\n") if WORD.search(x))
+        upper, letters = len(re.findall("[A-Z]", text)), len(re.findall("[A-Za-z]", text))
+        per = lambda a, b: a / max(1, b)
+        measures[doc] = {"symbol_share": per(q["n_symbols"], q["word_chars"]), "dup_line_share": per(q["n_dup_lines"], lines), "repeat_share": per(q["n_repeat_words"], q["n_words"]), "shout_share": per(upper, letters), "word_chars_mean": per(q["word_chars"], q["n_words"])}
+        good[doc] = not q["base_failed"]
+
+    def shares(docs, rule):
+        step = RULES[rule][2]
+        count = Counter(math.floor(m / step) if step < 1 else math.floor(math.log(max(m, 1.0)) / math.log(step)) for m in (measures[d][rule] for d in docs))
+        return {b: n / len(docs) for b, n in count.items()}, len(docs)
+
+    def blend(own, above):
+        mine, n = own
+        return {b: (mine.get(b, 0) * n + above.get(b, 0) * PRIOR) / (n + PRIOR) for b in mine.keys() | above.keys()}
+
+    def limits(rule, lang, source):
+        p, both, step = RULES[rule]
+        level = lambda test: [r[0] for r in rows if good[r[0]] and test(r)]
+        every = shares(level(lambda r: True), rule)[0]
+        dist = blend(shares(level(lambda r: r[2] == lang and r[3] == source), rule), blend(shares(level(lambda r: r[2] == lang), rule), every))
+        at, total = {}, 0.0
+        for b in sorted(dist):
+            total += dist[b]
+            for x in (p, 0.5, 1 - p):
+                if total >= x - 1e-9:
+                    at.setdefault(x, b)
+        edge = (lambda b: b * step) if step < 1 else (lambda b: step**b)
+        high, low = edge(at[p] + 1), edge(at[1 - p])
+        return (low - SPREAD * (edge(at[0.5] + 1) - low) if both else -1.0), high + SPREAD * (high - edge(at[0.5]))
+
+    found = {}
+    for doc, _, lang, source, *_ in rows:
+        within = lambda rule: (lambda lo_hi: lo_hi[0] <= measures[doc][rule] <= lo_hi[1])(limits(rule, lang, source))  # noqa: B023, E731
+        found[doc] = good[doc] and all(within(rule) for rule in RULES)
+    return found
+
+
 def fingerprint(text):
     words = WORD.findall((text or "").translate(UP))
     if not words:

@@ -1,10 +1,12 @@
 """op2, op3, op5, op6, op7."""
 
+import base64
 import hashlib
 import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from glossworks.llm import licenses, queries, secrets, tokens, toxicity, warc
 from tests.llm.test_pipeline_ops import SCHEMA, TEXTS, prose
@@ -30,6 +32,35 @@ def test_warc_chunks_carry_digests(spark, tmp_path):
         assert r.digest == hashlib.sha1(html[: (r.i + 1) * warc.CHUNK].encode()).hexdigest()
 
 
+def test_warc_ids_and_repeated_rows(spark):
+    rows = [("None", "u", "a"), (None, "u", "b"), ("x>y\r\n z", "u", "c"), ("r", "u", "z" * 2000), ("r", "u", "z" * 2000), ("q", "u", "z" * 2000)]
+    docs = spark.createDataFrame(rows, "page_id string, url string, html string").selectExpr("*", "1 AS id", "2 AS digest", "'k' AS kind", "3 AS i")
+    got = warc.round_trip(docs).collect()
+    assert sorted((str(r.page_id), r.record_type, r.refers_to) for r in got) == [("None", "response", None)] * 2 + [("q", "revisit", "r"), ("r", "response", None), ("r", "response", None), ("x>y\r\n z", "response", None)]
+
+
+def test_warc_stretches_are_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "STRETCH", 1)
+    pages = spark.createDataFrame([(i, "u", str(i) * 3000) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    stretches = warc.write_archives(warc.chunks(warc.plan(pages)), str(tmp_path / "w"))
+    table = warc.read_chunks(stretches, str(tmp_path / "w"))
+    assert stretches.count() >= 30 and table.select(F.spark_partition_id().alias("p")).distinct().count() > 10
+
+
+@pytest.mark.parametrize("damage", ["cut", "short", "long", "garbage"])
+def test_warc_damage_is_found(spark, tmp_path, damage):
+    whole = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Target-URI: u\r\nWARC-Payload-Digest: sha1:" + base64.b32encode(hashlib.sha1(b"abc").digest()) + b"\r\nX-Payload-Length: 3\r\nContent-Length: %d\r\n\r\nHTTP/1.1 200 OK\r\n\r\nabc\r\n\r\n"
+    size = {"short": 50, "long": 20}.get(damage, 22)
+    member = zlib.compressobj(6, zlib.DEFLATED, 31)
+    data = member.compress(whole % size) + member.flush()
+    data = {"cut": data[:-12], "garbage": b"\0" * 40}.get(damage, data)
+    place = tmp_path / "a.warc.gz"
+    place.write_bytes(data)
+    stretches = spark.createDataFrame([(str(place), 0, len(data))], "path string, start long, end long")
+    with pytest.raises(Exception, match="EOFError|ValueError|error|damaged"):
+        warc.records(warc.read_chunks(stretches, str(tmp_path))).collect()
+
+
 def test_warc_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
