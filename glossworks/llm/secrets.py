@@ -1,10 +1,12 @@
 """Secret scans with a random forest that removes false findings.
 
 Candidates are unbroken strings that mix letters and digits. Each is described by
-its length, by how likely its character transitions are in the corpus's own words,
+its length, by how likely its character transitions are in the words of the corpus,
 by how much of it such words cover, by its path (the document's source) and by
-the words and signs beside it. A random forest learned from labelled findings
-keeps what looks like a secret.
+the words and signs beside it. Transitions and the dictionary are counted over
+all words of all documents; the dictionary stays a table, which the candidates'
+pieces are joined to. A random forest learned from labelled findings keeps what
+looks like a secret.
 """
 
 from __future__ import annotations
@@ -21,20 +23,25 @@ from pyspark.sql import functions as F
 from .common import materialize, row_key, small
 
 #: A candidate: sixteen or more characters without white space, letters and digits among them.
-SHAPE = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*[0-9])(?=[0-9_+/=-]*[A-Za-z])[A-Za-z0-9_+/=-]{16,512}(?![A-Za-z0-9_+/=-])"
+SHAPE = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9])(?=[0-9_+/=-]*+[A-Za-z])[A-Za-z0-9_+/=-]{16,}+"
 _shape = re.compile(SHAPE)
 #: Words before a candidate that name a secret, and signs of assignment.
 NAMES = r"(?:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|apikey|access[_-]?key|private[_-]?key|credential|auth|bearer)"
 _named = re.compile(NAMES + r"\W{0,6}$", re.I)
 _assigned = re.compile(r"[=:]\s*[\"']?$")
-#: Labelled findings that the forest is fitted on at most (a uniform sample by hash), its trees, and words of the dictionary.
-MOST_LABELLED, TREES, DEPTH, WORDS = 50_000, 40, 8, 20_000
-FEATURES = ("length", "transitions", "switches", "entropy", "covered", "digits", "upper", "hexadecimal", "path", "named", "assigned", "quoted", "after_word")
+_word = re.compile(r"[^\W\d_]+")
+#: Labelled findings that the forest is fitted on at most (a part of them by hash), its trees and their depth.
+MOST_LABELLED, TREES, DEPTH = 50_000, 40, 8
+#: Features of a candidate's own form, of its place and neighbours; and those that tell what names and signs stand before it.
+FORM = ("length", "transitions", "switches", "entropy", "covered", "digits", "upper", "hexadecimal", "path", "line_words", "before_known", "after_known", "after_word")
+CONTEXT = ("named", "assigned", "quoted")
+FEATURES = FORM + CONTEXT
 CANDIDATE = "start int, end int, value string, before string, after string"
+SEED = 42
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """id, key, path and each candidate with up to 24 characters on either side; places are code points."""
+    """id, key, path and each candidate with what its line has on either side; places are code points."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -43,7 +50,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for doc, key, path, text in zip(frame["id"], frame["key"], frame["path"], frame["text"], strict=True):
                 for m in _shape.finditer(text):
                     a, b = m.span()
-                    rows.append((doc, key, path, a, b, m.group(), text[max(0, a - 24) : a], text[b : b + 24]))
+                    left, right = text.rfind("\n", 0, a) + 1, text.find("\n", b)
+                    rows.append((doc, key, path, a, b, m.group(), text[max(left, a - SIDE) : a], text[b : min(b + SIDE, right if right >= 0 else len(text))]))
             out = pd.DataFrame(rows, columns=["id", "key", "path", "start", "end", "value", "before", "after"])
             out["id"] = pd.Series([r[0] for r in rows], dtype=frame["id"].dtype)
             yield out
@@ -52,85 +60,114 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return some.mapInPandas(read, f"id {kind}, key long, path string, {CANDIDATE}")
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", most: int = WORDS) -> dict[str, int]:
-    """The words of four letters or more that most documents have, by counts over all documents."""
+#: Characters of its line that a candidate keeps on either side: many candidates of one very long line don't each carry it whole.
+SIDE = 256
+
+
+def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """w, n: the words of ASCII letters, in lower case, and how many documents have them; over all documents."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             sums: Counter = Counter()
             for text in frame["text"]:
-                sums.update({w for w in re.findall(r"[a-z]{4,12}", text.lower())})
+                sums.update(set(_ascii.findall(text.lower())))
             yield pd.DataFrame({"w": list(sums.keys()), "n": list(sums.values())})
 
     counted = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text")).mapInPandas(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    return {r.w: r.n for r in counted.where("n > 1").orderBy(F.desc("n"), "w").limit(most).collect()}
+    return materialize(counted, "dictionary")
+
+
+_ascii = re.compile(r"(?<![a-z0-9_])[a-z]+(?![a-z0-9_])")
+
 
+def transitions(words: DataFrame) -> dict[str, int]:
+    """Two letters -> how often they follow each other in the words, by the documents that have them."""
+    pairs = words.select("n", F.explode(F.expr("transform(sequence(1, greatest(length(w) - 1, 1)), i -> substring(w, i, 2))")).alias("p")).where("length(p) = 2")
+    return {r.p: r.n for r in pairs.groupBy("p").agg(F.sum("n").alias("n")).collect()}  # at most 26 * 26
 
-def features(found: DataFrame, words: dict[str, int]) -> DataFrame:
-    """found and x: array<double>, in the order of FEATURES."""
-    pairs, firsts = Counter(), Counter()
-    for w, n in words.items():
-        for a, b in zip(w, w[1:], strict=False):
-            pairs[a + b] += n
-            firsts[a] += n
 
-    def describe(value: str, path: str | None, before: str, after: str) -> list[float]:
+def features(found: DataFrame, words: DataFrame) -> DataFrame:
+    """found and x: array<double>, in the order of FEATURES. words: w, n, as of dictionary."""
+    pairs = transitions(words)
+    firsts: Counter = Counter()
+    for pair, n in pairs.items():
+        firsts[pair[0]] += n
+    kinds = {f.name: f.dataType.simpleString() for f in found.schema.fields}
+
+    def described(value: str, path: str | None, before: str, after: str) -> list[float]:
         low, n = value.lower(), len(value)
-        moves = [math.log((pairs[low[i : i + 2]] + 1) / (firsts[low[i]] + 40)) for i in range(n - 1)]
-        kinds = ["a" if c.islower() else "A" if c.isupper() else "9" if c.isdigit() else "-" for c in value]
+        moves = [math.log((pairs.get(low[i : i + 2], 0) + 1) / (firsts[low[i]] + 40)) for i in range(n - 1)]
+        shape = ["a" if c.islower() else "A" if c.isupper() else "9" if c.isdigit() else "-" for c in value]
         counts = Counter(value)
-        covered, i = 0, 0
-        while i < n:
-            size = next((k for k in range(min(12, n - i), 3, -1) if low[i : i + k] in words), 0)
-            covered += size
-            i += size or 1
         return [
-            float(n), sum(moves) / max(1, len(moves)), sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / n, -sum(c / n * math.log2(c / n) for c in counts.values()), covered / n,
-            kinds.count("9") / n, kinds.count("A") / n, float(all(c in "0123456789abcdef" for c in low)), float(sum(map(ord, path or "")) % 64), float(bool(_named.search(before))),
-            float(bool(_assigned.search(before))), float(before[-1:] in "\"'" and before != "" and after[:1] == before[-1:]), float(bool(re.match(r"[\"']?\W*\s[a-zA-Z]", after))),
+            float(n), sum(moves) / max(1, len(moves)), sum(a != b for a, b in zip(shape, shape[1:], strict=False)) / n, -sum(c / n * math.log2(c / n) for c in counts.values()),
+            shape.count("9") / n, shape.count("A") / n, float(all(c in "0123456789abcdef" for c in low)), float(sum(map(ord, path or "")) % 64), float(len(_word.findall(before)) + len(_word.findall(after))),
+            float(bool(re.match(r"[\"']?\W*\s[a-zA-Z]", after))), float(bool(_named.search(before))), float(bool(_assigned.search(before))), float(before[-1:] in "\"'" and before != "" and after[:1] == before[-1:]),
         ]
 
-    kinds = {f.name: f.dataType.simpleString() for f in found.schema.fields}
-
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield frame.assign(x=[describe(*r) for r in zip(frame["value"], frame["path"], frame["before"], frame["after"], strict=True)])
-
-    return found.mapInPandas(read, ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", x array<double>")
+            rows = list(zip(frame["value"], frame["path"], frame["before"], frame["after"], strict=True))
+            # words within the candidate, and the nearest words on either side that don't name a secret
+            near = lambda side: next((w.lower() for w in side if not re.fullmatch(NAMES, w, re.I)), "")
+            own = [[w.lower() for w in re.findall(r"[A-Z]?[a-z]{3,}|[A-Z]{4,}", r[0])] for r in rows]
+            yield frame.assign(own=own, left=[near(reversed(_word.findall(r[2]))) for r in rows], right=[near(_word.findall(r[3])) for r in rows], d=[described(*r) for r in rows])
+
+    schema = ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", own array<string>, left string, right string, d array<double>"
+    read_rows = materialize(found.withColumn("at", F.xxhash64(*found.columns)).mapInPandas(read, schema + ", at long"), "candidates")
+    asked = read_rows.select("at", "value", F.explode(F.concat(F.transform("own", lambda w: F.struct(w.alias("w"), F.lit(0).alias("side"))), F.array(F.struct(F.col("left").alias("w"), F.lit(1).alias("side")), F.struct(F.col("right").alias("w"), F.lit(2).alias("side"))))).alias("a"))
+    known = asked.dropDuplicates(["at", "a"]).select("at", "a.w", "a.side").join(words.where("n > 1"), "w")
+    looked = known.groupBy("at").agg(F.collect_set(F.when(F.col("side") == 0, F.col("w"))).alias("known"), F.max(F.when(F.col("side") == 1, F.log1p("n"))).alias("l"), F.max(F.when(F.col("side") == 2, F.log1p("n"))).alias("r"))
+    joined = read_rows.join(looked, "at", "left")
+    inside = F.filter("own", lambda w: F.array_contains(F.coalesce("known", F.array().cast("array<string>")), w))
+    covered = F.aggregate(inside, F.lit(0), lambda t, w: t + F.length(w)) / F.length("value")
+    d = lambda i: F.element_at("d", i + 1)
+    x = F.array(d(0), d(1), d(2), d(3), covered, d(4), d(5), d(6), d(7), d(8), F.coalesce("l", F.lit(0.0)), F.coalesce("r", F.lit(0.0)), d(9), d(10), d(11), d(12))
+    return joined.select(*found.columns, x.alias("x"))
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
-    """key, start, secret: findings labelled by form where the corpus brings no labels of its own.
+    """key, start, secret: findings labelled by what stands before them, where the corpus brings no labels of its own.
 
-    A credential's name, a sign of assignment and quotes around a string of high
-    variety make a secret; no name and no assignment make a false finding; what
-    lies between stays unlabelled.
+    A credential's name and a sign of assignment make a secret; no name and no
+    assignment make a false finding; what lies between stays unlabelled. A forest
+    learned from these labels must not see the names and signs (scan leaves CONTEXT out).
     """
     named, assigned = F.col("before").rlike(f"(?i){NAMES}\\W{{0,6}}$"), F.col("before").rlike("[=:]\\s*[\"']?$")
     return found.select("key", "start", F.when(named & assigned, 1).when(~named & ~assigned, 0).alias("secret")).where("secret IS NOT NULL")
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """id_col, start, end, value, probability, secret (int) of every candidate.
+    """id_col, start, end, value, probability, secret (int: 1 from a probability above 0.5) of every candidate.
 
     labelled: key (row_key), start, secret (0 or 1) of labelled findings; null:
-    weak_labels of the rows whose key isn't divisible by five. The forest is fitted on at most
-    MOST_LABELLED of them. With fewer than two kinds of label every named candidate is kept.
-    Null and empty texts and an empty table have no candidate; repeated rows are scanned each.
+    weak_labels of the rows whose key isn't divisible by five, from which the forest
+    learns how secrets look and where they stand, without CONTEXT. It is fitted on at most
+    about MOST_LABELLED of them. With fewer than two kinds of label every named candidate is kept.
+    Null and empty texts and an empty table have no candidate; repeated rows are scanned each, and equal
+    candidates get equal probabilities; a candidate of any length is one; a null path is empty.
     """
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     words = dictionary(docs, text_col)
-    found = materialize(features(candidates(docs, id_col, text_col, path_col), words).withColumn("v", F.col("x")), "candidates")
+    found = materialize(features(candidates(docs, id_col, text_col, path_col), words), "candidates")
+    used = FEATURES if labelled is not None else FORM
     if labelled is None:
         labelled = weak_labels(found.where(F.pmod("key", F.lit(5)) != 0))
-    labelled = labelled.dropDuplicates(["key", "start"]).orderBy(F.xxhash64("key", "start")).limit(MOST_LABELLED)
-    train = materialize(found.dropDuplicates(["key", "start"]).join(small(labelled), ["key", "start"]).select(array_to_vector("x").alias("x"), F.col("secret").cast("double").alias("y")), "labelled")
-    out = found.select(F.col("id").alias(id_col), "start", "end", "value", "before", "x")
+    labelled = materialize(labelled.groupBy("key", "start").agg(F.max("secret").alias("secret")), "findings")
+    many = labelled.count()
+    if many > MOST_LABELLED:
+        labelled = labelled.where(F.pmod(F.xxhash64("key", "start", F.lit("findings")), F.lit(1 << 20)) < (1 << 20) * MOST_LABELLED // many)
+    x = array_to_vector(F.slice("x", 1, len(used)))  # CONTEXT comes last
+    train = found.dropDuplicates(["key", "start"]).join(small(labelled), ["key", "start"]).select(x.alias("x"), F.col("secret").cast("double").alias("y"))
+    train = materialize(train.repartition(8), "labelled")
+    out = found.select(F.col("id").alias(id_col), "start", "end", "value", "x")
     if train.select("y").distinct().count() < 2:
-        return out.select(id_col, "start", "end", "value", F.element_at("x", FEATURES.index("named") + 1).alias("probability"), F.element_at("x", FEATURES.index("named") + 1).cast("int").alias("secret"))
-    forest = RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=TREES, maxDepth=DEPTH, seed=7).fit(train)
-    judged = forest.transform(out.withColumn("x", array_to_vector("x")))
+        named = F.element_at("x", FEATURES.index("named") + 1)
+        return out.select(id_col, "start", "end", "value", named.alias("probability"), named.cast("int").alias("secret"))
+    forest = RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(train)
+    judged = forest.transform(out.withColumn("x", x))
     sure: Column = vector_to_array("probability")[1]
     return judged.select(id_col, "start", "end", "value", sure.alias("sure"), F.col("prediction").cast("int").alias("secret")).withColumnRenamed("sure", "probability")

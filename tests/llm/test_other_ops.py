@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -139,7 +140,8 @@ def _toxic_rows(n):
 
 def test_toxicity_learns_stems_and_holds_out(spark):
     rows, labels = _toxic_rows(900)
-    docs, marks = spark.createDataFrame([*rows, (5000, None), (5001, ""), (5002, rows[0][1])], "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame([*rows, (5000, None), (5001, ""), (5002, rows[0][1])], "doc_id long, text string").selectExpr("*", "1 AS id", "2 AS key", "3 AS score", "4 AS high", "5 AS toxic")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in toxicity.toxicity(docs, marks).collect()}
     assert len(got) == 903 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.values())
     assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i in got)
@@ -152,7 +154,33 @@ def test_clauses_weigh_what_stands_about_a_stem():
     g = toxicity.Grammar({"gromk": 4.0})
     plain, aimed, negated, said = (g.features(t)[0] for t in ("what a gromkel", "you gromkel", "not a gromkel", "they said gromkel"))
     assert aimed > plain > negated and said < aimed
-    assert g.features("nothing here")[0] == 0 and g.features(None) == (0.0, 0.0, 0.0)
+    assert g.features("nothing here") == g.features(None) == toxicity.NOTHING
+    assert g.features("I kill you")[3] == 1.0 and g.features("gromk")[3] == 0.0
+    long = "gromk. " * 50_000 + "x"
+    assert abs(g.features(long)[1] - 4.0 * 50_000) < 1e-3
+
+
+def test_the_composed_grammar_reads_as_its_machines_do():
+    """Every clause of up to five symbols: the one table against the five machines read side by side, and against plain rules."""
+    arcs, aimed = toxicity.compiled()
+    machines = [toxicity.INSULTS, toxicity.THREATENED, toxicity.NEGATING, toxicity.REPORTING, toxicity.AIMING]
+    for size in range(6):
+        for clause in itertools.product(toxicity.SYMBOLS, repeat=size):
+            state, cells, states, own = 0, [], [0] * 5, []
+            for symbol in clause:
+                state, cell = arcs[state][symbol]
+                cells.append(cell)
+                out = frozenset()
+                for i, m in enumerate(machines):
+                    states[i], marks = m.arcs[states[i], symbol]
+                    out |= marks
+                kind = next((k for k in ("insult", "threat") if k in out), None)
+                own.append(toxicity.CELLS.index((kind, "negated" in out, "reported" in out)) if kind else -1)
+            assert cells == own and aimed[state] == (toxicity.TARGET in clause)
+            for i, symbol in enumerate(clause):
+                if symbol in (toxicity.INSULT, toxicity.THREAT):
+                    near, told = toxicity.NEGATION in clause[max(0, i - toxicity.REACH) : i], toxicity.REPORT in clause[:i]
+                    assert toxicity.CELLS[cells[i]] == ("insult" if symbol == toxicity.INSULT else "threat", near, told)
 
 
 def test_without_labels_nothing_is_learned(spark):
