@@ -1,14 +1,17 @@
 """License scans by conditional compression.
 
-A candidate block (lines with license words and what little lies between them)
-is compressed by zstandard alone and with each template as raw dictionary. What a
-template takes off the size ranks it; the best few are then held against the
-block word by word, and a block is confirmed where it has a whole notice of the
-template, or a stretch of it with few words and no number different.
+A candidate block (sentences with license words and what little lies between
+them) is read in parts: each such sentence, and stretches of the block. A part is
+compressed by zstandard alone and with each template as raw dictionary; what a
+template takes off the size ranks it. Every template that takes off enough is then
+held against the part word by word, and confirmed where the part has a whole
+notice of it, or a stretch of one with few words and no number different. Of
+templates that claim the same words the one with the fewest differences counts.
 """
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
 from collections.abc import Iterator
@@ -21,10 +24,11 @@ from pyspark.sql import functions as F
 
 #: Words that make a line a candidate, for Java and Python alike.
 CUES = r"(?i)licen[sc]|copyright|\(c\)|warrant|redistribut|public domain|creative commons|\bcc[ -]?(?:by|0)\b|spdx|as is"
-#: Lines between two candidate lines of one block, and characters of a line (longer ones are cut at sentence ends).
-GAP, LINE = 2, 600
-#: Templates compared word by word, the least share of the size that the best must take off, and the share of words that may differ.
-BEST, LEAST_GAIN, MOST_DIFFERENT = 3, 0.15, 0.15
+#: Sentences between two candidate sentences of one block, and before and after them, that are read too; sentences of a stretch, which overlap by half, and words likewise of one
+#: that is longer than a notice ever is.
+GAP, ABOUT, STRETCH, LONG = 2, 4, 32, 600
+#: The least share of the size that a template must take off, and the share of words that may differ.
+LEAST_GAIN, MOST_DIFFERENT = 0.15, 0.15
 
 #: The usual notices of public licenses, one on each line, and passages of their texts.
 TEMPLATES = {
@@ -94,21 +98,42 @@ def _words(text: str) -> list[str]:
     return _word.findall(text.lower())
 
 
-def blocks(text: str) -> list[tuple[int, int]]:
-    """start and end of each candidate block."""
+def sentences(text: str) -> list[tuple[int, int]]:
+    """start and end of each; lines end them too."""
     pieces, at = [], 0
     for line in text.split("\n"):
-        cuts = [0, *(m.end() for m in _sentence.finditer(line))] if len(line) > LINE else [0]
+        cuts = [0, *(m.end() for m in _sentence.finditer(line))]
         pieces += [(at + a, at + b) for a, b in zip(cuts, [*cuts[1:], len(line)], strict=True)]
         at += len(line) + 1
-    marked = [i for i, (a, b) in enumerate(pieces) if _cue.search(text, a, b)]
-    out: list[list[int]] = []
-    for i in marked:
-        if out and i - out[-1][1] <= GAP + 1 and pieces[i][1] - pieces[out[-1][0]][0] <= 20 * LINE:
-            out[-1][1] = i
+    return pieces
+
+
+def blocks(text: str) -> list[list[tuple[int, int]]]:
+    """The sentences of each candidate block and of ABOUT it."""
+    pieces, out = sentences(text), []
+    for i, (a, b) in enumerate(pieces):
+        if _cue.search(text, a, b):
+            if out and i - out[-1][1] <= GAP + 1:
+                out[-1][1] = i
+            else:
+                out.append([i, i])
+    return [pieces[max(0, a - ABOUT) : b + 1 + ABOUT] for a, b in out]
+
+
+def parts(text: str, block: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """start and end of what is compressed: each sentence with license words, and stretches of the block; very long ones in pieces that overlap by half."""
+    found = [(a, b) for a, b in block if _cue.search(text, a, b)]
+    if len(block) > 1:
+        found += [(block[i][0], block[min(i + STRETCH, len(block)) - 1][1]) for i in range(0, max(1, len(block) - STRETCH // 2), STRETCH // 2)]
+    out = []
+    for a, b in found:
+        spots = [m.start() for m in _word.finditer(text, a, b)] if b - a > LONG else []
+        if len(spots) > LONG:
+            ends = [*spots, b]
+            out += [(spots[i], ends[min(i + LONG, len(spots))]) for i in range(0, len(spots) - LONG // 2, LONG // 2)]
         else:
-            out.append([i, i])
-    return [(pieces[a][0], pieces[b][1]) for a, b in out]
+            out.append((a, b))
+    return list(dict.fromkeys(out))
 
 
 @cache
@@ -120,46 +145,71 @@ def _compressors() -> tuple[zstandard.ZstdCompressor, dict[str, zstandard.ZstdCo
     return zstandard.ZstdCompressor(level=9, write_checksum=False, write_content_size=False), given, {n: [_words(x) for x in t.split("\n")] for n, t in TEMPLATES.items()}
 
 
-def different(block: list[str], notice: list[str]) -> tuple[int, int]:
-    """Words of the notice that the block's best stretch lacks or has otherwise, and what it has besides within it; a number that
-    differs counts as the whole notice."""
+def different(block: list[str], notice: list[str]) -> tuple[int, int, int, int]:
+    """Words of the notice that the block's best stretch lacks or has otherwise, what it has besides within it, and where the stretch
+    begins and ends; a number that differs counts as the whole notice."""
     match = difflib.SequenceMatcher(None, notice, block, autojunk=False)
     same = [m for m in match.get_matching_blocks() if m.size]
     if not same:
-        return len(notice), 0
-    stretch = block[same[0].b : same[-1].b + same[-1].size]
+        return len(notice), 0, 0, 0
+    begin, end = same[0].b, same[-1].b + same[-1].size
+    stretch = block[begin:end]
     kept = sum(m.size for m in same)
     numbers = lambda words: sorted(n for w in words for n in re.findall(r"\d+(?:\.\d+)*", w))
     lacks = len(notice) if numbers(stretch) != numbers(notice) else len(notice) - kept
-    return lacks, len(stretch) - kept
+    return lacks, len(stretch) - kept, begin, end
 
 
-def confirm(text: str) -> tuple[str, int, int, int, bool] | None:
-    """license, size alone, size with its template, words that differ, whether none does; or nothing."""
+def confirm(text: str, start: int = 0, end: int | None = None) -> list[tuple[int, int, int, int, str, int, int]]:
+    """(words that differ, less the notice's words, begin, end, license, size alone, size with its template) of each notice that a part has; places in the text."""
     alone, given, notices = _compressors()
-    raw, words = text.encode("utf-8", "surrogatepass"), _words(text)
-    plain = len(alone.compress(raw))
-    ranked = sorted((len(c.compress(raw)), name) for name, c in given.items())[:BEST]
-    if not ranked or plain - ranked[0][0] < LEAST_GAIN * plain:
-        return None
-    found = []
-    for size, name in ranked:
+    own = text[start : len(text) if end is None else end]
+    raw = own.encode("utf-8", "surrogatepass")
+    spans = [(start + m.start(), start + m.end()) for m in _word.finditer(own)]
+    words = [text[a:b].lower() for a, b in spans]
+    held, plain, found = set(words), len(alone.compress(raw)), []
+    for name, c in given.items():
+        size = len(c.compress(raw))
+        if plain - size < LEAST_GAIN * plain:
+            continue
         for notice in notices[name]:
-            lacks, more = different(words, notice)
+            if sum(w not in held for w in notice) > MOST_DIFFERENT * len(notice):  # words that it surely lacks
+                continue
+            lacks, more, begin, stop = different(words, notice)
             if lacks + more <= MOST_DIFFERENT * len(notice):
-                found.append((lacks + more, -len(notice), size, name))
-    if not found:
-        return None
-    wrong, _, size, name = min(found)
-    return name, plain, size, wrong, wrong == 0
+                found.append((lacks + more, -len(notice), spans[begin][0], spans[stop - 1][1], name, plain, size))
+    return found
+
+
+def licenses_of(text: str) -> list[tuple[int, int, str, int, int, int, bool]]:
+    """start and end of the block's license words' sentences, license, size alone, size with its template, words that differ, whether none does."""
+    out = []
+    for block in blocks(text):
+        hits: dict[tuple, None] = {}
+        for a, b in parts(text, block):
+            hits.update(dict.fromkeys(confirm(text, a, b)))
+        taken: list[tuple[int, int]] = []
+        best: dict[str, tuple] = {}
+        for hit in sorted(hits):
+            wrong, _, begin, end, name, plain, size = hit
+            # overlapping claims: the first is the closest, and of equal ones the longest notice, then the first name
+            at = bisect.bisect_left(taken, (begin, end))
+            if (at < len(taken) and taken[at][0] < end) or (at and taken[at - 1][1] > begin):
+                continue
+            taken.insert(at, (begin, end))
+            best.setdefault(name, (name, plain, size, wrong, wrong == 0))
+        marked = [x for x in block if _cue.search(text, *x)]
+        out += [(marked[0][0], marked[-1][1], *best[name]) for name in sorted(best)]
+    return out
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col, n, block_start, block_end, license, size_alone, size_with, gain, words_different, exact: a row for each confirmed block.
+    """id_col, n, block_start, block_end, license, size_alone, size_with, gain, words_different, exact: a row for each license of a block.
 
-    Places are code points. Null and empty texts, and an empty table, have no
-    block; repeated rows are scanned each. Blocks split at the length of twenty
-    lines, so a text of license words alone is still read in pieces.
+    Places are code points; sizes are those of the part of the block that has the
+    notice, words_different those of the license's closest notice. Null and empty
+    texts, and an empty table, have no block; repeated rows are scanned each; texts
+    and blocks of any length are read whole.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     names = [x.split()[0] for x in SCHEMA.split(", ")]
@@ -168,12 +218,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         for frame in frames:
             rows = []
             for doc, text in zip(frame["id"], frame["text"], strict=True):
-                n = 0
-                for a, b in blocks(text):
-                    if got := confirm(text[a:b]):
-                        name, plain, size, wrong, exact = got
-                        rows.append((doc, n, a, b, name, plain, size, round(1 - size / plain, 6), wrong, exact))
-                        n += 1
+                for n, (a, b, name, plain, size, wrong, exact) in enumerate(licenses_of(text)):
+                    rows.append((doc, n, a, b, name, plain, size, round(1 - size / plain, 6), wrong, exact))
             out = pd.DataFrame(rows, columns=names)
             out["id"] = pd.Series([r[0] for r in rows], dtype=frame["id"].dtype)
             yield out

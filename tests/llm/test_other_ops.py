@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import itertools
+import math
 import random
 import zlib
 
@@ -104,12 +105,53 @@ def test_license_blocks(spark):
     assert all(r.size_with < r.size_alone for r in got)
     first = next(r for r in got if r.license == "Apache-2.0")
     assert "Apache License" in text[first.block_start : first.block_end]
+    assert licenses.scan(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS id", "2 AS n", "3 AS license", "4 AS exact")).count() == len(got)
+
+
+def _found(text):
+    return [(r[2], r[5], r[6]) for r in licenses.licenses_of(text)]
 
 
 def test_a_version_must_fit():
-    assert licenses.confirm("This work is licensed under the GNU General Public License, version 3.")[0] == "GPL-3.0"
-    assert licenses.confirm("This work is licensed under the GNU General Public License, version 7.") is None
-    assert licenses.confirm("This work is now licensed under the GNU General Public License, version 3.")[3:] == (1, False)
+    assert _found("This work is licensed under the GNU General Public License, version 3.") == [("GPL-3.0", 0, True)]
+    assert _found("This work is licensed under the GNU General Public License, version 7.") == []
+    assert _found("This work is now licensed under the GNU General Public License, version 3.") == [("GPL-3.0", 1, False)]
+    assert _found("This work is licensed under the GNU Lesser General Public License, version 3.") == [("LGPL-3.0", 0, True)]
+
+
+def test_licenses_wherever_they_stand():
+    for n in (0, 20, 60, 200, 3000):  # at the end of a line of any length
+        assert _found(prose(n, n) + ". Licensed under the MIT License.") == [("MIT", 0, True)], n
+    two = "Licensed under the MIT License.\nLicensed under the Apache License, Version 2.0."
+    assert _found(two) == [("Apache-2.0", 0, True), ("MIT", 0, True)]
+    four = "\n".join(["Licensed under the BSD 2-Clause License.", "Licensed under the BSD 3-Clause License.", two])
+    assert [x[0] for x in _found(four)] == ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MIT"]
+    for name, text in licenses.TEMPLATES.items():  # every notice by itself
+        assert all(name in [x[0] for x in _found(line)] for line in text.split("\n"))
+    words = "license warranty " * 20_000  # license words alone, in one sentence and in many
+    assert _found(words + "Released under the ISC License. " + words.replace("warranty", "warranty.")) == [("ISC", 0, True)]
+
+
+def test_licenses_against_every_template(spark):
+    """Without compression: each part against each notice."""
+    r = random.Random(9)
+    notices = [(name, line) for name, text in licenses.TEMPLATES.items() for line in text.split("\n")]
+    texts = [f"{prose(i, 30)}.\n{r.choice(notices)[1]}\n{prose(i + 1, 30)}. {r.choice(notices)[1]} {prose(i + 2, 9)}" for i in range(60)]
+
+    def brute(text):
+        held = set()
+        for line in text.split("\n"):
+            for name, notice in notices:
+                if notice in line:
+                    held.add(name)
+        return held
+
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS id", "2 AS n", "3 AS license", "'x' AS exact")
+    found = {}
+    for row in licenses.scan(docs).where("exact").collect():
+        found.setdefault(row.doc_id, set()).add(row.license)
+    assert all(brute(t) <= found.get(i, set()) for i, t in rows)
 
 
 def test_secrets_forest(spark):
@@ -124,6 +166,27 @@ def test_secrets_forest(spark):
     assert rows[5][1][one.start : one.end] == one.value == hexes[5]
 
 
+def test_secret_candidates_of_any_length(spark):
+    key = "".join(random.Random(6).choices("ABCdef0123456789+/", k=5000))
+    rows = [(1, f'api_key = "{key}"', "s"), (1, f'api_key = "{key}"', "s"), (2, "a " * 50_000 + "word-with-a-1-in-it", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 AS id", "'p' AS path", "2 AS value", "3 AS x", "4 AS at")
+    got = secrets.scan(docs).collect()
+    assert sorted((x.doc_id, len(x.value), x.secret) for x in got) == [(1, 5000, 1), (1, 5000, 1), (2, 19, 0)]
+
+
+def test_secret_features_against_brute_force(spark):
+    rows = [(1, 'river mill token = "riverMill00112233xy" wheel', "s"), (2, "river mill", None), (3, "mill wheel", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    words = secrets.dictionary(docs)
+    assert {r.w: r.n for r in words.collect()} == {"river": 2, "mill": 3, "token": 1, "wheel": 2}
+    pairs = secrets.transitions(words)
+    assert pairs["ri"] == 2 and pairs["mi"] == 3 and pairs["to"] == 1
+    got = secrets.features(secrets.candidates(docs), words).first()
+    x = dict(zip(secrets.FEATURES, got.x, strict=True))
+    assert x["length"] == 19 and abs(x["covered"] - 9 / 19) < 1e-9 and x["digits"] == 8 / 19 and x["named"] == x["assigned"] == x["quoted"] == 1.0
+    assert abs(x["before_known"] - math.log1p(3)) < 1e-9 and abs(x["after_known"] - math.log1p(2)) < 1e-9 and x["line_words"] == 4
+
+
 def _toxic_rows(n):
     r = random.Random(8)
     insults = ["gromk" + e for e in ("a", "el", "ion", "us", "ish", "ard", "en")]
