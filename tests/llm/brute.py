@@ -38,6 +38,26 @@ def pii(text):
     return found, counts
 
 
+def scores(seeds, places, rounds, sure, least, trust):
+    """(kind, pattern, value) -> score after some rounds."""
+    graph = {x: 0.0 for x in places} | {x: 1.0 for x in seeds}
+    for _ in range(rounds):
+        by = defaultdict(list)
+        for (k, p, _), x in graph.items():
+            by[k, p].append(x)
+        worth = {}
+        for at, xs in by.items():
+            known = sum(x >= sure for x in xs)
+            if known >= least and sum(xs) / len(xs) >= trust:
+                worth[at] = sum(xs) / len(xs) * math.log2(1 + known) / (1 + math.log2(1 + known))
+        doubt = defaultdict(lambda: 1.0)
+        for (k, p, v), x in graph.items():
+            if x < 1 and (k, p) in worth:
+                doubt[k, v] *= max(1 - worth[k, p], 1e-9)
+        graph = {(k, p, v): max(x, 1 - doubt[k, v]) if (k, v) in doubt else x for (k, p, v), x in graph.items()}
+    return graph
+
+
 def quality(text):
     text = text or ""
     words = WORD.findall(text)

@@ -1,6 +1,7 @@
 """op1, op4, op8, op9, op10 and the pipeline against brute force."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,8 +49,30 @@ def test_personal_data(docs):
 
 def test_patterns_discover_unseen_identifiers(spark):
     rows = [(i, f"please write to mail{i}@example.com today") for i in range(20)] + [(99, "please write to hidden(at)example.com today"), (98, "some other words then hidden(at)example.org here")]
+    long = "x" * 300
+    rows += [(97, f"you may write to {long}(at){long}(dot){long}"), (96, f"{long} phone: 030/12-34-56-78 nothing"), (95, "they write to 1(at)nowhere todays")]
+    rows += [(200 + i, f"{long} phone: +49 30 90{i:04d}1 or") for i in range(9)]
     found = {r.doc_id: r.s for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", pii.digest_text(F.col("spans")).alias("s")).collect()}
-    assert found[99] == "email:16:37" and found[98] == ""
+    assert found[99] == "email:16:37" and found[98] == "" and found[97] == "email:17:926"  # of any length
+    assert found[96] == "phone:308:323"  # by "<long word> phone", whatever its length
+
+
+def test_scores_against_brute_force(spark):
+    r = random.Random(12)
+    seeds = [(r.randint(0, 1), (0, f"p{r.randint(0, 12)}"), f"s{r.randint(0, 60)}") for _ in range(150)]
+    places = [(r.randint(0, 1), (0, f"p{r.randint(0, 14)}"), f"i{r.randint(0, 30)}" if r.random() < 0.7 else f"s{r.randint(0, 60)}") for _ in range(90)]
+    schema = "k int, pattern struct<place: int, words: string>, v string"
+    got = {(x.k, tuple(x.pattern), x.v): x.score for x in pii.score(spark.createDataFrame(seeds, schema), spark.createDataFrame(places, schema)).collect()}
+    want = brute.scores(seeds, places, pii.ROUNDS, pii.INSTANCE_SURE, pii.LEAST_SEEDS, pii.PATTERN_SURE)
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-9 for x in want) and any(0 < x < 1 for x in want.values())
+
+
+def test_a_text_of_very_many_addresses(spark):
+    n = 100_000
+    text = " ".join(f"a{i}@b.cd 1.2.3.4" for i in range(n // 2))
+    began = time.time()
+    row = pii.personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).select(F.size("base").alias("n"), F.element_at("base", -1)["e"].alias("end"), F.size("spans").alias("all")).first()
+    assert (row.n, row.end, row.all) == (n, len(text), n) and time.time() - began < 60
 
 
 def test_masking_covers_every_span_and_leaves_the_rest(docs):
