@@ -175,6 +175,11 @@ def state_map(units: Units, chunk: str) -> tuple[str, int | None, str]:
     return chunk[: first.start()], units.count(chunk[first.end() : cut]), chunk[cut:]
 
 
+def total(units: Units, state: tuple[str, int | None, str]) -> int:
+    """The tokens of a text from its state map."""
+    return units.count(state[0]) + (state[1] or 0) + units.count(state[2])
+
+
 def compose(units: Units, a: tuple[str, int | None, str], b: tuple[str, int | None, str]) -> tuple[str, int | None, str]:
     """The state map of two chunks, a before b."""
     if a[1] is None:
@@ -196,8 +201,10 @@ def units_of(path: str) -> Units:
 def token_counts(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """id_col, n_bytes, n_tokens, over_limit (n_tokens > limit) of each row.
 
-    path: the tokenizer's file, found on every executor. Null texts count as
-    empty; rows of equal id and text are counted alike and all returned.
+    Every text is counted by state maps; one of more than chunk characters has
+    several, which are dealt over tasks. path: the tokenizer's file, found on every
+    executor. Null texts count as empty; rows of equal id and text are counted alike
+    and all returned; an empty table gives an empty table.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     long = F.length(text) > chunk
@@ -206,7 +213,7 @@ def token_counts(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id",
     def short(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         units = units_of(path)
         for frame in frames:
-            yield pd.DataFrame({"id": frame["id"], "n_bytes": frame["n_bytes"], "n_tokens": [units.count(t) for t in frame["text"]]})
+            yield pd.DataFrame({"id": frame["id"], "n_bytes": frame["n_bytes"], "n_tokens": [total(units, state_map(units, t)) for t in frame["text"]]})
 
     def maps(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         units = units_of(path)
@@ -220,8 +227,7 @@ def token_counts(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id",
         now = [(h, None if pd.isna(n) else int(n), t) for h, n, t in zip(*(frame.sort_values("i")[c] for c in ("head", "n", "tail")), strict=True)]
         while len(now) > 1:
             now = [compose(units, *now[i : i + 2]) if i + 1 < len(now) else now[i] for i in range(0, len(now), 2)]
-        head, n, tail = now[0]
-        return pd.DataFrame({"key": [frame["key"].iloc[0]], "n_tokens": [units.count(head) + (n or 0) + units.count(tail)]})
+        return pd.DataFrame({"key": [frame["key"].iloc[0]], "n_tokens": [total(units, now[0])]})
 
     n_bytes = F.octet_length(text).cast("long").alias("n_bytes")
     few = docs.where(~long).select(F.col(id_col).alias("id"), n_bytes, text.alias("text")).mapInPandas(short, f"id {kind}, n_bytes long, n_tokens long")

@@ -90,6 +90,16 @@ def test_token_counts_are_the_library_s(spark, tokenizer):
             assert (got[i].n_tokens, got[i].n_bytes, got[i].over_limit) == (n, len((t or "").encode()), n > 50), t
 
 
+def test_a_long_text_without_white_space(spark, tokenizer):
+    from tokenizers import Tokenizer
+
+    text = "".join(random.Random(5).choices("abcdefé12.", k=1_000_000))
+    rows = [(1, text), (1, text), (2, "a b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS id", "2 AS key", "3 AS n_tokens", "4 AS i", "5 AS piece")
+    n = len(Tokenizer.from_file(tokenizer).encode(text, add_special_tokens=False).ids)
+    assert sorted((r.doc_id, r.n_tokens) for r in tokens.token_counts(docs, tokenizer, 50).collect()) == [(1, n), (1, n), (2, 2)]
+
+
 def test_composition_is_associative(tokenizer):
     units = tokens.units_of(tokenizer)
     a, b, c = (tokens.state_map(units, x) for x in ("the qu", "ick brow", "n fox's tail"))

@@ -201,6 +201,21 @@ def test_pipeline_against_brute_force(spark, tmp_path):
 
 
 
+@pytest.mark.parametrize("stage", range(5))
+def test_every_stage_bears_nulls_empty_tables_and_clashing_names(spark, tmp_path, stage):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    run = corpus_pipeline.STAGES[stage][1]
+    odd = [(1, prose(1, 80), None, None, None), (None, None, None, None, None), (2, "", "en", None, 0), (2, "", "en", None, 0), (None, prose(2, 80), "en", "a", 1)]
+    names = {n: F.lit(1) for n in ("key", "sid", "h", "n", "at", "fp", "root", "block", "slot", "position", "spans", "base", "pos", "w", "kept", "n_words")}
+    docs = spark.createDataFrame(odd, SCHEMA).withColumns(names)
+    out = run(spark, docs, str(tmp_path))
+    last = stage == len(corpus_pipeline.STAGES) - 1
+    assert last or out.columns == docs.columns
+    assert out.count() == {0: 2, 1: 3, 2: 5, 3: 5, 4: 5}[stage]
+    assert run(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
 def test_a_side_is_broadcast_by_its_bytes(spark):
     from glossworks.llm.common import small
 
