@@ -22,15 +22,19 @@ TRIES = 200
 def derange(tokens: list[str], seed: int, key: str) -> list[str]:
     """A seeded order in which no place keeps its value; after TRIES without one, the list turned by one.
 
-    Lists of one token or of equal tokens stay as they are.
+    Lists of one token or of equal tokens stay as they are; where one token is
+    more than half of the list no try can do.
     """
-    if len(set(tokens)) <= 1:
+    places: dict[str, int] = {}
+    codes = np.array([places.setdefault(t, len(places)) for t in tokens], dtype=np.int64)
+    if len(places) <= 1:
         return list(tokens)
-    rng = np.random.default_rng([seed, *key.encode()])
-    for _ in range(TRIES):
-        order = [tokens[i] for i in rng.permutation(len(tokens))]
-        if all(a != b for a, b in zip(order, tokens, strict=True)):
-            return order
+    if 2 * np.bincount(codes).max() <= len(tokens):
+        rng = np.random.default_rng([seed, *key.encode()])
+        for _ in range(TRIES):
+            order = rng.permutation(len(tokens))
+            if (codes[order] != codes).all():
+                return [tokens[i] for i in order]
     return [*tokens[1:], tokens[0]]
 
 
