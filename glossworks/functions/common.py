@@ -66,9 +66,12 @@ def contained(names: DataFrame, stems: DataFrame) -> DataFrame:
     own = stems.select("stem").where("stem <> ''").distinct()
     pieces = own.select("stem", F.explode(_grams(F.col("stem"), GRAM)).alias("gram"))
     rare = pieces.join(pieces.groupBy("gram").count(), "gram").groupBy("stem").agg(F.min_by("gram", F.struct("count", "gram")).alias("gram"))
+    rare = materialize(rare, "stems")
     sizes = {GRAM} | {r[0] for r in own.where(F.length("stem") < GRAM).select(F.length("stem")).distinct().collect()}  # at most eight numbers
     every = F.array_distinct(F.concat(*[_grams(F.col("name"), n) for n in sorted(sizes)]))
-    met = names.select("name").where("name <> ''").distinct().select("name", F.explode(every).alias("gram")).join(rare, "gram")
+    pieces = names.select("name").where("name <> ''").distinct().select("name", F.explode(every).alias("gram"))
+    # pieces that no stem is looked up by fall away before names are shuffled
+    met = pieces.join(small(rare.select("gram").distinct()), "gram", "left_semi").join(rare, "gram")
     return met.where(F.contains("name", "stem")).select("name", "stem")
 
 
