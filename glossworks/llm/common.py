@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from glossworks.functions.common import BROADCAST_BYTES, materialize, shared_dir, small
 
-__all__ = ["BLANKS", "BROADCAST_BYTES", "NOT_WORD", "ascii_lower", "materialize", "most_frequent", "row_key", "shared_dir", "small", "words"]
+__all__ = ["BLANKS", "BLANK_CHARS", "BROADCAST_BYTES", "NOT_WORD", "ascii_lower", "materialize", "most_frequent", "row_key", "shared_dir", "small", "words"]
 
 #: ASCII white space: space and tab to carriage return.
 BLANKS = "[\\x20\\x09-\\x0D]+"
+BLANK_CHARS = " \t\n\x0b\x0c\r"
 #: What separates words of ASCII letters, digits and anything beyond ASCII.
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import BLANKS, LOWER, UPPER, materialize, row_key, small, words
+from .common import BLANK_CHARS, BLANKS, LOWER, UPPER, materialize, row_key, small, words
 
 #: measure: the quantile at which its ordinary values end (rules of repetition have long tails of sound texts, so theirs ends later),
 #: whether the lower end is judged too, and its buckets: a width, or for lengths a ratio.
@@ -33,7 +33,7 @@ RULES = {
 LEAST_WORDS, MOST_REPEATED, WINDOW = 50, 50, 3
 #: Documents that a level's sketch lends to the one below it, and the distance of a limit.
 PRIOR, SPREAD = 20, 2.0
-BLANK_CHARS, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
+SYMBOLS = "#*$%&|<>"
 
 
 def with_measures(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:

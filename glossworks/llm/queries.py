@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, mixing, pii, quality, secrets, simhash, tokens, toxicity, warc
+from . import conversations, decontaminate, fim, gaussian, licenses, mixing, pii, quality, secrets, simhash, tokens, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,12 +64,59 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(_table(spark, sf_dir, "documents"))
+    back = fim.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audited(_table(spark, sf_dir, "conversations"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gaussian.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_warc, op3_secret_scan, op4_quality_rules, op5_license_scan, op6_toxicity, op7_token_counts, op8_mixing, op9_simhash, op10_decontaminate)
+    f.__name__: f for f in (op1_pii, op2_warc, op3_secret_scan, op4_quality_rules, op5_license_scan, op6_toxicity, op7_token_counts, op8_mixing, op9_simhash, op10_decontaminate, op11_fill_in_middle, op12_conversations, op13_quality)
 }
-#: op1, op4, op6, op7, op9 and the pipeline rest on what DuckDB lacks (pattern scores, KLL sketches, learned weights, byte-pair
+#: op1, op4, op6, op7, op9, op13 and the pipeline rest on what DuckDB lacks (pattern scores, KLL sketches, learned weights, byte-pair
 #: merges, XXH64); tests hold them against brute force. op3 and op5 learn and compress.
 SQL: dict[str, str] = {
+    "op11_fill_in_middle": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '(?s)[A-Za-z]+|[^A-Za-z]') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        c AS (SELECT *, len(t)::BIGINT AS n, list_transform([0, 1, 2, 3], lambda g: ('0x' || substr(h, 1 + 8 * g, 8))::BIGINT) AS r FROM d),
+        p AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+            CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 90 THEN 'plain' WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM c),
+        s AS (SELECT *, array_to_string(t[1:a], '') AS pre, array_to_string(t[a + 1:b], '') AS mid, array_to_string(t[b + 1:], '') AS suf FROM p)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+        FROM s""",
+    "op12_conversations": r"""
+        WITH RECURSIVE src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+        coded AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i::INT, 1))::BIGINT)),
+            lambda c, b: list_reduce(list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT) % 20 AS code FROM src),
+        dam AS (SELECT conv_id, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role, CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+            unnest(CASE code WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM coded WHERE code <> 0),
+        num AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(concat_ws('|', coalesce(length(conv_id::VARCHAR)::VARCHAR, 'null'), length(role), conv_id, role, text)), copy) AS i FROM dam),
+        flt AS (SELECT *, regexp_extract(text, '(?s)([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS fin, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS prev FROM num),
+        sym AS (SELECT *, CASE WHEN fin = '' THEN 'b' WHEN again THEN 'd' WHEN fin NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault, role[1] AS c FROM flt),
+        con AS (SELECT conv_id, list(struct_pack(f := fault IN ('b', 'd'), t := (fault = 't')::INT, c := c) ORDER BY i) AS rows, count(*) AS n, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+            count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (prev IS NOT NULL AND prev[1] || c NOT IN ('su', 'ua', 'au')) AS illegal, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM sym GROUP BY conv_id),
+        -- the best of each state (nothing, system, user, assistant): its cost in nine digits, then its letters
+        vit AS (SELECT conv_id, rows, n, 0::BIGINT AS i, '000000000' AS z, NULL::VARCHAR AS s, '000000002I' AS u, '000000004II' AS a FROM con
+            UNION ALL SELECT conv_id, rows, n, i + 1, z, s, @u, @a FROM (
+                SELECT conv_id, rows, n, i, @z AS z, @s AS s, @ru AS u, @ra AS a FROM (SELECT *, rows[i + 1] AS r FROM vit WHERE i < n))),
+        fin AS (SELECT conv_id, least(z, a)[1:9]::BIGINT AS cost, least(z, a)[10:] AS audit FROM vit WHERE i = n),
+        let AS (SELECT conv_id, p, audit[p] AS l, sum(CASE WHEN audit[p] <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY p) AS i, sum(CASE WHEN audit[p] <> 'D' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY p) AS o
+            FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS p FROM fin)),
+        ln AS (SELECT let.conv_id, p, l, o, CASE WHEN l <> 'I' THEN sym.role END AS role, CASE WHEN l <> 'I' THEN text ELSE '' END AS text FROM let LEFT JOIN sym ON sym.conv_id IS NOT DISTINCT FROM let.conv_id AND sym.i = let.i WHERE l <> 'D'),
+        st AS (SELECT conv_id, max(CASE WHEN o = 1 AND l = 'K' AND role[1] = 's' THEN 1 ELSE 0 END) AS sys FROM ln GROUP BY conv_id),
+        rep AS (SELECT ln.conv_id, sha256(string_agg(CASE WHEN l = 'K' THEN role WHEN (o - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p)) AS h FROM ln JOIN st ON st.conv_id IS NOT DISTINCT FROM ln.conv_id GROUP BY ln.conv_id)
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN con ON con.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN fin ON fin.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN rep ON rep.conv_id IS NOT DISTINCT FROM o.conv_id""",
     "op8_mixing": """
         WITH RECURSIVE c AS (SELECT source, floor(sqrt(count(*)))::BIGINT AS w FROM documents GROUP BY source),
         o AS (SELECT source, w, row_number() OVER (ORDER BY coalesce(source, ''), source) - 1 AS i FROM c WHERE w > 0),
@@ -111,3 +159,27 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["pipeline"] = pipeline
+
+
+def _edit(x: str, cost: str, letter: str) -> str:
+    """A state's cost in nine digits and its letters after one more edit."""
+    return f"(lpad((({x})[1:9]::BIGINT + {cost})::VARCHAR, 9, '0') || ({x})[10:] || '{letter}')"
+
+
+def _best(states: str, cost: str, letter: str) -> str:
+    return f"least({', '.join(_edit(x, cost, letter) for x in states)})"
+
+
+_user = f"least(u, {_best('zsa', '2', 'I')})"
+SQL["op12_conversations"] = reduce(
+    lambda sql, part: sql.replace(*part),
+    (
+        ("@ru", f"least({_edit('u', '3', 'D')}, CASE WHEN NOT r.f THEN {_best('zsa', '2 + r.t', 'R')} END, CASE WHEN NOT r.f AND r.c = 'u' THEN {_best('zsa', 'r.t', 'K')} END)"),
+        ("@ra", f"least({_edit('a', '3', 'D')}, CASE WHEN NOT r.f THEN {_edit('u', '2 + r.t', 'R')} END, CASE WHEN NOT r.f AND r.c = 'a' THEN {_edit('u', 'r.t', 'K')} END)"),
+        ("@z", _edit("z", "3", "D")),
+        ("@s", f"least({_edit('s', '3', 'D')}, CASE WHEN NOT r.f AND r.c = 's' THEN {_edit('z', 'r.t', 'K')} END)"),
+        ("@u", _user),
+        ("@a", f"least(a, {_edit(_user, '2', 'I')})"),
+    ),
+    SQL["op12_conversations"],
+)
