@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
+from itertools import chain, groupby, islice
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,31 +52,94 @@ def stem(name: Column) -> Column:
     return F.regexp_replace(file_name(name), r"\.[^.]*$", "")
 
 
-#: Characters of the keys by which contained stems are found.
-GRAM = 8
+#: Characters of the stems of one automaton, names of a task that reads a shard, and characters by which a place may begin a stem at all.
+SHARD_CHARS, SHARD_NAMES, OPENING = 2_000_000, 50_000, 4
 
 
-def _grams(c: Column, size: int) -> Column:
-    """The pieces of size characters of a text (of a shorter one, itself)."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - size + 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(size))))
+def _scanned(stems: Iterable[str], names: Iterable[str]) -> Iterator[tuple[str, str]]:
+    """Each name with each stem in it, by an automaton that reads the name once."""
+    import ahocorasick
+
+    machine = ahocorasick.Automaton()
+    for stem in stems:
+        machine.add_word(stem, stem)
+    if len(machine):
+        machine.make_automaton()
+        for name in names:
+            for found in {stem for _, stem in machine.iter(name)}:
+                yield name, found
+
+
+def _framed(pairs: Iterable[tuple], columns: list[str], size: int = 20_000) -> Iterator[pd.DataFrame]:
+    pairs = iter(pairs)
+    while rows := list(islice(pairs, size)):
+        yield pd.DataFrame(rows, columns=columns)
 
 
 def contained(names: DataFrame, stems: DataFrame) -> DataFrame:
     """name, stem: every stem that is a part of a name. names: name; stems: stem; blank stems are in no name.
 
-    A stem is looked up by the rarest of its pieces of GRAM characters, a shorter
-    one by itself, so names meet only stems that they share such a piece with.
+    The stems in order are cut into shards, each an automaton of bounded size. The
+    stems that begin at a place of a name are prefixes of what follows there; in
+    order they stand before it, and all strings between begin with them. So they
+    are in the shard where that rest would stand, once each shard also has the stems that
+    are prefixes of its first. A name is sent to the shards of its places and read
+    once in each; places at which no stem opens lead nowhere. Stems of one shard
+    aren't shuffled at all: names are read where they lie.
     """
-    own = stems.select("stem").where("stem <> ''").distinct()
-    pieces = own.select("stem", F.explode(_grams(F.col("stem"), GRAM)).alias("gram"))
-    rare = pieces.join(pieces.groupBy("gram").count(), "gram").groupBy("stem").agg(F.min_by("gram", F.struct("count", "gram")).alias("gram"))
-    rare = materialize(rare, "stems")
-    sizes = {GRAM} | {r[0] for r in own.where(F.length("stem") < GRAM).select(F.length("stem")).distinct().collect()}  # at most eight numbers
-    every = F.array_distinct(F.concat(*[_grams(F.col("name"), n) for n in sorted(sizes)]))
-    pieces = names.select("name").where("name <> ''").distinct().select("name", F.explode(every).alias("gram"))
-    # pieces that no stem is looked up by fall away before names are shuffled
-    met = pieces.join(small(rare.select("gram").distinct()), "gram", "left_semi").join(rare, "gram")
-    return met.where(F.contains("name", "stem")).select("name", "stem")
+    own = materialize(stems.select("stem").where("stem <> ''").distinct(), "stems")
+    rows = names.select("name").where("name <> ''").distinct()
+    chars, shortest = own.agg(F.sum(F.length("stem")), F.min(F.length("stem"))).first()
+    if (chars or 0) <= SHARD_CHARS:
+        few = [r.stem for r in own.collect()]  # SHARD_CHARS characters at most
+
+        def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            yield from _framed(_scanned(few, (name for frame in frames for name in frame["name"])), ["name", "stem"])
+
+        return rows.mapInPandas(read, "name string, stem string")
+    shards = -(-chars // SHARD_CHARS)
+    ranged = materialize(own.repartitionByRange(shards, "stem").select("stem", F.spark_partition_id().alias("shard")), "shards")
+    firsts = sorted((r.first, r.shard) for r in ranged.groupBy("shard").agg(F.min("stem").alias("first")).collect())  # a row for each SHARD_CHARS characters
+    bounds, numbers = [f for f, _ in firsts], [n for _, n in firsts]
+    opening = min(OPENING, shortest)
+    opens = own.select(F.substring("stem", 1, opening)).distinct().limit(SHARD_NAMES + 1).collect()
+    begins = {r[0] for r in opens} if len(opens) <= SHARD_NAMES else None  # many openings: every place leads to a shard
+
+    def places(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def sent() -> Iterator[tuple[int, str]]:
+            for frame in frames:
+                for name in frame["name"]:
+                    at = {bisect_right(bounds, name[i:]) - 1 for i in range(len(name)) if begins is None or name[i : i + opening] in begins}
+                    for j in at:
+                        if j >= 0:
+                            yield numbers[j], name
+
+        yield from _framed(sent(), ["shard", "text"])
+
+    heads = own.sparkSession.createDataFrame([(n, f) for f, n in firsts], "shard int, first string")
+    prefixes = heads.select("shard", F.explode(F.transform(F.sequence(F.lit(1), F.length("first")), lambda i: F.substring("first", F.lit(1), i))).alias("stem"))
+    kept = ranged.select("shard", "stem").unionByName(prefixes.join(own, "stem", "left_semi").select("shard", "stem")).distinct()
+    asked = materialize(rows.mapInPandas(places, "shard int, text string"), "places")
+    # a shard that many names come to is read by several tasks, each with its stems
+    parts = materialize(asked.groupBy("shard").agg((F.floor(F.count("*") / SHARD_NAMES) + 1).cast("int").alias("parts")), "parts")
+    told = kept.join(small(parts), "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.col("stem").alias("text"))
+    asked = asked.join(small(parts), "shard").select("shard", F.pmod(F.xxhash64("text"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"), "text")
+
+    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # a shard's stems come before its names
+        lines = (row for frame in frames for row in frame.itertuples(index=False))
+        for _, shard in groupby(lines, key=lambda r: (r.shard, r.part)):
+            stems, row = [], None
+            for row in shard:
+                if row.kind:
+                    break
+                stems.append(row.text)
+            if row is not None and row.kind:
+                yield from _framed(_scanned(stems, (r.text for r in chain([row], shard))), ["name", "stem"])
+
+    tasks = 2 * (parts.agg(F.sum("parts")).first()[0] or 1)
+    ordered = told.unionByName(asked).repartition(tasks, "shard", "part").sortWithinPartitions("shard", "part", "kind")
+    return ordered.mapInPandas(scan, "name string, stem string").distinct()
 
 
 #: Measured bytes up to which a table is broadcast.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossworks.functions.common import contained, stem
+from glossworks.functions.common import contained, materialize, stem
 
 #: Frame rates whose ratio rendered views are slowed by.
 RENDER_RATIO = 30 / 25
@@ -75,10 +75,10 @@ def single_gloss(poses: DataFrame, gloss_map: DataFrame, labels: DataFrame) -> D
     """stem, gloss, how: the gloss of each pose file by the first that holds: the longest segment in its name has a label (segment), the
     longest word_ stem in its name (word), a sentence_ stem (sentence: none), the longest stem of one gloss (single), nothing (unmatched).
     poses: stem; gloss_map: stem, glosses; labels: seg_stem, gloss."""
-    rows = poses.select(F.col("stem").alias("name")).distinct()
+    rows = materialize(poses.select(F.col("stem").alias("name")).distinct(), "poses")
     segs = labels.groupBy(F.col("seg_stem").alias("stem")).agg(F.min("gloss").alias("label"))
     originals = gloss_map.groupBy("stem").agg(F.min("glosses").alias("glosses"))
-    keys = segs.join(originals, "stem", "full_outer")
+    keys = materialize(segs.join(originals, "stem", "full_outer"), "stems")
     found = contained(rows, keys).join(keys, "stem")
     word, sentence, one = F.startswith("stem", F.lit("word_")), F.startswith("stem", F.lit("sentence_")), F.size("glosses") == 1
     size, known = F.struct(F.length("stem"), "stem"), F.col("glosses").isNotNull()

@@ -5,37 +5,68 @@ Everything is planned on ids (the recipe); features meet the plan last.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossworks.functions.common import hash_order
+from glossworks.functions.common import hash_order, materialize, small
 
 from .training import PRESETS
 
 TRIES = 200
 
 
-def derange(tokens: list[str], seed: int, key: str) -> list[str]:
-    """A seeded order in which no place keeps its value; after TRIES without one, the list turned by one.
+def derangement(tokens: list[str], seed: int, key: str) -> list[int]:
+    """A seeded order of the places in which no place keeps its value; after TRIES without one, the list turned by one.
 
     Lists of one token or of equal tokens stay as they are; where one token is
     more than half of the list no try can do.
     """
-    places: dict[str, int] = {}
+    n, places = len(tokens), {}
     codes = np.array([places.setdefault(t, len(places)) for t in tokens], dtype=np.int64)
     if len(places) <= 1:
-        return list(tokens)
-    if 2 * np.bincount(codes).max() <= len(tokens):
+        return list(range(n))
+    if 2 * np.bincount(codes).max() <= n:
         rng = np.random.default_rng([seed, *key.encode()])
         for _ in range(TRIES):
-            order = rng.permutation(len(tokens))
+            order = rng.permutation(n)
             if (codes[order] != codes).all():
-                return [tokens[i] for i in order]
-    return [*tokens[1:], tokens[0]]
+                return order.tolist()
+    return [*range(1, n), 0]
+
+
+def derange(tokens: list[str], seed: int, key: str) -> list[str]:
+    """The tokens in the order of derangement()."""
+    return [tokens[i] for i in derangement(tokens, seed, key)]
+
+
+def _slots(preset: str) -> list[tuple[str, int, str, bool]]:
+    """category, variant, the mark of its id, and whether its order is drawn."""
+    n_a, n_b, n_c = PRESETS[preset]
+    made = [(kind, v, f"_{kind.lower()}v{v}", v > 0) for kind, n in (("B", n_b), ("C", n_c)) for v in range(n)]
+    return [("A_base", 0, "", False), *(("A_shuf", v, f"_a{v}", True) for v in range(n_a)), *made]
+
+
+def _tokens(text: Column) -> Column:
+    return F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda x: x != "")
+
+
+def _ordered(rows: DataFrame, slots: list[tuple[str, int, str, bool]], seed: int) -> DataFrame:
+    """rows (fileid, tokens, ...) for each slot, with variant_id, category, variant and order (of the places). A sentence goes to Python once
+    for all its variants, and its other columns don't."""
+
+    @F.pandas_udf("array<array<int>>")
+    def orders(fileids: pd.Series, tokens: pd.Series) -> pd.Series:
+        def each(fileid: str | None, words: list[str]) -> list[list[int]]:
+            own = list(range(len(words)))
+            return [derangement(words, seed, f"{fileid}{mark}") if moved else own for _, _, mark, moved in slots]
+
+        return pd.Series([each(f, list(t)) for f, t in zip(fileids, tokens, strict=True)])
+
+    kinds = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(v).alias("variant"), F.lit(m).alias("mark")) for c, v, m, _ in slots])
+    each = rows.withColumn("__o", orders("fileid", "tokens")).select(*rows.columns, F.posexplode("__o").alias("__slot", "order")).withColumn("__k", F.get(kinds, F.col("__slot")))
+    return each.select(F.concat("fileid", F.col("__k.mark")).alias("variant_id"), *rows.columns, F.col("__k.category").alias("category"), F.col("__k.variant").alias("variant"), "order")
 
 
 def expand_variants(entries: DataFrame, preset: str = "36x", seed: int = 0) -> DataFrame:
@@ -44,19 +75,55 @@ def expand_variants(entries: DataFrame, preset: str = "36x", seed: int = 0) -> D
     Each sentence has its base, shuffled copies of it (A), and variants to be made
     of word clips (B, C) whose first keeps the order. entries: fileid, text.
     """
-    n_a, n_b, n_c = PRESETS[preset]
-    slots = [("A_base", 0, False), *(("A_shuf", v, True) for v in range(n_a)), *(("B", v, v > 0) for v in range(n_b)), *(("C", v, v > 0) for v in range(n_c))]
-    kinds = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(v).alias("variant"), F.lit(m).alias("moved")) for c, v, m in slots])
-    mark = F.when(F.col("category") == "A_base", "").when(F.col("category") == "A_shuf", F.concat(F.lit("_a"), "variant")).otherwise(F.concat(F.lit("_"), F.lower("category"), F.lit("v"), "variant"))
-    tokens = F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda x: x != "")
-    rows = entries.select("fileid", tokens.alias("tokens"), F.explode(kinds).alias("k")).select("fileid", "k.*", "tokens").withColumn("variant_id", F.concat("fileid", mark))
-
-    def shuffle(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            frame["tokens"] = [derange(list(t), seed, v) if m else list(t) for t, v, m in zip(frame["tokens"], frame["variant_id"], frame["moved"], strict=True)]
-            yield frame[["variant_id", "fileid", "category", "variant", "tokens"]]
-
-    return rows.mapInPandas(shuffle, "variant_id string, fileid string, category string, variant int, tokens array<string>")
+    rows = _ordered(entries.select("fileid", _tokens(F.col("text")).alias("tokens")), _slots(preset), seed)
+    return rows.select("variant_id", "fileid", "category", "variant", F.transform("order", lambda i: F.get("tokens", i)).alias("tokens"))
+
+
+def clip_plans(entries: DataFrame, resources: DataFrame, frames: DataFrame, preset: str = "36x", seed: int = 0) -> DataFrame:
+    """variant_id, fileid, category, clips (token, name, n_frames in the variant's order) of the B and C variants of each sentence.
+
+    Distinct tokens of a sentence are joined once to their candidates; all its
+    variants are then planned in its row, so that nothing of variants x tokens is
+    shuffled. A token that many sentences have is dealt over tasks by the adaptive
+    skew join, or its candidates are broadcast if their bytes are few. Choices are
+    those of recipe(). entries: fileid (of several rows the least text counts), text; resources: category (B or C), token, ord,
+    name, of usable clips only; frames: name, n_frames (a name that isn't there: null).
+    """
+    size = frames.groupBy("name").agg(F.max("n_frames").alias("n_frames"))
+    known = resources.join(size, "name", "left")
+    pick = lambda kind: F.transform(F.sort_array(F.collect_list(F.when(F.col("category") == kind, F.struct("ord", "name", "n_frames")))), lambda x: F.struct(x["name"].alias("name"), x["n_frames"].cast("long").alias("n_frames"))).alias(kind)
+    lists = materialize(known.groupBy("token").agg(pick("B"), pick("C")), "candidates")  # a handful of each token
+    rows = entries.groupBy("fileid").agg(_tokens(F.min("text")).alias("tokens"))
+    met = rows.select("fileid", F.explode(F.array_distinct("tokens")).alias("token")).join(small(lists), "token")
+    own = met.groupBy("fileid").agg(F.map_from_entries(F.collect_list(F.struct("token", F.struct("B", "C")))).alias("known"))
+    found = rows.join(own, "fileid", "left").select("fileid", "tokens", F.transform("tokens", lambda t: F.try_element_at("known", t)).alias("at"))
+    each = _ordered(found, [s for s in _slots(preset) if s[0] in "BC"], seed)
+    draw = lambda pos: F.conv(F.substring(hash_order(seed, F.col("variant_id"), pos), 1, 8), 16, 10).cast("long")
+
+    def clip(i: Column, pos: Column) -> Column:
+        at = F.get("at", i)
+        chosen = F.when(F.col("category") == "B", F.get(at["B"], F.lit(0))).otherwise(F.get(at["C"], F.try_mod(draw(pos), F.size(at["C"])).cast("int")))
+        return F.struct(F.get("tokens", i).alias("token"), chosen["name"].alias("name"), chosen["n_frames"].alias("n_frames"))
+
+    return each.select("variant_id", "fileid", "category", F.transform("order", clip).alias("clips"))
+
+
+def plan_rows(plans: DataFrame) -> DataFrame:
+    """variant_id, category, pos, token, name: as of recipe()."""
+    return plans.select("variant_id", "category", F.posexplode("clips").alias("pos", "c")).select("variant_id", "category", "pos", "c.token", "c.name")
+
+
+def plan_drops(plans: DataFrame) -> DataFrame:
+    """category, reason: as of drops()."""
+    lost = plans.select("category", F.explode("clips").alias("c")).where("c.n_frames IS NULL OR c.n_frames = 0")
+    reason = F.when(F.col("c.name").isNull(), "no_clip").when(F.col("c.n_frames").isNull(), "load_fail").otherwise("empty")
+    return lost.select("category", F.concat_ws(":", reason, "c.token").alias("reason"))
+
+
+def plan_variants(plans: DataFrame) -> DataFrame:
+    """variant_id, category, used, n_frames: as of planned_variants()."""
+    good = plans.select("variant_id", "category", F.filter("clips", lambda c: c["n_frames"] > 0).alias("good")).where("size(good) > 0")
+    return good.select("variant_id", "category", F.transform("good", lambda c: c["name"]).alias("used"), F.aggregate("good", F.lit(0).cast("long"), lambda a, c: a + c["n_frames"]).alias("n_frames"))
 
 
 def recipe(variants: DataFrame, resources: DataFrame, seed: int = 0) -> DataFrame:

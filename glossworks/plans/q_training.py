@@ -73,9 +73,13 @@ def _resolved(s, d):
     return tr.resolve_resources(tr.entry_tokens(_sentences(s, d)), index, index.where("ok"))
 
 
-def _plan(s, d):
+def _plans(s, d):
     own = _resolved(s, d).where("has_feature").select("token", "ord", "name").withColumn("category", F.explode(F.array(F.lit("B"), F.lit("C"))))
-    return va.recipe(va.expand_variants(_sentences(s, d)), own, seed=7)
+    return va.clip_plans(_sentences(s, d), own, _words(s, d).select("name", "n_frames"), seed=7)
+
+
+def _plan(s, d):
+    return va.plan_rows(_plans(s, d))
 
 
 def _fixed(s, d):
@@ -135,7 +139,7 @@ QUERIES = {
     ),
     "tr11_fixed_points": (lambda s, d: _fixed(s, d), f"WITH {SENT} SELECT count(*) * (10 + 9 + 14) AS n, 0::BIGINT AS fixed_points FROM sent"),
     "tr12_planned_variants": (
-        lambda s, d: va.planned_variants(_plan(s, d), _words(s, d).select("name", "n_frames")).where("category = 'B' AND variant_id LIKE '%_bv0'").select("variant_id", F.array_join("used", " ").alias("used"), "n_frames"),
+        lambda s, d: va.plan_variants(_plans(s, d)).where("category = 'B' AND variant_id LIKE '%_bv0'").select("variant_id", F.array_join("used", " ").alias("used"), "n_frames"),
         f"""WITH {SENT}, {INDEX}, {CAND}, c AS (SELECT token, arg_min(name, ord) AS name, arg_min(n_frames, ord) AS n_frames FROM cand WHERE ok GROUP BY 1),
         x AS (SELECT fileid, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM sent)
         SELECT fileid || '_bv0' AS variant_id, string_agg(name, ' ' ORDER BY pos) AS used, sum(n_frames)::BIGINT AS n_frames FROM x JOIN c USING (token) WHERE n_frames > 0 GROUP BY fileid""",
@@ -156,13 +160,13 @@ QUERIES = {
         SELECT category, count(*) FILTER (NOT val) AS train, count(*) FILTER (val) AS val, count(*) FILTER (val) AS test FROM r GROUP BY 1""",
     ),
     "tr14_frame_stats": (
-        lambda s, d: tr.frame_stats(va.planned_variants(_plan(s, d), _words(s, d).select("name", "n_frames")).where("category = 'B'")),
+        lambda s, d: tr.frame_stats(va.plan_variants(_plans(s, d)).where("category = 'B'")),
         f"""WITH {SENT}, {SLOTS}, {INDEX}, {CAND}, c AS (SELECT token, arg_min(n_frames, ord) AS n_frames FROM cand WHERE ok GROUP BY 1), x AS (SELECT fileid, unnest(tokens) AS token FROM sent),
         f AS (SELECT fileid, sum(n_frames)::BIGINT AS n FROM x JOIN c USING (token) WHERE n_frames > 0 GROUP BY 1), v AS (SELECT n FROM f, slots WHERE category = 'B')
         SELECT 'B' AS cat, count(*) AS n, min(n) AS min, max(n) AS max, round(avg(n), 6) AS mean, trunc(median(n))::BIGINT AS median FROM v""",
     ),
     "tr14_top_drops": (
-        lambda s, d: tr.top_drops(va.drops(_plan(s, d).where("category = 'B'"), _words(s, d).select("name", "n_frames"))),
+        lambda s, d: tr.top_drops(va.plan_drops(_plans(s, d).where("category = 'B'"))),
         f"""WITH {SENT}, {INDEX}, {CAND}, c AS (SELECT token, arg_min(n_frames, ord) AS n_frames FROM cand WHERE ok GROUP BY 1), x AS (SELECT unnest(tokens) AS token FROM sent)
         SELECT CASE WHEN n_frames IS NULL THEN 'no_clip:' ELSE 'empty:' END || token AS reason, count(*) * 10 AS n FROM x LEFT JOIN c USING (token) WHERE coalesce(n_frames, 0) = 0 GROUP BY 1 ORDER BY n DESC, reason LIMIT 20""",
     ),

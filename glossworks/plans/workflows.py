@@ -39,11 +39,11 @@ def reviews_to_training_set(subs: DataFrame, decs: DataFrame, accepted: DataFram
     entries = materialize(training.build_entries(manifest, pads, glosses), "entries")
     resolved = training.resolve_resources(training.entry_tokens(entries.where("NOT is_pad")), index, frames)
     usable = resolved.where("has_feature").select("token", "ord", "name").withColumn("category", F.explode(F.array(F.lit("B"), F.lit("C"))))
-    planned = materialize(variants.expand_variants(entries.where("NOT is_pad"), preset, seed), "variants")  # orders are drawn once
-    recipe = variants.recipe(planned, usable, seed)
-    made = variants.planned_variants(recipe, frames)
-    kept = materialize(planned.where(F.col("category").startswith("A")).select("variant_id", "category").unionByName(made.select("variant_id", "category")), "kept")
-    return {"manifest": manifest, "entries": training.split_train_val_test(entries, seed=42), "recipe": recipe, "variants": training.split_variants(kept)}
+    own = entries.where("NOT is_pad")
+    plans = materialize(variants.clip_plans(own, usable, frames, preset, seed), "plans")  # orders and clips are drawn once
+    base = variants.expand_variants(own, preset, seed).where(F.col("category").startswith("A"))
+    kept = materialize(base.select("variant_id", "category").unionByName(variants.plan_variants(plans).select("variant_id", "category")), "kept")
+    return {"manifest": manifest, "entries": training.split_train_val_test(entries, seed=42), "recipe": variants.plan_rows(plans), "variants": training.split_variants(kept)}
 
 
 def segments_to_labels(raw: DataFrame, videos: DataFrame, augs: DataFrame, existing: DataFrame, params: DataFrame, gloss_map: DataFrame, poses: DataFrame, prev_vocab: DataFrame) -> dict[str, DataFrame]:

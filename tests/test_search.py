@@ -57,3 +57,26 @@ def test_neither_side_meets_by_a_cross_join(spark):
     right = spark.createDataFrame([(i, v.tolist()) for i, v in _groups(200, 4, 0.3, 3)], SCHEMA)
     plan = similarity.top_k_similar(right.limit(50), right, 3)._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def _contained(names, stems):
+    return sorted((n, s) for n in set(names) for s in set(stems) if s and s in n)
+
+
+@pytest.mark.parametrize("chars", [10_000, 60, 7])
+def test_every_stem_in_a_name_is_found(spark, monkeypatch, chars):
+    """In one automaton, and in shards whose bounds stems and their prefixes straddle; hot shards in parts."""
+    import random
+
+    from glossworks.functions import common
+
+    monkeypatch.setattr(common, "SHARD_CHARS", chars)
+    monkeypatch.setattr(common, "SHARD_NAMES", 40)
+    r = random.Random(4)
+    some = lambda n: "".join(r.choices("abé_", k=r.randint(1, n)))
+    stems = [some(6) for _ in range(60)] + ["a", "ab", "aba", "abab", "", None, "sentence_1", "sentence_12", "sentence_12_a"]
+    names = [some(14) for _ in range(150)] + [f"x_sentence_1{i}_a" for i in range(90)] + ["", None, "z", "z", "abab", "b" * 3000]
+    df = lambda xs, c: spark.createDataFrame([(x,) for x in xs], f"{c} string").repartition(3)
+    got = sorted(map(tuple, common.contained(df(names, "name"), df(stems, "stem")).collect()))
+    assert got == _contained([n for n in names if n], [s for s in stems if s])
+    assert common.contained(df(names, "name"), df([""], "stem")).count() == common.contained(df([], "name"), df(stems, "stem")).count() == 0
