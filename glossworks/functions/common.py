@@ -146,10 +146,15 @@ def contained(names: DataFrame, stems: DataFrame) -> DataFrame:
 BROADCAST_BYTES = 64 << 20
 
 
-def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """df with a hint to broadcast it if its rows, measured as JSON and eight bytes a column, are few bytes."""
+def fits(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether df's rows, measured as JSON and eight bytes a column, are few bytes."""
     row = F.octet_length(F.to_json(F.struct(*df.columns))) + 8 * len(df.columns)
-    return F.broadcast(df) if (df.agg(F.sum(row.cast("long"))).first()[0] or 0) <= limit else df
+    return (df.agg(F.sum(row.cast("long"))).first()[0] or 0) <= (BROADCAST_BYTES if limit is None else limit)
+
+
+def small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """df with a hint to broadcast it if it fits."""
+    return F.broadcast(df) if fits(df, limit) else df
 
 
 def shared_dir(spark: SparkSession) -> str:
