@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossworks.functions.common import BROADCAST_BYTES, materialize, shared_dir, small
+from glossworks.functions.common import BROADCAST_BYTES, fits, materialize, shared_dir, small
 
-__all__ = ["BLANKS", "BLANK_CHARS", "BROADCAST_BYTES", "NOT_WORD", "ascii_lower", "materialize", "most_frequent", "row_key", "shared_dir", "small", "words"]
+__all__ = ["BLANKS", "BLANK_CHARS", "BROADCAST_BYTES", "NOT_WORD", "ascii_lower", "fits", "materialize", "most_frequent", "row_key", "shared_dir", "small", "words"]
 
 #: ASCII white space: space and tab to carriage return.
 BLANKS = "[\\x20\\x09-\\x0D]+"

@@ -20,6 +20,8 @@ from .common import materialize, small
 BLOCK = 8
 #: Slots that are worked out at most, and at a time. Weights that need more don't get a plan (they are better rounded by who sets them).
 MOST_SLOTS, CHUNK = 1 << 21, 1024
+#: Default weights are parts of so many.
+PARTS = 4096
 #: Sources are dealt in this many parts of equal hash prefix (16 ** PREFIX) for numbering.
 PREFIX = 3
 
@@ -29,8 +31,12 @@ def _div(a: Column, b: Column) -> Column:
 
 
 def default_weights(counts: DataFrame) -> DataFrame:
-    """source, n -> source, weight: the whole root of each source's rows, so that large sources weigh less than they fill."""
-    return counts.select("source", F.floor(F.sqrt(F.col("n").cast("double"))).cast("long").alias("weight"))
+    """source, n -> source, weight: the root of each source's rows, so that large sources weigh less than they fill, as a whole number of
+    PARTS of all roots and 1 at least. They sum to PARTS and one for each source at most, however many rows there are."""
+    root = F.floor(F.sqrt(F.col("n").cast("double")) * 1024).cast("long")
+    every = counts.agg(F.sum(root).alias("every"))
+    weight = F.greatest(F.expr(f"__root * {PARTS} div every"), F.lit(1))
+    return counts.select("source", root.alias("__root")).join(F.broadcast(every)).select("source", weight.cast("long").alias("weight"))
 
 
 def shares(weights: DataFrame) -> DataFrame:

@@ -118,7 +118,8 @@ SQL: dict[str, str] = {
                coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
         FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN con ON con.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN fin ON fin.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN rep ON rep.conv_id IS NOT DISTINCT FROM o.conv_id""",
     "op8_mixing": """
-        WITH RECURSIVE c AS (SELECT source, floor(sqrt(count(*)))::BIGINT AS w FROM documents GROUP BY source),
+        WITH RECURSIVE n AS (SELECT source, floor(sqrt(count(*)::DOUBLE) * 1024)::BIGINT AS root FROM documents GROUP BY source),
+        c AS (SELECT source, greatest(root * 4096 // (SELECT sum(root) FROM n), 1)::BIGINT AS w FROM n),
         o AS (SELECT source, w, row_number() OVER (ORDER BY coalesce(source, ''), source) - 1 AS i FROM c WHERE w > 0),
         f AS (SELECT source, i, w // (SELECT list_reduce(list(w), lambda a, b: gcd(a, b)) FROM o) AS share FROM o),
         a AS (SELECT list(share ORDER BY i) AS sh, sum(share)::BIGINT AS d FROM f),

@@ -3,7 +3,7 @@
 Candidates are unbroken strings that mix letters and digits. Each is described by
 its length, by how likely its character transitions are in the words of the corpus,
 by how much of it such words cover, by its path (the document's source) and by
-the words and signs beside it. Transitions and the dictionary are counted over
+the words of its whole line and the signs beside it. Transitions and the dictionary are counted over
 all words of all documents; the dictionary stays a table, which the candidates'
 pieces are joined to. A random forest learned from labelled findings keeps what
 looks like a secret.
@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,6 +30,7 @@ _shape = re.compile(SHAPE)
 #: Words before a candidate that name a secret, and signs of assignment.
 NAMES = r"(?:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|apikey|access[_-]?key|private[_-]?key|credential|auth|bearer)"
 _named = re.compile(NAMES + r"\W{0,6}$", re.I)
+_name = re.compile(NAMES, re.I)
 _assigned = re.compile(r"[=:]\s*[\"']?$")
 _word = re.compile(r"[^\W\d_]+")
 #: Labelled findings that the forest is fitted on at most (a part of them by hash), its trees and their depth.
@@ -36,7 +39,9 @@ MOST_LABELLED, TREES, DEPTH = 50_000, 40, 8
 FORM = ("length", "transitions", "switches", "entropy", "covered", "digits", "upper", "hexadecimal", "path", "line_words", "before_known", "after_known", "after_word")
 CONTEXT = ("named", "assigned", "quoted")
 FEATURES = FORM + CONTEXT
-CANDIDATE = "start int, end int, value string, before string, after string"
+CANDIDATE = "start int, end int, value string, before string, after string, line_words int, left string, right string"
+#: Characters before and after a candidate that names and signs are looked for in: more than any of them takes.
+BESIDE = 64
 SEED = 42
 
 
@@ -48,11 +53,19 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for frame in frames:
             rows = []
             for doc, key, path, text in zip(frame["id"], frame["key"], frame["path"], frame["text"], strict=True):
-                for m in _shape.finditer(text):
-                    a, b = m.span()
-                    left, right = text.rfind("\n", 0, a) + 1, text.find("\n", b)
-                    rows.append((doc, key, path, a, b, m.group(), text[max(left, a - SIDE) : a], text[b : min(b + SIDE, right if right >= 0 else len(text))]))
-            out = pd.DataFrame(rows, columns=["id", "key", "path", "start", "end", "value", "before", "after"])
+                for line, places in groupby(_shape.finditer(text), key=lambda m: text.rfind("\n", 0, m.start()) + 1):  # noqa: B031, B023
+                    end = text.find("\n", line)
+                    end = end if end >= 0 else len(text)
+                    # the line's words once for all its candidates
+                    words = [w.span() for w in _word.finditer(text, line, end)]
+                    starts, ends = [w[0] for w in words], [w[1] for w in words]
+                    for m in places:
+                        a, b = m.span()
+                        before, after = bisect_right(ends, a), bisect_left(starts, b)
+                        spelled = lambda order: next((w for w in (text[slice(*words[i])] for i in order) if not _name.fullmatch(w)), "").lower()  # noqa: B023, E731
+                        left, right = spelled(range(before - 1, -1, -1)), spelled(range(after, len(words)))
+                        rows.append((doc, key, path, a, b, m.group(), text[max(line, a - BESIDE) : a], text[b : min(b + BESIDE, end)], before + len(words) - after, left, right))
+            out = pd.DataFrame(rows, columns=["id", "key", "path", "start", "end", "value", "before", "after", "line_words", "left", "right"])
             out["id"] = pd.Series([r[0] for r in rows], dtype=frame["id"].dtype)
             yield out
 
@@ -60,10 +73,6 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return some.mapInPandas(read, f"id {kind}, key long, path string, {CANDIDATE}")
 
 
-#: Characters of its line that a candidate keeps on either side: many candidates of one very long line don't each carry it whole.
-SIDE = 256
-
-
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """w, n: the words of ASCII letters, in lower case, and how many documents have them; over all documents."""
 
@@ -95,29 +104,27 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         firsts[pair[0]] += n
     kinds = {f.name: f.dataType.simpleString() for f in found.schema.fields}
 
-    def described(value: str, path: str | None, before: str, after: str) -> list[float]:
+    def described(value: str, path: str | None, before: str, after: str, line_words: int) -> list[float]:
         low, n = value.lower(), len(value)
         moves = [math.log((pairs.get(low[i : i + 2], 0) + 1) / (firsts[low[i]] + 40)) for i in range(n - 1)]
         shape = ["a" if c.islower() else "A" if c.isupper() else "9" if c.isdigit() else "-" for c in value]
         counts = Counter(value)
         return [
             float(n), sum(moves) / max(1, len(moves)), sum(a != b for a, b in zip(shape, shape[1:], strict=False)) / n, -sum(c / n * math.log2(c / n) for c in counts.values()),
-            shape.count("9") / n, shape.count("A") / n, float(all(c in "0123456789abcdef" for c in low)), float(sum(map(ord, path or "")) % 64), float(len(_word.findall(before)) + len(_word.findall(after))),
+            shape.count("9") / n, shape.count("A") / n, float(all(c in "0123456789abcdef" for c in low)), float(sum(map(ord, path or "")) % 64), float(line_words),
             float(bool(re.match(r"[\"']?\W*\s[a-zA-Z]", after))), float(bool(_named.search(before))), float(bool(_assigned.search(before))), float(before[-1:] in "\"'" and before != "" and after[:1] == before[-1:]),
         ]
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = list(zip(frame["value"], frame["path"], frame["before"], frame["after"], strict=True))
-            # words within the candidate, and the nearest words on either side that don't name a secret
-            near = lambda side: next((w.lower() for w in side if not re.fullmatch(NAMES, w, re.I)), "")
+            rows = list(zip(frame["value"], frame["path"], frame["before"], frame["after"], frame["line_words"], strict=True))
             own = [[w.lower() for w in re.findall(r"[A-Z]?[a-z]{3,}|[A-Z]{4,}", r[0])] for r in rows]
-            yield frame.assign(own=own, left=[near(reversed(_word.findall(r[2]))) for r in rows], right=[near(_word.findall(r[3])) for r in rows], d=[described(*r) for r in rows])
+            yield frame.assign(own=own, d=[described(*r) for r in rows])
 
-    schema = ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", own array<string>, left string, right string, d array<double>"
+    schema = ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", own array<string>, d array<double>"
     read_rows = materialize(found.withColumn("at", F.xxhash64(*found.columns)).mapInPandas(read, schema + ", at long"), "candidates")
     asked = read_rows.select("at", "value", F.explode(F.concat(F.transform("own", lambda w: F.struct(w.alias("w"), F.lit(0).alias("side"))), F.array(F.struct(F.col("left").alias("w"), F.lit(1).alias("side")), F.struct(F.col("right").alias("w"), F.lit(2).alias("side"))))).alias("a"))
-    known = asked.dropDuplicates(["at", "a"]).select("at", "a.w", "a.side").join(words.where("n > 1"), "w")
+    known = asked.dropDuplicates(["at", "a"]).select("at", "a.w", "a.side").join(words, "w")
     looked = known.groupBy("at").agg(F.collect_set(F.when(F.col("side") == 0, F.col("w"))).alias("known"), F.max(F.when(F.col("side") == 1, F.log1p("n"))).alias("l"), F.max(F.when(F.col("side") == 2, F.log1p("n"))).alias("r"))
     joined = read_rows.join(looked, "at", "left")
     inside = F.filter("own", lambda w: F.array_contains(F.coalesce("known", F.array().cast("array<string>")), w))

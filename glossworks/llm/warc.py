@@ -22,7 +22,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_dir, small
+from .common import fits, materialize, shared_dir
 
 #: Bytes of payload in a row; an Arrow batch of rows stays small.
 CHUNK = 1 << 14
@@ -36,13 +36,24 @@ MOST_TASKS = 20_000
 
 
 def plan(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """pages, __payload (binary), __bytes, __digest (SHA-1, hex), __to (the page that a revisit refers to, else null)."""
+    """pages, __payload (binary), __bytes, __digest (SHA-1, hex), __to (the page that a revisit refers to, else null).
+
+    Digests that repeat are broadcast to the pages if their bytes are few. If not,
+    digests and ids alone are joined, whatever one digest's share, and a revisit
+    finds its page by its own id: no task gets the payloads of one digest.
+    """
     rows = pages.withColumn("__payload", F.coalesce(F.col(payload_col), F.lit("")).cast("binary"))
     rows = rows.withColumns({"__bytes": F.octet_length("__payload").cast("long"), "__digest": F.sha1("__payload")})
-    many = rows.where(F.col("__bytes") >= least_bytes).groupBy(F.col("__digest").alias("__d")).agg(F.count("*").alias("__n"), F.max(id_col).alias("__max")).where("__n > 1").select("__d", "__max")
-    rows = rows.join(small(materialize(many, "payloads")), F.col("__digest") == F.col("__d"), "left")
+    large = rows.where(F.col("__bytes") >= least_bytes)
+    many = materialize(large.groupBy(F.col("__digest").alias("__d")).agg(F.count("*").alias("__n"), F.max(id_col).alias("__max")).where("__n > 1").select("__d", "__max"), "payloads")
     keeps = F.col("__max").isNull() | F.col(id_col).eqNullSafe(F.col("__max"))
-    return rows.withColumn("__to", F.when(~keeps, F.col("__max"))).drop("__d", "__max")
+    if fits(many):
+        rows = rows.join(F.broadcast(many), F.col("__digest") == F.col("__d"), "left")
+        return rows.withColumn("__to", F.when(~keeps, F.col("__max"))).drop("__d", "__max")
+    own = F.concat_ws("|", "__digest", F.col(id_col).cast("string"))  # a null id leaves the digest alone
+    narrow = large.select(F.col(id_col), F.col("__digest").alias("__d"), own.alias("__own")).distinct().join(many, "__d")
+    again = materialize(narrow.where(~keeps).select("__own", F.col("__max").alias("__to")), "revisits")
+    return rows.withColumn("__key", own).join(again, F.col("__key") == F.col("__own"), "left").drop("__key", "__own")
 
 
 def chunks(planned: DataFrame, id_col: str = "page_id", url_col: str = "url", chunk: int = CHUNK) -> DataFrame:

@@ -47,3 +47,9 @@ def test_the_plan_is_earliest_deadline_first(spark):
 def test_weights_that_need_too_many_slots_are_refused(spark):
     with pytest.raises(Exception, match="the weights sum to"):
         mixing.template(mixing.shares(spark.createDataFrame([("a", 1 << 40), ("b", 1)], "source string, weight long"))).count()
+
+
+def test_default_weights_need_few_slots_however_many_rows(spark):
+    counts = [(f"s{i}", 4_400_000 + 977 * i) for i in range(1000)] + [("huge", 10**15), ("tiny", 1), (None, 50)]
+    plan = mixing.shares(mixing.default_weights(spark.createDataFrame(counts, "source string, n long"))).first()
+    assert len(plan.sources) == len(counts) and plan.D <= mixing.PARTS + len(counts) and all(s.share >= 1 for s in plan.sources)

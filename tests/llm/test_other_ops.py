@@ -267,3 +267,24 @@ def test_empty_tables(spark, tmp_path, name):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert queries.QUERIES[name](spark, str(tmp_path)).count() == 0
+
+
+def test_warc_many_repeated_digests_move_no_payload_by_digest(spark, monkeypatch):
+    """Where repeated digests are too many to broadcast, the payloads are dealt by their own ids."""
+    from glossworks.functions import common
+
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    rows = [(i, "u", "z" * 2000 if i % 3 else str(i)) for i in range(40)] + [(None, "u", "z" * 2000), (3, "u", "again"), (1, "u", "z" * 2000)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    planned = warc.plan(docs)
+    text = planned._jdf.queryExecution().toString()
+    assert "__digest" not in "".join(line.partition("hashpartitioning")[2] for line in text.splitlines())
+    got = {(r.page_id, r["__to"]) for r in planned.where("__bytes >= 1000").collect()}
+    assert got == {(i, 38) for i in range(40) if i % 3 and i != 38} | {(38, None), (None, 38), (1, 38)} and planned.count() == len(rows)
+
+
+def test_secret_neighbours_of_a_very_long_line(spark):
+    key = "".join(random.Random(6).choices("abcdef0123456789", k=40))
+    line = "river " + "- " * 5000 + f'token = "{key}" ' + "? " * 5000 + "mill wheel"
+    found = secrets.candidates(spark.createDataFrame([(1, "x\n" + line + "\ny", "s")], "doc_id long, text string, source string")).first()
+    assert (found.line_words, found.left, found.right, found.value) == (4, "river", "mill", key)
