@@ -11,6 +11,7 @@ from itertools import chain, groupby, islice
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def _winner(df: DataFrame, keys: list[str], order: list[str], pick) -> DataFrame:
@@ -39,6 +40,64 @@ def hash_order(seed: int | str, *cols: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in cols]))
 
 
+#: Buckets of a histogram, and rows of the last one that come to the driver.
+BARS = 1024
+
+
+def first_by_hash(df: DataFrame, key: str, n: int, seed: int | str) -> Column:
+    """The condition under which a row is among df's first n by hash_order(seed, key), key; rows that repeat a key of them fulfil it too.
+
+    The n-th row is found by counting rows in BARS equal ranges of the hash, then in
+    BARS parts of the range that holds it, until few are left (six times at most).
+    Nothing is sorted or shuffled but counts; who has the condition needs no join.
+    """
+    if n <= 0:
+        return F.lit(False)
+    code = hash_order(seed, F.col(key))
+    keys = materialize(df.select(F.col(key).alias("k"), code.alias("h")).withColumn("v", F.conv(F.substring("h", 1, 15), 16, 10).cast("long")), "keys")
+    low, width, left = 0, 1 << 60, n
+    while True:
+        step = max(1, width // BARS)
+        inside = (F.col("v") >= low) & (F.col("v") < low + width)
+        bars = keys.where(inside).groupBy(F.expr(f"(v - {low}L) div {step}L").alias("bar")).agg(F.count("*").alias("n")).collect()  # BARS rows at most
+        held = 0
+        for bar, held in sorted((r.bar, r.n) for r in bars):
+            if left <= held:
+                break
+            left -= held
+        else:
+            return F.lit(True)  # fewer than n rows
+        low, width = low + bar * step, step
+        if held <= BARS or width == 1:
+            break
+    some = keys.where((F.col("v") >= low) & (F.col("v") < low + width)).groupBy("h", "k").agg(F.count("*").alias("n")).collect()  # BARS rows, or those of one 60-bit code
+    for h, k, many in sorted(map(tuple, some)):
+        left -= many
+        if left <= 0:
+            break
+    return (code < h) | ((code == h) & (F.col(key) <= F.lit(k)))
+
+
+def ranked(df: DataFrame, order: list[str], n: int | None = None) -> DataFrame:
+    """df and __rank (from 0) by order, of the first n rows: ranks within ranges of the order, and the rows of the ranges before them.
+
+    Ranges that begin after n are left out before anything is sorted. df is written
+    once, so let it be narrow. Ties of the order are ranked in any order.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "ranges")
+    sizes = {r["__part"]: r.n for r in dealt.groupBy("__part").agg(F.count("*").alias("n")).collect()}  # a row for each range
+    before, offsets = 0, []
+    for part in sorted(sizes):
+        if n is None or before < n:
+            offsets.append((part, before))
+        before += sizes[part]
+    known = F.broadcast(df.sparkSession.createDataFrame(offsets, "__part int, __before long"))
+    own = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    rows = dealt.join(known, "__part").withColumn("__rank", F.col("__before") + own - 1).drop("__part", "__before")
+    return rows if n is None else rows.where(F.col("__rank") < n)
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from glossworks.functions.common import blank_to_null, first_wins, hash_order, last_wins, stem
+from glossworks.functions.common import blank_to_null, first_by_hash, first_wins, last_wins, materialize, ranked, small, stem
 from glossworks.functions.text import gloss_key, sentence_key
 
 PRESETS = {"36x": (10, 10, 15), "21x": (10, 0, 10)}
@@ -31,9 +31,10 @@ def pad_to_target(current: DataFrame, sources: DataFrame, target: int = TARGET,
     need = (target if times is None else round(times * have)) - have
     usable = sources.where((F.trim("text") != "") & F.col("path").isNotNull() & ~((F.col("prio") == 0) & stem(F.col("path")).startswith("word_"))).withColumn("__k", F.lower("text"))
     known = current.select(F.lower(F.trim("sentence_text")).alias("__k")).distinct()
-    fresh = first_wins(usable, ["__k"], ["prio", "seq"]).join(known, "__k", "left_anti").drop("__k")
-    taken = fresh.orderBy("prio", "seq").limit(max(0, need))  # a distributed top-k; the rank below sees the target's rows only
-    return taken.withColumn("idx", F.row_number().over(Window.orderBy("prio", "seq")) - 1).drop("seq")
+    fresh = materialize(first_wins(usable, ["__k"], ["prio", "seq"]).join(known, "__k", "left_anti").withColumn("__k", F.md5("__k")), "fresh")
+    # texts meet their ranks at the end
+    taken = materialize(ranked(fresh.select("prio", "seq", "__k"), ["prio", "seq"], max(0, need)).select("__k", F.col("__rank").cast("int").alias("idx")), "taken")
+    return fresh.join(small(taken), "__k").drop("__k", "seq")
 
 
 def build_entries(current: DataFrame, pads: DataFrame, glosses: DataFrame) -> DataFrame:
@@ -59,19 +60,13 @@ def require_glosses(entries: DataFrame) -> DataFrame:
     return entries
 
 
-def _first_by_hash(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """Keys of the first n rows in seeded order, each once: only narrow rows are ordered, and only n leave each task."""
-    return df.select(key, hash_order(seed, F.col(key)).alias("__h")).orderBy("__h", key).limit(n).select(key).distinct()
-
-
 def split_train_val_test(entries: DataFrame, frac: float = 0.09, seed: int = 42) -> DataFrame:
     """entries and split: val from pads only (a share of all, one at least, the pads at most), test = current rows, train = current and the other pads."""
     n = entries.agg(F.count("*").alias("n"), F.count_if("is_pad").alias("pads")).first()
     n_val = min(max(1, round(n.n * frac)) if n.n else 0, n.pads)
-    val = _first_by_hash(entries.where("is_pad"), "fileid", n_val, seed).withColumn("__v", F.lit(True))
-    marked = entries.join(val, "fileid", "left")
-    splits = F.when(F.col("__v"), F.array(F.lit("val"))).when(F.col("is_pad"), F.array(F.lit("train"))).otherwise(F.array(F.lit("train"), F.lit("test")))
-    return marked.withColumn("split", F.explode(splits)).drop("__v")
+    val = first_by_hash(entries.where("is_pad"), "fileid", n_val, seed)
+    splits = F.when(F.col("is_pad") & val, F.array(F.lit("val"))).when(F.col("is_pad"), F.array(F.lit("train"))).otherwise(F.array(F.lit("train"), F.lit("test")))
+    return entries.withColumn("split", F.explode(splits))
 
 
 def entry_tokens(entries: DataFrame) -> DataFrame:
@@ -120,9 +115,9 @@ def choose_preset(counts: DataFrame, preset: str = "36x", least: float = 0.4) ->
 def split_variants(variants: DataFrame, frac: float = 0.1, seed: int = 42) -> DataFrame:
     """variants and split: a share to val in seeded order, test a copy of val, the rest train."""
     n_val = round(variants.count() * frac)
-    val = _first_by_hash(variants, "variant_id", n_val, seed).withColumn("__v", F.lit(True))
-    splits = F.when(F.col("__v"), F.array(F.lit("val"), F.lit("test"))).otherwise(F.array(F.lit("train")))
-    return variants.join(val, "variant_id", "left").withColumn("split", F.explode(splits)).drop("__v")
+    val = first_by_hash(variants, "variant_id", n_val, seed)
+    splits = F.when(val, F.array(F.lit("val"), F.lit("test"))).otherwise(F.array(F.lit("train")))
+    return variants.withColumn("split", F.explode(splits))
 
 
 def category_counts(split: DataFrame) -> DataFrame:

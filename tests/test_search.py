@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from glossworks.operators import similarity
 
@@ -80,3 +81,32 @@ def test_every_stem_in_a_name_is_found(spark, monkeypatch, chars):
     got = sorted(map(tuple, common.contained(df(names, "name"), df(stems, "stem")).collect()))
     assert got == _contained([n for n in names if n], [s for s in stems if s])
     assert common.contained(df(names, "name"), df([""], "stem")).count() == common.contained(df([], "name"), df(stems, "stem")).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 500, 1999, 2000, 5000])
+def test_the_first_of_a_seeded_order(spark, monkeypatch, n):
+    import hashlib
+
+    from glossworks.functions import common
+
+    monkeypatch.setattr(common, "BARS", 8)
+    keys = [f"k{i % 1700}" for i in range(2000)]  # some come twice
+    df = spark.createDataFrame([(k,) for k in keys], "key string").repartition(3)
+    code = lambda k: (hashlib.md5(f"42|{k}".encode()).hexdigest(), k)
+    first = set(sorted(keys, key=code)[:n])
+    got = df.where(common.first_by_hash(df, "key", n, 42))
+    assert sorted(r.key for r in got.collect()) == sorted(k for k in keys if k in first)
+    plan = got._jdf.queryExecution().toString()
+    assert "TakeOrdered" not in plan and "Exchange" not in plan.partition("Physical")[2].replace("Exchange RoundRobin", "")
+
+
+@pytest.mark.parametrize("n", [None, 0, 1, 100, 999, 5000])
+def test_ranks_in_ranges(spark, n):
+    from glossworks.functions import common
+
+    df = spark.range(1000).select((F.col("id") % 3).alias("prio"), (F.col("id") * 7919 % 1000).alias("seq"))
+    got = common.ranked(df, ["prio", "seq"], n)
+    order = sorted((i % 3, i * 7919 % 1000) for i in range(1000))
+    assert sorted((r["__rank"], r.prio, r.seq) for r in got.collect()) == [(i, *x) for i, x in enumerate(order[: n if n is not None else 1000])]
+    plan = got._jdf.queryExecution().toString()
+    assert "TakeOrdered" not in plan and "SinglePartition" not in plan
