@@ -5,7 +5,9 @@ Everything is planned on ids (the recipe); features meet the plan last.
 
 from __future__ import annotations
 
-import numpy as np
+from collections import Counter
+from random import Random
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,16 +25,20 @@ def derangement(tokens: list[str], seed: int, key: str) -> list[int]:
     Lists of one token or of equal tokens stay as they are; where one token is
     more than half of the list no try can do.
     """
-    n, places = len(tokens), {}
-    codes = np.array([places.setdefault(t, len(places)) for t in tokens], dtype=np.int64)
-    if len(places) <= 1:
+    n, counts = len(tokens), Counter(tokens)
+    if len(counts) <= 1:
         return list(range(n))
-    if 2 * np.bincount(codes).max() <= n:
-        rng = np.random.default_rng([seed, *key.encode()])
+    if 2 * max(counts.values()) <= n:
+        draw = Random(f"{seed}|{key}").random
         for _ in range(TRIES):
-            order = rng.permutation(n)
-            if (codes[order] != codes).all():
-                return order.tolist()
+            order = list(range(n))
+            for i in range(n - 1, -1, -1):  # a try ends at the first place that would keep its value
+                j = int(draw() * (i + 1))
+                order[i], order[j] = order[j], order[i]
+                if tokens[order[i]] == tokens[i]:
+                    break
+            else:
+                return order
     return [*range(1, n), 0]
 
 
