@@ -2,48 +2,69 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossworks.functions.common import materialize, small
 from glossworks.functions.text import clean_token, normalize_unicode
 
 #: Part-of-speech tags whose unmatched words are kept.
 KEPT_TAGS = ("NOUN", "PROPN", "VERB", "ADJ", "ADV", "NUM", "PRON")
 #: Confidence of the lookup layers.
 EXACT, LEMMA, BOTH_LEMMAS, SEMANTIC = 0.95, 0.90, 0.85, 0.70
-LONGEST_PHRASE = 4
 
 
-def tokenize_with_phrases(df: DataFrame, keep: list[str], phrases: DataFrame, text_col: str = "sentence", longest: int = LONGEST_PHRASE) -> DataFrame:
+def phrase_trie(phrases: DataFrame) -> DataFrame:
+    """depth, path, ends: each way of words by which a phrase of two words or more begins, and whether a phrase ends there. phrases: phrase (lower case, single blanks)."""
+    words = phrases.where(F.col("phrase").contains(" ")).select("phrase").distinct().withColumn("w", F.split("phrase", " "))
+    ways = words.select("phrase", F.explode(F.transform(F.sequence(F.lit(1), F.size("w")), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice("w", F.lit(1), n), " ").alias("path")))).alias("x"))
+    return ways.groupBy("x.depth", "x.path").agg(F.bool_or(F.col("x.path") == F.col("phrase")).alias("ends"))
+
+
+def _phrases_at(rows: DataFrame, phrases: DataFrame) -> DataFrame:
+    """row, pos, n: the longest phrase that begins at a place and its words, where there is one. rows: row, w (words).
+
+    All places walk the trie together, a level at a time: who finds no way on falls
+    out, and the walk ends when nobody is left, however long phrases are.
+    """
+    trie = materialize(phrase_trie(phrases), "trie")
+    deepest = trie.agg(F.max("depth")).first()[0] or 0
+    level = lambda d: small(trie.where(F.col("depth") == d).select("path", "ends"))
+    places = rows.select("row", "w", F.posexplode("w").alias("pos", "path")).select("row", "pos", "path", F.slice("w", F.col("pos") + 2, F.lit(max(1, deepest - 1))).alias("next"))
+    walking = materialize(places.join(level(1), "path").where("size(next) > 0").select("row", "pos", "path", "next"), "walk")
+    found, depth = None, 1
+    while depth < deepest and not walking.isEmpty():
+        depth += 1
+        on = walking.where(F.size("next") >= depth - 1).select("row", "pos", F.concat_ws(" ", "path", F.element_at("next", depth - 1)).alias("path"), "next")
+        walking = materialize(on.join(level(depth), "path").select("row", "pos", "path", "next", "ends"), "walk")
+        ended = walking.where("ends").select("row", "pos", F.lit(depth).alias("n"))
+        found = ended if found is None else found.unionByName(ended)
+    if found is None:
+        return rows.sparkSession.createDataFrame([], "row long, pos int, n int")
+    return found.groupBy("row", "pos").agg(F.max("n").alias("n"))
+
+
+def tokenize_with_phrases(df: DataFrame, keep: list[str], phrases: DataFrame, text_col: str = "sentence") -> DataFrame:
     """keep, pos, token: from left to right the longest phrase that begins at a word, else the word. phrases: phrase (lower case, single blanks).
 
-    The n-grams of each row are joined to the phrases (counted: broadcast if
-    few); the greedy choice then needs only the phrases found in the row.
+    The greedy choice needs only the phrases found in a row: of those in order, each
+    that begins after the last chosen one ends.
     """
     words = F.filter(F.transform(F.split(F.lower(F.trim(F.col(text_col))), r"\s+"), clean_token), lambda w: w != "")
-    rows = df.select(*keep, words.alias("__w"))
-    grams = F.flatten(
-        F.transform(F.sequence(F.lit(2), F.lit(longest)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size("__w") - n + 1, F.lit(1))), lambda i: F.array_join(F.slice("__w", i, n), " ")))
-    )
-    many = phrases.where(F.col("phrase").contains(" ")).select("phrase").distinct()
-    # rows whose keys are equal, nulls too, share what was found in them: at most the phrases of their sentences
-    own = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keep)]
-    found = rows.select(*own, F.explode(F.array_distinct(grams)).alias("phrase")).join(many, "phrase").groupBy(*[f"__k{i}" for i in range(len(keep))]).agg(F.collect_set("phrase").alias("__p"))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keep)])
-    rows = rows.join(found, same, "left").withColumn("__p", F.coalesce("__p", F.array().cast("array<string>")))
-    start = F.struct(F.lit(0).alias("skip"), F.array().cast("array<struct<pos:int,token:string>>").alias("out"))
-
-    def step(acc, i):
-        fits = F.filter(F.sequence(F.lit(longest), F.lit(1)), lambda n: (n == 1) | ((i + n <= F.size("__w")) & F.array_contains(F.col("__p"), F.array_join(F.slice("__w", i + 1, n), " "))))
-        n = F.element_at(fits, 1)
-        return F.when(acc["skip"] > 0, F.struct((acc["skip"] - 1).alias("skip"), acc["out"].alias("out"))).otherwise(
-            F.struct((n - 1).alias("skip"), F.concat(acc["out"], F.array(F.struct(i.alias("pos"), F.array_join(F.slice("__w", i + 1, n), " ").alias("token")))).alias("out"))
-        )
-
-    positions = F.when(F.size("__w") > 0, F.sequence(F.lit(0), F.size("__w") - 1)).otherwise(F.array().cast("array<int>"))
-    return rows.select(*keep, F.inline(F.aggregate(positions, start, step, lambda a: a["out"])))
+    rows = materialize(df.select(*keep, words.alias("__w"), F.monotonically_increasing_id().alias("__row")), "words")
+    own = _phrases_at(rows.select(F.col("__row").alias("row"), F.col("__w").alias("w")), phrases).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "n"))).alias("__found"))
+    none = F.array().cast("array<struct<pos:int,n:int>>")
+
+    def choose(acc: Column, x: Column) -> Column:
+        return F.when(x["pos"] >= acc["end"], F.struct((x["pos"] + x["n"]).alias("end"), F.concat(acc["kept"], F.array(x)).alias("kept"))).otherwise(acc)
+
+    chosen = rows.join(own.withColumnRenamed("row", "__row"), "__row", "left")
+    chosen = chosen.select(*keep, "__w", F.aggregate(F.coalesce("__found", none), F.struct(F.lit(0).alias("end"), none.alias("kept")), choose, lambda a: a["kept"]).alias("__kept"))
+    covered = F.flatten(F.transform("__kept", lambda x: F.sequence(x["pos"], x["pos"] + x["n"] - 1)))
+    places = F.when(F.size("__w") > 0, F.sequence(F.lit(0), F.size("__w") - 1)).otherwise(F.array().cast("array<int>"))
+    single = F.transform(F.array_except(places, covered), lambda i: F.struct(i.alias("pos"), F.get("__w", i).alias("token")))
+    phrase = F.transform("__kept", lambda x: F.struct(x["pos"].alias("pos"), F.array_join(F.slice("__w", x["pos"] + 1, x["n"]), " ").alias("token")))
+    return chosen.select(*keep, F.inline(F.concat(single, phrase)))
 
 
 def lookup_vocab(tokens: DataFrame, vocab: DataFrame, lemmas: DataFrame, similar: DataFrame | None = None, threshold: float = SEMANTIC) -> DataFrame:

@@ -83,13 +83,14 @@ QUERIES = {
     ),
     "tx5_content_tokens": (lambda s, d: _tokens(s, d), f"WITH {RAW}, {TOKENS} SELECT conv_id, turn, pos::INT AS pos, token FROM tokens"),
     "tx6_phrases": (
-        lambda s, d: gl.tokenize_with_phrases(_conv(s, d), KEY, _phrases(s, d), "text").groupBy(*KEY).agg(F.count("*").alias("n"), F.md5(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]), "|")).alias("tokens")),
+        lambda s, d: gl.tokenize_with_phrases(_conv(s, d), KEY, _phrases(s, d).unionByName(_openings(s, d)), "text").groupBy(*KEY).agg(F.count("*").alias("n"), F.md5(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]), "|")).alias("tokens")),
         f"""WITH RECURSIVE b AS (SELECT list_filter(list_transform(regexp_split_to_array(lower(trim(text)), '\\s+'), lambda x: {CLEAN.format(x='x')}), lambda x: x <> '') AS w, item_id FROM benchmark),
-        ph AS (SELECT DISTINCT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS phrase FROM b),
         c AS (SELECT conv_id, turn, list_filter(list_transform(regexp_split_to_array(lower(trim(text)), '\\s+'), lambda x: {CLEAN.format(x='x')}), lambda x: x <> '') AS w FROM conversations),
-        g AS (SELECT conv_id, turn, w, i, phrase IS NOT NULL AS two FROM (SELECT conv_id, turn, w, unnest(range(1, len(w) + 1)) AS i FROM c) LEFT JOIN ph ON phrase = w[i] || ' ' || w[i + 1]),
-        walk AS (SELECT conv_id, turn, 1::BIGINT AS i FROM c UNION ALL SELECT g.conv_id, g.turn, g.i + CASE WHEN two THEN 2 ELSE 1 END FROM walk JOIN g ON walk.conv_id = g.conv_id AND walk.turn = g.turn AND walk.i = g.i)
-        SELECT conv_id, turn, count(*) AS n, md5(string_agg(CASE WHEN two THEN w[i] || ' ' || w[i + 1] ELSE w[i] END, '|' ORDER BY i)) AS tokens FROM walk JOIN g USING (conv_id, turn, i) GROUP BY 1, 2""",
+        ph AS (SELECT DISTINCT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS phrase FROM b UNION SELECT array_to_string(w[1:2 + conv_id % 11], ' ') FROM c WHERE turn = 0 AND len(w) >= 2),
+        m AS (SELECT conv_id, turn, i, max(n) AS n FROM (SELECT conv_id, turn, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM (SELECT conv_id, turn, w, unnest(range(1, len(w) + 1)) AS i FROM c), range(2, 13) r(n) WHERE i + n - 1 <= len(w)) JOIN ph USING (phrase) GROUP BY ALL),
+        g AS (SELECT p.*, coalesce(n, 1) AS n FROM (SELECT conv_id, turn, w, unnest(range(1, len(w) + 1)) AS i FROM c) p LEFT JOIN m USING (conv_id, turn, i)),
+        walk AS (SELECT conv_id, turn, 1::BIGINT AS i FROM c UNION ALL SELECT g.conv_id, g.turn, g.i + n FROM walk JOIN g ON walk.conv_id = g.conv_id AND walk.turn = g.turn AND walk.i = g.i)
+        SELECT conv_id, turn, count(*) AS n, md5(string_agg(array_to_string(w[i:i + n - 1], ' '), '|' ORDER BY i)) AS tokens FROM walk JOIN g USING (conv_id, turn, i) GROUP BY 1, 2""",
     ),
     "tx7_lookup_vocab": (lambda s, d: _found(s, d), f"WITH {RAW}, {TOKENS}, {FOUND} SELECT * FROM found"),
     "tx8_extract_glosses": (
@@ -135,3 +136,10 @@ def _phrases(s, d):
     words = F.filter(F.transform(F.split(F.lower(F.trim("text")), r"\s+"), tx.clean_token), lambda w: w != "")
     b = t(s, d, "benchmark").select(words.alias("w")).where("size(w) > 1")
     return b.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))).alias("phrase")).distinct()
+
+
+def _openings(s, d):
+    """The first two to twelve words of each conversation."""
+    words = F.filter(F.transform(F.split(F.lower(F.trim("text")), r"\s+"), tx.clean_token), lambda w: w != "")
+    first = _conv(s, d).where("turn = 0").select(words.alias("w"), (F.col("conv_id") % 11 + 2).cast("int").alias("n")).where("size(w) > 1")
+    return first.select(F.array_join(F.slice("w", F.lit(1), F.col("n")), " ").alias("phrase")).distinct()

@@ -110,3 +110,29 @@ def test_ranks_in_ranges(spark, n):
     assert sorted((r["__rank"], r.prio, r.seq) for r in got.collect()) == [(i, *x) for i, x in enumerate(order[: n if n is not None else 1000])]
     plan = got._jdf.queryExecution().toString()
     assert "TakeOrdered" not in plan and "SinglePartition" not in plan
+
+
+def test_phrases_of_any_length(spark):
+    import random
+
+    from glossworks.operators import gloss
+
+    r = random.Random(5)
+    some = lambda n: " ".join(r.choices("a b c the".split(), k=n))
+    phrases = sorted({some(r.randint(1, 12)) for _ in range(60)} | {"the united states of america today", "a b"})
+    texts = [some(r.randint(0, 40)) for _ in range(120)] + ["The united states of America, today!", "", "  ", " ".join(["a b"] * 3000)]
+
+    def brute(text):
+        words, out, i = [w for w in (x.strip(",!") for x in text.lower().split()) if w], [], 0
+        while i < len(words):
+            n = next((n for n in range(min(12, len(words) - i), 1, -1) if " ".join(words[i : i + n]) in phrases), 1)
+            out.append((i, " ".join(words[i : i + n])))
+            i += n
+        return out
+
+    phrases = set(phrases)
+    rows = [(i // 2, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "row int, sentence string").selectExpr("*", "1 AS w", "2 AS found", "3 AS kept")
+    got = gloss.tokenize_with_phrases(df, ["row", "w", "found"], spark.createDataFrame([(p,) for p in phrases], "phrase string").unionAll(spark.createDataFrame([("x",)], "phrase string")))
+    assert sorted((x.row, x.pos, x.token) for x in got.collect()) == sorted((k, *t) for k, text in rows for t in brute(text))
+    assert gloss.tokenize_with_phrases(df, ["row"], spark.createDataFrame([], "phrase string")).count() == sum(len(t.split()) for _, t in rows)
