@@ -1,11 +1,17 @@
-"""Frame scores and timelines by window functions; one shuffle by video serves all windows of a job."""
+"""Frame scores and timelines by window functions over stretches of a video or job, so that a very long one is spread over tasks."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from glossworks.functions.common import materialize, small
+
+#: Values of the order that a window sees together.
+CHUNK = 4096
 #: Falls and jumps from which a frame is a glitch.
 BODY_DROP, HAND_DROP, HAND_LOW, WRIST_JUMP, BOTH_JUMP = 0.13, 0.50, 0.30, 0.10, 0.25
 ACTIVE, QUIET, HALF_WINDOW = 2.0, 1.5, 5
@@ -13,10 +19,37 @@ SHORT_FRAMES, PAD = 20, 5
 HOLD_FRAMES = 125
 
 
+def _by_null_safe(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """rows joined to other, whose keys are unique; null keys meet."""
+    named = other.withColumnsRenamed({k: f"__{k}" for k in keys})
+    return rows.join(named, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])).drop(*[f"__{k}" for k in keys])
+
+
+def _in_order(df: DataFrame, key: str, order: str) -> DataFrame:
+    """df with i (from 0, in order within key) and n (rows of key). Ranks are made within stretches of CHUNK values of order, to which the
+    rows of the stretches before are added, so that a key of very many rows is spread over tasks."""
+    rows = df.withColumn("stretch", F.floor(F.col(order) / CHUNK))
+    sizes = rows.groupBy(key, "stretch").agg(F.count("*").alias("__n"))
+    all_of, before = Window.partitionBy(key), Window.partitionBy(key).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(key, "stretch", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("before"), F.sum("__n").over(all_of).alias("n"))
+    rank = F.row_number().over(Window.partitionBy(key, "stretch").orderBy(order)) - 1
+    joined = _by_null_safe(rows.drop("i", "n").withColumn("__i", rank), small(materialize(offsets, "stretches")), [key, "stretch"])
+    return joined.withColumn("i", (F.col("before") + F.col("__i")).cast("int")).drop("__i", "before", "stretch")
+
+
+def _sum_before(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """df with before: the sum of value over the earlier rows of its key, within stretches and from the sums of those before them."""
+    rows = df.withColumn("stretch", F.floor(F.col(order) / CHUNK))
+    earlier = Window.partitionBy(key).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(key, "stretch").agg(F.sum(value).alias("__s")).select(key, "stretch", F.sum("__s").over(earlier).alias("carried"))
+    within = F.sum(value).over(Window.partitionBy(key, "stretch").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    joined = _by_null_safe(rows.withColumn("__w", within), small(materialize(sums, "stretches")), [key, "stretch"])
+    return joined.withColumn("before", F.coalesce("carried", F.lit(0)) + F.coalesce("__w", F.lit(0))).drop("stretch", "carried", "__w")
+
+
 def _numbered(frames: DataFrame) -> DataFrame:
-    """frames and i (from 0 in frame order), n."""
-    own = Window.partitionBy("video")
-    return frames.withColumn("i", F.row_number().over(own.orderBy("frame")) - 1).withColumn("n", F.count("*").over(own))
+    """frames with i (from 0) and n."""
+    return _in_order(frames, "video", "frame")
 
 
 def mid_reference(frames: DataFrame) -> DataFrame:
@@ -56,14 +89,27 @@ def tail_cut(flags: DataFrame) -> DataFrame:
 
 
 def repeat_cut(diffs: DataFrame) -> DataFrame:
-    """video, n (frames), cut: where an action begins to repeat, null if none, too early (< 10) or of fewer than 20 frames. diffs: video, i, diff."""
-    own = Window.partitionBy("video")
-    smooth = F.avg("diff").over(own.orderBy("i").rowsBetween(-HALF_WINDOW, HALF_WINDOW - 1))
-    s = diffs.select("video", "i", smooth.alias("s"), F.count("*").over(own).alias("m"))
-    a = s.withColumn("active", F.min(F.when(F.col("s") > ACTIVE, F.col("i"))).over(own))
-    q = a.withColumn("quiet", F.min(F.when((F.col("s") < QUIET) & (F.col("i") > F.col("active")), F.col("i"))).over(own))
-    again = F.min(F.when((F.col("s") > ACTIVE) & (F.col("i") > F.col("quiet")), F.col("i")))
-    per = q.groupBy("video").agg((F.first("m") + 1).alias("n"), F.first("quiet").alias("quiet"), again.alias("again"))
+    """video, n (frames), cut: where an action begins to repeat, null if none, too early (< 10) or of fewer than 20 frames. diffs: video, i, diff.
+
+    Stretches of CHUNK frames overlap by the window of the mean, so a long video is
+    smoothed by many tasks; first hits are aggregates of the smoothed frames.
+    """
+    rows = _in_order(diffs.select("video", F.col("i").alias("at"), "diff"), "video", "at")
+    own, place = F.floor(F.col("i") / CHUNK), F.col("i") % CHUNK
+    halo = F.array(own, F.when(place < HALF_WINDOW, own - 1), F.when(place >= CHUNK - HALF_WINDOW, own + 1))
+    near = rows.select("video", "at", "i", "n", "diff", F.explode(F.array_distinct(F.array_compact(halo))).alias("part"))
+    smooth = F.avg("diff").over(Window.partitionBy("video", "part").orderBy("i").rowsBetween(-HALF_WINDOW, HALF_WINDOW - 1))
+    s = materialize(near.withColumn("s", smooth).where(F.col("part") == own).select("video", F.col("at").alias("i"), F.col("n").alias("m"), "s"), "smoothed")
+
+    def first(known: DataFrame | None, hit: Column, name: str) -> DataFrame:
+        """Of each video what is known and the first frame that hits."""
+        met = s if known is None else _by_null_safe(s, small(known).drop("m"), ["video"])
+        kept = [] if known is None else [c for c in known.columns if c not in ("video", "m")]
+        return materialize(met.groupBy("video").agg(F.max("m").alias("m"), *[F.max(c).alias(c) for c in kept], F.min(F.when(hit, F.col("i"))).alias(name)), name)
+
+    found = first(None, F.col("s") > ACTIVE, "active")
+    found = first(found, (F.col("s") < QUIET) & (F.col("i") > F.col("active")), "quiet")
+    per = first(found, (F.col("s") > ACTIVE) & (F.col("i") > F.col("quiet")), "again").withColumn("n", F.col("m") + 1)
     return per.select("video", "n", F.when(F.col("again").isNotNull() & (F.col("quiet") >= 10) & (F.col("n") >= 20), F.col("quiet")).alias("cut"))
 
 
@@ -76,17 +122,16 @@ def pad_plan(videos: DataFrame, min_frames: int = SHORT_FRAMES, pad: int = PAD)
 
 def gloss_timeline(glosses: DataFrame) -> DataFrame:
     """job, pos, gloss, start, end of matched glosses (duration not null): each begins where the one before ends."""
-    w = Window.partitionBy("job").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    rows = glosses.where("duration IS NOT NULL").withColumn("start", F.coalesce(F.sum("duration").over(w), F.lit(0.0)))
-    return rows.select("job", "pos", "gloss", "start", (F.col("start") + F.col("duration")).alias("end"))
+    rows = _sum_before(glosses.where("duration IS NOT NULL").select("job", "pos", "gloss", "duration"), "job", "pos", "duration")
+    return rows.select("job", "pos", "gloss", F.col("before").alias("start"), (F.col("before") + F.col("duration")).alias("end"))
 
 
 def test_timeline(sentences: DataFrame, fps: float, hold: int = HOLD_FRAMES) -> DataFrame:
     """job, idx, start_time, end_time in seconds: clips one after another, each but the last held. sentences: job, idx, n_frames (0 or null: left out)."""
-    own = Window.partitionBy("job").orderBy("idx")
-    rows = sentences.where("n_frames > 0").withColumn("len", F.col("n_frames") + F.when(F.lead("idx").over(own).isNotNull(), hold).otherwise(0))
-    rows = rows.withColumn("at", F.coalesce(F.sum("len").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return rows.select("job", "idx", F.round(F.col("at") / fps, 3).alias("start_time"), F.round((F.col("at") + F.col("len")) / fps, 3).alias("end_time"))
+    rows = _in_order(sentences.where("n_frames > 0").select("job", "idx", "n_frames"), "job", "idx")
+    rows = rows.withColumn("len", F.col("n_frames") + F.when(F.col("i") < F.col("n") - 1, hold).otherwise(0))
+    rows = _sum_before(rows.select("job", "idx", "len"), "job", "idx", "len")
+    return rows.select("job", "idx", F.round(F.col("before") / fps, 3).alias("start_time"), F.round((F.col("before") + F.col("len")) / fps, 3).alias("end_time"))
 
 
 def composite_frames(sentences: DataFrame, words: DataFrame) -> DataFrame:

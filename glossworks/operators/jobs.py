@@ -50,17 +50,17 @@ def progress_by_batch(log: DataFrame) -> DataFrame:
 UPDATED = ("status", "source_video_path", "generated_video_path", "sentence_text", "created_at", "updated_at")
 
 
-def upsert_jobs(existing: DataFrame, incoming: DataFrame, key: str = "job_id", order: list[str] | None = None, updated: tuple[str, ...] = UPDATED) -> tuple[DataFrame, DataFrame]:
+def upsert_jobs(existing: DataFrame, incoming: DataFrame, order: list[str], key: str = "job_id", updated: tuple[str, ...] = UPDATED) -> tuple[DataFrame, DataFrame]:
     """The table after incoming rows were upserted one after the other by order, and one row: inserted, updated, skipped (rows without an output).
 
     A new job is inserted by its first row; each further row of its id, and every
     row of a known one, is an update and sets the updated columns (created_at
-    too, so that a job that ran again comes first in listings). order: null, the
-    updated columns, so that equal rows may come in any order.
+    too, so that a job that ran again comes first in listings). order: what numbers
+    incoming rows, such as their place in the log.
     """
     usable = incoming.where("generated_video_path IS NOT NULL")
     rest = [c for c in existing.columns if c != key]
-    at = F.struct(*(order or [c for c in rest if c in updated]))
+    at = F.struct(*order)
     own = usable.groupBy(key).agg(F.min_by(F.struct(*rest), at).alias("first"), F.max_by(F.struct(*rest), at).alias("last"), F.count("*").alias("n"))
     both = existing.select(key, F.struct(*rest).alias("a")).join(own, key, "full_outer")
     known, new = F.col("a").isNotNull(), F.col("n").isNotNull()

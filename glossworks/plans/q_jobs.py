@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
+from glossworks.functions.common import shared_dir
 from glossworks.operators import jobs as jb
 from glossworks.operators import similarity as sr
 from glossworks.sources import io
@@ -46,8 +46,7 @@ def _stages(s, d):
 
 
 def _place(s):
-    base = s.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="glossworks-")
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    return f"{shared_dir(s)}/stream-{uuid.uuid4().hex}"
 
 
 def _events(s, d):
@@ -194,7 +193,7 @@ QUERIES = {
         """WITH c AS (SELECT count(*) AS n, count(*) FILTER (o_custkey % 4 <> 0) AS ok FROM orders) SELECT 'stage' AS stage, n AS entered, ok, n - ok AS failed FROM c UNION ALL SELECT 'submit', ok, ok, 0 FROM c UNION ALL SELECT 'fetch', ok, 0, 0 FROM c""",
     ),
     "st1_stream_reviews": (
-        lambda s, d: live.run_once(live.stream_reviews(_events(s, d).select(F.expr("'v' || (user_id * 20 + event_id % 20)").alias("videoId"), F.col("ts").cast("timestamp").alias("addedAt")), late="3650 days").select("videoId"), _place(s)),
+        lambda s, d: live.stream_reviews(_events(s, d).select(F.expr("'v' || (user_id * 20 + event_id % 20)").alias("videoId"), F.col("ts").cast("timestamp").alias("addedAt")), _place(s)).select("videoId"),
         "SELECT DISTINCT 'v' || (user_id * 20 + event_id % 20) AS videoId FROM events",
     ),
     "st2_stream_progress": (lambda s, d: live.run_once(live.stream_progress(_events(s, d).select(F.col("event_type").alias("status"))), _place(s), "complete"), 'SELECT event_type AS status, count(*) AS "count" FROM events GROUP BY 1'),

@@ -17,9 +17,48 @@ def stream_table(spark: SparkSession, path: str, schema, glob: str = "*.parquet"
     return spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", per_trigger).parquet(path)
 
 
-def stream_reviews(rows: DataFrame, key: str = "videoId", time: str = "addedAt", late: str = "7 days") -> DataFrame:
-    """Each id once; the watermark bounds what is remembered."""
-    return rows.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
+#: Parts that ids are dealt to by hash, each a folder of the index.
+PARTS = 256
+
+
+def stream_reviews(rows: DataFrame, path: str, key: str = "videoId", time: str = "addedAt") -> DataFrame:
+    """Each id once and for all, with the earliest row of the micro-batch that first has it; run over all that is there.
+
+    Beside the rows stands an index of the ids seen, in PARTS folders by hash, each
+    file with a Bloom filter. A micro-batch reads the folders that its own ids
+    belong to, and of them what batches before it wrote: one that runs again
+    writes the same again. There is no horizon after which an id comes anew. Null ids are
+    one id.
+    """
+    spark = rows.sparkSession
+    kind = rows.schema[key].dataType.simpleString()
+    part = F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")
+
+    def batch(df: DataFrame, epoch: int) -> None:
+        own = df.sparkSession
+        best = F.min_by(F.struct(*df.columns), F.struct(time, F.xxhash64(*df.columns))).alias("w")
+        new = df.groupBy(F.col(key).alias("__k")).agg(best).select("w.*").withColumn("part", part)
+        new.write.mode("overwrite").parquet(f"{path}/batches/{epoch}")
+        new = own.read.parquet(f"{path}/batches/{epoch}")
+        parts = [r.part for r in new.select("part").distinct().collect()]  # PARTS at most
+        folders = [p for p in (f"{path}/index/part={x}" for x in parts) if epoch and _there(own, p)]
+        if folders:
+            seen = own.read.option("basePath", f"{path}/index").schema(f"`{key}` {kind}, part int, batch long").parquet(*folders).where(F.col("batch") < epoch)
+            same = new[key].eqNullSafe(seen[key]) & (new["part"] == seen["part"])
+            new = new.join(seen, same, "left_anti")
+        new.drop("part").write.mode("overwrite").parquet(f"{path}/rows/batch={epoch}")
+        # what a run of this batch that failed has left in the index goes first
+        fresh = own.read.parquet(f"{path}/rows/batch={epoch}").select(key, part.alias("part"), F.lit(epoch).cast("long").alias("batch"))
+        fresh.repartition("part").write.mode("overwrite").partitionBy("part", "batch").option("partitionOverwriteMode", "dynamic").option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(f"{path}/index")
+        _forget(own, f"{path}/batches/{epoch}")
+
+    rows.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).foreachBatch(batch).start().awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{path}/rows").select(*rows.columns)
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def stream_progress(rows: DataFrame) -> DataFrame:
