@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import chain, groupby, islice
 
 import pandas as pd
@@ -98,6 +99,23 @@ def ranked(df: DataFrame, order: list[str], n: int | None = None) -> DataFrame:
     return rows if n is None else rows.where(F.col("__rank") < n)
 
 
+def by_null_safe(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """rows joined to other, whose keys are unique; null keys meet."""
+    named = other.withColumnsRenamed({k: f"__{k}" for k in keys})
+    return rows.join(named, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])).drop(*[f"__{k}" for k in keys])
+
+
+def sum_before(df: DataFrame, key: str, stretch: Column, order: str, value: str, name: str = "before") -> DataFrame:
+    """df and name: the sum of value over the earlier rows of its key, made within stretches and of the sums of the stretches before them, so
+    that a key of very many rows is spread over tasks. Stretches follow the order."""
+    rows = df.withColumn("__stretch", stretch)
+    earlier = Window.partitionBy(key).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(key, "__stretch").agg(F.sum(value).alias("__s")).select(key, F.col("__stretch").alias("stretch"), F.sum("__s").over(earlier).alias("__carried"))
+    within = F.sum(value).over(Window.partitionBy(key, "__stretch").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    joined = by_null_safe(rows.withColumn("__w", within).withColumnRenamed("__stretch", "stretch"), small(materialize(sums, "stretches")), [key, "stretch"])
+    return joined.withColumn(name, F.coalesce("__carried", F.lit(0)) + F.coalesce("__w", F.lit(0))).drop("stretch", "__carried", "__w")
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 

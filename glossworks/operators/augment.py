@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from math import prod
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from glossworks.functions.common import hash_order, small
+from glossworks.functions.common import hash_order, materialize, ranked, small
 
 TYPES = ("2d_cv", "temporal", "3d_views", "identity")
 
@@ -59,11 +61,20 @@ def augment_totals(summary: DataFrame) -> DataFrame:
 
 
 def param_grid(spark: SparkSession, lists: dict[str, list | DataFrame]) -> DataFrame:
-    """Every combination of the parameters' values: lists, or the distinct values of a table's first column."""
-    df = spark.range(1).drop("id")
+    """Every combination of the parameters' values: lists, or the distinct values of a table's first column.
+
+    A combination is a number in mixed radix whose digits are the values' places, so
+    their count is known before, and numbers are dealt evenly over all tasks.
+    """
+    tables = {k: materialize(v.select(F.col(v.columns[0]).alias(k)).distinct(), "values") for k, v in lists.items() if isinstance(v, DataFrame)}
+    sizes = {k: tables[k].count() if k in tables else len(v) for k, v in lists.items()}
+    df, stride = spark.range(prod(sizes.values())), 1
     for name, values in lists.items():
-        if isinstance(values, DataFrame):
-            df = df.crossJoin(small(values.select(F.col(values.columns[0]).alias(name)).distinct()))
+        digit = F.expr(f"id div {stride}L % {max(1, sizes[name])}L")
+        if name in tables:
+            places = ranked(tables[name], [name]).withColumnRenamed("__rank", "__digit")
+            df = df.withColumn("__digit", digit).join(small(places), "__digit").drop("__digit")
         else:
-            df = df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
-    return df
+            df = df.withColumn(name, F.get(F.array(*[F.lit(v) for v in values]), digit.cast("int")))
+        stride *= max(1, sizes[name])
+    return df.select(*lists)

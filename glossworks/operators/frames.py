@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from glossworks.functions.common import materialize, small
+from glossworks.functions.common import by_null_safe, materialize, small, sum_before
 
 #: Values of the order that a window sees together.
 CHUNK = 4096
@@ -19,12 +17,6 @@ SHORT_FRAMES, PAD = 20, 5
 HOLD_FRAMES = 125
 
 
-def _by_null_safe(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """rows joined to other, whose keys are unique; null keys meet."""
-    named = other.withColumnsRenamed({k: f"__{k}" for k in keys})
-    return rows.join(named, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])).drop(*[f"__{k}" for k in keys])
-
-
 def _in_order(df: DataFrame, key: str, order: str) -> DataFrame:
     """df with i (from 0, in order within key) and n (rows of key). Ranks are made within stretches of CHUNK values of order, to which the
     rows of the stretches before are added, so that a key of very many rows is spread over tasks."""
@@ -33,20 +25,10 @@ def _in_order(df: DataFrame, key: str, order: str) -> DataFrame:
     all_of, before = Window.partitionBy(key), Window.partitionBy(key).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(key, "stretch", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("before"), F.sum("__n").over(all_of).alias("n"))
     rank = F.row_number().over(Window.partitionBy(key, "stretch").orderBy(order)) - 1
-    joined = _by_null_safe(rows.drop("i", "n").withColumn("__i", rank), small(materialize(offsets, "stretches")), [key, "stretch"])
+    joined = by_null_safe(rows.drop("i", "n").withColumn("__i", rank), small(materialize(offsets, "stretches")), [key, "stretch"])
     return joined.withColumn("i", (F.col("before") + F.col("__i")).cast("int")).drop("__i", "before", "stretch")
 
 
-def _sum_before(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """df with before: the sum of value over the earlier rows of its key, within stretches and from the sums of those before them."""
-    rows = df.withColumn("stretch", F.floor(F.col(order) / CHUNK))
-    earlier = Window.partitionBy(key).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    sums = rows.groupBy(key, "stretch").agg(F.sum(value).alias("__s")).select(key, "stretch", F.sum("__s").over(earlier).alias("carried"))
-    within = F.sum(value).over(Window.partitionBy(key, "stretch").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
-    joined = _by_null_safe(rows.withColumn("__w", within), small(materialize(sums, "stretches")), [key, "stretch"])
-    return joined.withColumn("before", F.coalesce("carried", F.lit(0)) + F.coalesce("__w", F.lit(0))).drop("stretch", "carried", "__w")
-
-
 def _numbered(frames: DataFrame) -> DataFrame:
     """frames with i (from 0) and n."""
     return _in_order(frames, "video", "frame")
@@ -103,7 +85,7 @@ def repeat_cut(diffs: DataFrame) -> DataFrame:
 
     def first(known: DataFrame | None, hit: Column, name: str) -> DataFrame:
         """Of each video what is known and the first frame that hits."""
-        met = s if known is None else _by_null_safe(s, small(known).drop("m"), ["video"])
+        met = s if known is None else by_null_safe(s, small(known).drop("m"), ["video"])
         kept = [] if known is None else [c for c in known.columns if c not in ("video", "m")]
         return materialize(met.groupBy("video").agg(F.max("m").alias("m"), *[F.max(c).alias(c) for c in kept], F.min(F.when(hit, F.col("i"))).alias(name)), name)
 
@@ -122,7 +104,7 @@ def pad_plan(videos: DataFrame, min_frames: int = SHORT_FRAMES, pad: int = PAD)
 
 def gloss_timeline(glosses: DataFrame) -> DataFrame:
     """job, pos, gloss, start, end of matched glosses (duration not null): each begins where the one before ends."""
-    rows = _sum_before(glosses.where("duration IS NOT NULL").select("job", "pos", "gloss", "duration"), "job", "pos", "duration")
+    rows = sum_before(glosses.where("duration IS NOT NULL").select("job", "pos", "gloss", "duration"), "job", F.floor(F.col("pos") / CHUNK), "pos", "duration")
     return rows.select("job", "pos", "gloss", F.col("before").alias("start"), (F.col("before") + F.col("duration")).alias("end"))
 
 
@@ -130,7 +112,7 @@ def test_timeline(sentences: DataFrame, fps: float, hold: int = HOLD_FRAMES) ->
     """job, idx, start_time, end_time in seconds: clips one after another, each but the last held. sentences: job, idx, n_frames (0 or null: left out)."""
     rows = _in_order(sentences.where("n_frames > 0").select("job", "idx", "n_frames"), "job", "idx")
     rows = rows.withColumn("len", F.col("n_frames") + F.when(F.col("i") < F.col("n") - 1, hold).otherwise(0))
-    rows = _sum_before(rows.select("job", "idx", "len"), "job", "idx", "len")
+    rows = sum_before(rows.select("job", "idx", "len"), "job", F.floor(F.col("idx") / CHUNK), "idx", "len")
     return rows.select("job", "idx", F.round(F.col("before") / fps, 3).alias("start_time"), F.round((F.col("before") + F.col("len")) / fps, 3).alias("end_time"))
 
 

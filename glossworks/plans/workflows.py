@@ -48,7 +48,7 @@ def reviews_to_training_set(subs: DataFrame, decs: DataFrame, accepted: DataFram
 
 def segments_to_labels(raw: DataFrame, videos: DataFrame, augs: DataFrame, existing: DataFrame, params: DataFrame, gloss_map: DataFrame, poses: DataFrame, prev_vocab: DataFrame) -> dict[str, DataFrame]:
     """Boundaries -> clips -> augmentation plan -> boundaries of derived files -> labels -> merged vocabulary."""
-    points = segments.to_split_points(raw)
+    points = materialize(segments.to_split_points(raw), "points")
     plan, counts = augment.plan_augment(videos, augs, existing)
     derived = plan.select(F.concat("aug_name", F.lit("_"), "stem", F.lit(".mp4")).alias("name"), F.lit("temporal").alias("aug_type"), "aug_name", "stem")
     scaled = segments.scale_segments(points, derived, params)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossworks.functions.common import file_name, stem
+from glossworks.functions.common import file_name, materialize, small, stem, sum_before
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -25,14 +25,47 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(found) and len(found) > 0
 
 
+def json_entries(spark: SparkSession, path: str) -> DataFrame:
+    """file, entry (from 0) and text of the top-level entries of JSON arrays or objects, one of them to a file of any size.
+
+    Files are read in splits, cut at every comma. How many quotes and brackets a
+    piece has tells, with the sums of the pieces before it, whether it begins
+    within a string and how deep; pieces that begin outside strings at the first
+    level begin an entry. Sums are made within splits and carried between them, so
+    that no task sees more than a split, or an entry. A file whose brackets or
+    quotes don't close fails.
+    """
+    raw = spark.read.option("lineSep", ",").text(path)
+    pieces = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("seq"), "value")
+    plain = F.regexp_replace("value", r"(?s)\\.", "")
+    outside = lambda text: F.regexp_replace(text, r"\"[^\"]*(\"|$)", "")
+    count = lambda text, chars: (F.length(text) - F.length(F.translate(text, chars, ""))).cast("long")
+    deeper = lambda text: count(text, "[{") - count(text, "]}")
+    pieces = pieces.withColumns({"quotes": count(plain, '"'), "out": deeper(outside(plain)), "in": deeper(outside(F.concat(F.lit('"'), plain)))})
+    pieces = materialize(pieces, "pieces")
+    pieces = sum_before(pieces, "file", F.col("split"), "seq", "quotes", "quoted").withColumn("within", F.col("quoted") % 2 == 1)
+    pieces = materialize(pieces.withColumn("delta", F.when(F.col("within"), F.col("in")).otherwise(F.col("out"))).drop("in", "out", "quoted"), "pieces")
+    pieces = sum_before(pieces, "file", F.col("split"), "seq", "delta", "depth")
+    pieces = materialize(pieces.withColumn("begins", ((F.col("depth") == 1) & ~F.col("within")).cast("long")), "pieces")
+    whole = pieces.groupBy("file").agg(F.sum("begins").alias("last"), F.sum("delta").alias("open"), (F.sum("quotes") % 2).alias("odd"))
+    whole = whole.withColumn("last", F.when((F.col("open") == 0) & (F.col("odd") == 0), F.col("last")).otherwise(F.raise_error(F.concat("file", F.lit(": brackets or quotes are left open"))).cast("long")))
+    placed = sum_before(pieces, "file", F.col("split"), "seq", "begins").withColumn("entry", F.col("before") + F.col("begins"))
+    texts = placed.groupBy("file", "entry").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("split", "seq", "value"))), lambda x: x["value"]), ",").alias("text"))
+    joined = texts.join(small(materialize(whole.select("file", "last"), "files")), "file")
+    text = F.when(F.col("entry") == 0, F.regexp_replace("text", r"^\s*[\[{]", "")).otherwise(F.col("text"))
+    text = F.when(F.col("entry") == F.col("last"), F.regexp_replace(text, r"[\]}]\s*$", "")).otherwise(text)
+    return joined.select("file", "entry", text.alias("text")).where(F.trim(F.regexp_replace("text", r"\s", "")) != "")
+
+
 def read_json_map(spark: SparkSession, path: str, value_type: str) -> DataFrame:
-    """key, value of the entries of JSON objects, one object to a file."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.explode(F.from_json("value", f"map<string,{value_type}>")).alias("key", "value"))
+    """key, value of the entries of JSON objects, one object to a file. A malformed entry or file fails."""
+    entries = json_entries(spark, path).select(F.from_json(F.concat(F.lit("{"), "text", F.lit("}")), f"map<string,{value_type}>", {"mode": "FAILFAST"}).alias("m"))
+    return entries.select(F.explode("m").alias("key", "value"))
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).json(path, multiLine=True)
+    """The rows of JSON arrays, one array to a file. A malformed entry or file fails."""
+    return json_entries(spark, path).select(F.from_json("text", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:

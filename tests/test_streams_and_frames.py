@@ -85,3 +85,55 @@ def test_upserts_follow_the_given_order(spark):
     assert merged.first().status == "completed"
     with pytest.raises(TypeError):
         jobs.upsert_jobs(new, new)
+
+
+def _json_like(r, depth=0):
+    kind = r.randrange(4 if depth < 3 else 2)
+    if kind == 0:
+        return r.choice([1, -2.5, None, True, 10**12])
+    if kind == 1:
+        return "".join(r.choices('ab,"\\[]{}:é \n', k=r.randint(0, 12)))
+    if kind == 2:
+        return [_json_like(r, depth + 1) for _ in range(r.randint(0, 3))]
+    return {f"k{i},": _json_like(r, depth + 1) for i in range(r.randint(0, 3))}
+
+
+@pytest.mark.parametrize("split", ["64", "128m"])
+def test_json_files_are_read_in_splits(spark, tmp_path, split):
+    import json
+
+    from glossworks.sources import io
+
+    r = random.Random(3)
+    maps = [{f"key {i} {r.random()}": json.dumps(_json_like(r)) for i in range(n)} for n in (0, 1, 60, 25)]
+    arrays = [[{"id": i, "text": json.dumps(_json_like(r)), "more": {"a": [i, i]}} for i in range(n)] for n in (0, 1, 70)]
+    for kind, files in (("maps", maps), ("arrays", arrays)):
+        (tmp_path / kind).mkdir()
+        for i, data in enumerate(files):
+            (tmp_path / kind / f"{i}.json").write_text(json.dumps(data, indent=2 if i % 2 else None, ensure_ascii=bool(i % 2)), newline="")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        assert dict(map(tuple, io.read_json_map(spark, f"{tmp_path}/maps", "string").collect())) == {k: v for m in maps for k, v in m.items()}
+        got = io.read_json_array(spark, f"{tmp_path}/arrays", "id int, text string, more struct<a: array<int>>").collect()
+        assert sorted((x.id, x.text, x.more.a) for x in got) == sorted((x["id"], x["text"], x["more"]["a"]) for a in arrays for x in a)
+        (tmp_path / "cut").mkdir()
+        (tmp_path / "cut" / "x.json").write_text(json.dumps(arrays[2])[:-9])
+        with pytest.raises(Exception, match="left open"):
+            io.read_json_array(spark, f"{tmp_path}/cut", "id int").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_grid_in_mixed_radix(spark):
+    import itertools
+
+    from glossworks.operators import augment
+
+    table = spark.createDataFrame([("x",), ("y",), (None,), ("x",)], "s string")
+    got = augment.param_grid(spark, {"a": [1, 2, 3], "b": table, "c": [0.5, 1.5]})
+    assert got.columns == ["a", "b", "c"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(itertools.product([1, 2, 3], ["x", "y", None], [0.5, 1.5]), key=str)
+    assert augment.param_grid(spark, {"a": [1], "b": table.where("false")}).count() == 0
+    big = augment.param_grid(spark, {k: list(range(100)) for k in "abcd"})
+    assert big.rdd.getNumPartitions() > 1 and big.where("a = 7 AND b = 3 AND c = 99 AND d = 0").count() == 1
