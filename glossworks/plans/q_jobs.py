@@ -10,7 +10,7 @@ from glossworks.functions.common import shared_dir
 from glossworks.operators import jobs as jb
 from glossworks.operators import similarity as sr
 from glossworks.sources import io
-from glossworks.streaming import live
+from glossworks.streaming import live, reports
 
 from .tables import table as t
 
@@ -88,6 +88,17 @@ def _recognize(s, d):
     return sr.nearest_prototype(w, protos).withColumn("score", F.round("score", 6))
 
 
+def _summary_live(s, d):
+    """Submissions and decisions as one stream of events."""
+    video = F.expr("'v' || (user_id * 20 + event_id % 20)")
+    rows = _events(s, d).where("event_type IN ('view', 'click', 'purchase', 'error')").select(
+        video.alias("videoId"), (F.col("user_id") % 50).alias("sentenceId"), F.expr("'b' || user_id % 3 || '_x.mp4'").alias("videoFileName"), F.when(F.col("event_type") == "view", "submission").otherwise("generated").alias("source"),
+        F.col("event_id").alias("seq"), F.when(F.col("event_type") == "purchase", "approved").otherwise("rejected").alias("decision"), F.when(F.col("event_type").isin("view", "click"), "submission").otherwise("decision").alias("log"),
+    )
+    path = _place(s)
+    return reports.summary(s, path, reports.stream_reports(rows, path), "b1")
+
+
 def _jsonl(s, d):
     place = _place(s)
     lines = t(s, d, "events").select(F.when(F.col("event_id") % 10 == 0, "not json").when(F.col("event_id") % 10 == 1, "  ").otherwise(F.to_json(F.struct("event_id", "event_type"))).alias("value"))
@@ -197,6 +208,11 @@ QUERIES = {
         "SELECT DISTINCT 'v' || (user_id * 20 + event_id % 20) AS videoId FROM events",
     ),
     "st2_stream_progress": (lambda s, d: live.run_once(live.stream_progress(_events(s, d).select(F.col("event_type").alias("status"))), _place(s), "complete"), 'SELECT event_type AS status, count(*) AS "count" FROM events GROUP BY 1'),
+    "st2_stream_summary": (
+        _summary_live,
+        """WITH l AS (SELECT videoId, max_by(decision, seq) AS decision FROM {decisions} GROUP BY 1), s AS (SELECT coalesce(l.decision, 'pending') AS status FROM {submissions} s LEFT JOIN l USING (videoId) WHERE s.source = 'submission' AND starts_with(videoFileName, 'b1_'))
+        SELECT count(*) AS total_submissions, count(*) FILTER (status = 'approved') AS approved, count(*) FILTER (status = 'rejected') AS rejected, count(*) FILTER (status = 'pending') AS pending FROM s""",
+    ),
     "st3_stream_windows": (lambda s, d: _flat(live.stream_windows(_frames(s, d, _events(s, d)), _place(s))), f"WITH {WINDOWS}"),
     "st3_session_windows": (lambda s, d: _flat(live.session_windows(_frames(s, d, t(s, d, "events")))), f"WITH {WINDOWS}"),
     "st3_recognize": (

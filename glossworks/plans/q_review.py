@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from glossworks.functions.common import shared_dir
 from glossworks.operators import review as rv
+from glossworks.streaming import reports
 
 from .tables import table as t
 
@@ -20,6 +24,19 @@ def _words(s, d):
     return t(s, d, "sentence_glosses").select(F.lower("gloss").alias("text"))
 
 
+PROGRESS = f"""WITH {LATEST}, {STATUS}, n AS (SELECT sentenceId, count(*) AS recorded, count(*) FILTER (status = 'approved') AS approved, count(*) FILTER (status = 'rejected') AS rejected, count(*) FILTER (status = 'pending') AS pending FROM status GROUP BY 1)
+        SELECT id, text, coalesce(recorded, 0) AS recorded, coalesce(approved, 0) AS approved, coalesce(rejected, 0) AS rejected, coalesce(pending, 0) AS pending FROM {{batches}} b LEFT JOIN n ON b.id = n.sentenceId WHERE batch = 'b1'"""
+
+
+def _progress_by_increments(s, d, steps=3):
+    """The logs in steps whose rows come out of order."""
+    path, (subs, decs) = f"{shared_dir(s)}/reports-{uuid.uuid4().hex}", _sub(s, d)
+    for n in range(steps):
+        now = F.col("seq") % steps == steps - 1 - n
+        reports.advance(s, path, n, subs.where(now), decs.where(now))
+    return reports.sentence_progress(s, path, steps - 1, t(s, d, "batches").where("batch = 'b1'"))
+
+
 QUERIES = {
     "rv1_review_status": (
         lambda s, d: rv.review_status(*_sub(s, d)).select("videoId", "sentenceId", "videoFileName", "status", "seq"),
@@ -31,9 +48,9 @@ QUERIES = {
     ),
     "rv2_sentence_progress": (
         lambda s, d: rv.sentence_progress(t(s, d, "batches").where("batch = 'b1'"), *_sub(s, d)),
-        f"""WITH {LATEST}, {STATUS}, n AS (SELECT sentenceId, count(*) AS recorded, count(*) FILTER (status = 'approved') AS approved, count(*) FILTER (status = 'rejected') AS rejected, count(*) FILTER (status = 'pending') AS pending FROM status GROUP BY 1)
-        SELECT id, text, coalesce(recorded, 0) AS recorded, coalesce(approved, 0) AS approved, coalesce(rejected, 0) AS rejected, coalesce(pending, 0) AS pending FROM {{batches}} b LEFT JOIN n ON b.id = n.sentenceId WHERE batch = 'b1'""",
+        PROGRESS,
     ),
+    "rv2_incremental_progress": (_progress_by_increments, PROGRESS),
     "rv3_batch_progress": (
         lambda s, d: rv.batch_progress(t(s, d, "batches"), *_sub(s, d)),
         """WITH own AS (SELECT * FROM {submissions} WHERE source = 'submission' AND sentenceId IN (SELECT id FROM {batches})),
