@@ -1,5 +1,6 @@
 """What must not grow with more than the input: plans, tasks and bytes."""
 
+from glossworks.functions import common
 from glossworks.operators import training, variants
 
 
@@ -27,3 +28,15 @@ def test_fixed_points_need_no_join(spark):
     found = variants.fixed_points(_entries(spark))
     assert "Join" not in _plan(found) and found.first() == (50 * 33, 0)
     assert variants.fixed_points(_entries(spark).limit(0)).first() == (0, 0)
+
+
+def test_of_stems_that_begin_alike_only_the_longest_of_each_kind_comes(spark, monkeypatch):
+    """sentence_1234 is begun by sentence_1, sentence_12 and so on: a name has one of them, whatever their number, and a text of all names is dealt."""
+    for chars, names in ((10**6, 200_000), (7, 40)):
+        monkeypatch.setattr(common, "SHARD_CHARS", chars)
+        monkeypatch.setattr(common, "SHARD_NAMES", names)
+        stems = spark.createDataFrame([(f"sentence_{i}", 1) for i in range(1, 300)] + [("sentence", 2), ("xy", 1)], "stem string, kinds int")
+        files = spark.createDataFrame([(f"a_sentence_{i}_sentence",) for i in range(1, 300)], "name string")
+        found = sorted(tuple(r) for r in common.contained(files, stems).collect())
+        want = [(f"a_sentence_{i}_sentence", s) for i in range(1, 300) for s in (f"sentence_{i}", "sentence")]
+        assert found == sorted(want)
