@@ -37,6 +37,14 @@ DENSE = 64
 BLOCK = 1 << 16
 
 
+def majority(hashes: np.ndarray) -> int:
+    """Bits set in over half of the 64-bit hashes, as a signed number."""
+    ones = np.zeros(64, dtype=np.int64)
+    for start in range(0, len(hashes), BLOCK):
+        ones += np.unpackbits(hashes[start : start + BLOCK].astype(">i8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits((2 * ones > len(hashes)).astype(np.uint8)).view(">i8")[0])
+
+
 def fingerprint(text: str | None, shingle: int = 3) -> int:
     """Bits set in over half of the XXH64 values of the word shingles, as a signed 64-bit number."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -235,12 +243,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """docs with one row of each group: the one of the least id (of several, that of the least key; a null id comes last).
 
     Groups are linked over fingerprints within the threshold; with least, over texts
-    that share that part of their shingles. Sets of similarity 0.8 differ in about ten
-    bits of 64, where no covering code finds every pair with few copies, so that these
-    groups come from the prefix join of similar.py.
+    that share that part of their shingles. Then what the anchors bring together is
+    held against the whole sets, and as sets of similarity 0.8 differ in about ten
+    bits of 64, where no covering code finds every pair with few copies, the prefix join of
+    similar.py goes on from these groups and finds the other links.
     """
     if least is not None:
-        return similar.keep_one(docs, id_col, text_col, shingle, least)
+        return similar.keep_one(docs, id_col, text_col, shingle, least, near=links)
     found = near_duplicates(docs, id_col, text_col, shingle)
     first = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("key").alias("k"))
     stay = found.groupBy("root").agg(F.min(first).alias("x")).select(F.col("x.k").alias("__key"))

@@ -15,7 +15,7 @@ the same texts meet count as one, the first of them in the order.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -122,12 +122,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.where(shared >= least * (F.size("sa") + F.size("sb") - shared) - 1e-9).select("a", "b")
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
+def _fingerprinted(found: np.ndarray) -> int:
+    from .simhash import majority  # which names this module
+
+    return majority(found)
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: float = LEAST, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """id_col, key (row_key) and root (of its group) of each row; groups are linked over pairs of similarity least or more.
 
     Words are what white space separates, ASCII letters in lower case. Null and
     blank texts have no shingle and are one group. Rows that repeat are all
-    returned; an empty table gives an empty table.
+    returned; an empty table gives an empty table. near: gives links (a, b) among SimHash fingerprints (fp) of the
+    sets; those texts are held against each other first, which changes no group.
     """
     common, often = _common(docs, text_col, shingle)
 
@@ -142,7 +149,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for frame in frames:
             sets = [shingles(t, shingle) for t in frame["text"]]
             sids = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64)
-            yield frame[["id", "key", "at"]].assign(sid=sids, n=np.array([len(s) for s in sets], dtype=np.int32), odd=[parities(s) for s in sets], first=[first(s) for s in sets])
+            yield frame[["id", "key", "at"]].assign(sid=sids, n=np.array([len(s) for s in sets], dtype=np.int32), odd=[parities(s) for s in sets], first=[first(s) for s in sets], fp=[_fingerprinted(s) if near else 0 for s in sets])
 
     def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -151,7 +158,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     placed_at = texts.withColumn("at", F.monotonically_increasing_id())
-    rows = materialize(placed_at.mapInPandas(read, f"id {kind}, key long, at long, sid long, n int, odd array<long>, first array<long>"), "similar-rows")
+    rows = materialize(placed_at.mapInPandas(read, f"id {kind}, key long, at long, sid long, n int, odd array<long>, first array<long>, fp long"), "similar-rows")
 
     # one row of each distinct set meets the others
     heads = rows.groupBy("sid").agg(F.min("at").alias("at"))
@@ -185,8 +192,19 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         sets = texts.join(small(asked), "key").dropDuplicates(["sid"]).select("sid", "text").mapInPandas(whole, "sid long, s array<long>")
         return materialize(_verified(some, materialize(sets, "similar-sets"), least), "similar-links")
 
-    # each text against one of those that it meets, twice with another one
     links, roots = None, None
+    if near is not None:
+        # texts of one fingerprint against one of them, and these as the anchors link them
+        alike = materialize(firsts.groupBy("fp").agg(F.min("sid").alias("sid")), "similar-fps")
+        same = firsts.select("fp", F.col("sid").alias("b")).join(small(alike), "fp").select(F.col("sid").alias("a"), "b")
+        pairs = near(alike.select("fp")).withColumnsRenamed({"a": "x", "b": "y"})
+        for fp, c in (("x", "a"), ("y", "b")):
+            pairs = pairs.join(small(alike.select(F.col("fp").alias(fp), F.col("sid").alias(c))), fp)
+        pairs = same.unionByName(pairs.select("a", "b")).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links = linked(_possible(pairs, marks, least))
+        roots = materialize(components(links), "similar-roots")
+
+    # each text against one of those that it meets, twice with another one
     for turn in range(TURNS):
         at = met.withColumn("root", F.col("sid")) if roots is None else met.join(small(roots.withColumnRenamed("node", "sid")), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         lead = F.min(F.struct(F.xxhash64(F.lit(turn), "sid").alias("o"), "sid", "n", "root"))
@@ -215,9 +233,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.select("id", "key", "sid").join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(F.col("id").alias(id_col), "key", F.coalesce("root", "sid").alias("root"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: float = LEAST, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """docs with one row of each group: the one of the least id (of several, that of the least key; a null id comes last)."""
-    found = near_copies(docs, id_col, text_col, shingle, least)
+    found = near_copies(docs, id_col, text_col, shingle, least, near)
     order = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("key").alias("k"))
     stay = found.groupBy("root").agg(F.min(order).alias("x")).select(F.col("x.k").alias("__key"))
     rows = docs.withColumn("__key", row_key(id_col, text_col)).join(stay, "__key", "left_semi")
