@@ -116,16 +116,33 @@ def gloss_descriptions(matches: DataFrame, dictionary: DataFrame) -> DataFrame:
     return rows.groupBy("gloss").agg(F.min_by("description", F.struct("seq", "description")).alias("description"))
 
 
+def count_words(tokens: DataFrame) -> DataFrame:
+    """token, count, seq (the least), source_file (the files joined by "; ") of each distinct word. tokens: token, file, seq."""
+    return tokens.groupBy("token").agg(F.count("*").alias("count"), F.min("seq").alias("seq"), F.array_join(F.sort_array(F.collect_set("file")), "; ").alias("source_file"))
+
+
 def match_report(tokens: DataFrame, found: DataFrame, dictionary: DataFrame, threshold: float = SEMANTIC) -> DataFrame:
     """A row for each distinct word over all files: status, match, count, the first sentence (in ASCII marks), the files joined by "; ".
 
     tokens: token, file, sentence, seq (orders files and sentences); found: as of lookup_vocab; dictionary: word, ref, gloss. A word
-    found with less confidence than the threshold is unmatched and keeps the confidence.
+    found with less confidence than the threshold is unmatched and keeps the confidence. Each word carries its sentence here; of many
+    tokens use count_words and report_words.
+    """
+    # seq and sentence together are the order and the sentence's key
+    placed = tokens.withColumn("seq", F.struct("seq", "sentence"))
+    words = count_words(placed)
+    return report_words(words, words.select("seq", F.col("seq.sentence").alias("sentence")).distinct(), found, dictionary, threshold)
+
+
+def report_words(words: DataFrame, sentences: DataFrame, found: DataFrame, dictionary: DataFrame, threshold: float = SEMANTIC) -> DataFrame:
+    """match_report() of words (as of count_words) whose sentences stand apart: they meet the words last, so that none is sent with every word.
+
+    sentences: seq, sentence; of several of one seq the least counts.
     """
     found = found.withColumns({c: F.when(F.col("confidence") >= threshold, F.col(c)) for c in ("match_type", "matched_to")})
-    words = tokens.groupBy("token").agg(F.count("*").alias("count"), F.min_by("sentence", F.struct("seq", "sentence")).alias("source_sentence"), F.array_join(F.sort_array(F.collect_set("file")), "; ").alias("source_file"))
     entries = dictionary.groupBy(F.lower("word").alias("matched_to")).agg(F.min_by(F.struct("ref", "gloss"), F.struct("ref", "gloss")).alias("e"))
-    joined = words.join(found, "token", "left").join(entries, "matched_to", "left")
+    first = sentences.groupBy("seq").agg(F.min("sentence").alias("source_sentence"))
+    joined = words.join(found, "token", "left").join(entries, "matched_to", "left").join(first, "seq", "left")
     return joined.select(
         F.col("token").alias("word"), F.when(F.col("matched_to").isNotNull(), "matched").otherwise("unmatched").alias("status"), F.coalesce("match_type", F.lit("")).alias("match_type"), F.round("confidence", 2).alias("confidence"),
         F.coalesce("matched_to", F.lit("")).alias("matched_to"), F.coalesce("e.ref", F.lit("")).alias("ref"), F.coalesce("e.gloss", F.lit("")).alias("gloss"), "count", normalize_unicode(F.trim("source_sentence")).alias("source_sentence"), "source_file",
