@@ -37,6 +37,8 @@ DENSE, BLOCK = 64, 512
 TURNS = 2
 #: Bits of a set's parities for each of its shingles, at least.
 PARITY = 2
+#: Bytes, as small() measures them, up to which a side is broadcast here: the driver holds several of them in turn.
+HELD = 4 << 20
 
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -160,21 +162,30 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed_at = texts.withColumn("at", F.monotonically_increasing_id())
     rows = materialize(placed_at.mapInPandas(read, f"id {kind}, key long, at long, sid long, n int, odd array<long>, first array<long>, fp long"), "similar-rows")
 
+    def reaches(m: str) -> Column:
+        """Whether what a set of n has from its p-th shingle on is enough for a set of m or more; else it has no link that this shingle is the first to show."""
+        return F.col("n") + F.col(m) <= (1 + least) / least * (F.col("n") - F.col("p")) + 1e-6
+
     # one row of each distinct set meets the others
     heads = rows.groupBy("sid").agg(F.min("at").alias("at"))
-    firsts = rows.join(small(heads), ["sid", "at"], "left_semi")
+    firsts = materialize(rows.join(small(heads, HELD), ["sid", "at"], "left_semi").select("sid", "n", "odd", "first", "fp"), "similar-firsts")
     met = firsts.select("sid", "n", F.posexplode("first").alias("p", "h"))
     # what a shingle's texts have in common is aggregated, so that one of very many texts is no task of its own; first the many shingles of
     # one text go, then one of those with the same texts is enough
     shared = materialize(met.groupBy("h").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a < b").select("h"), "similar-shared")
-    met = materialize(met.join(small(shared), "h", "left_semi"), "similar-met")
-    texts_of = met.groupBy("h").agg(F.min(F.struct("sid", "p"))["p"].alias("p"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("sid")).alias("x"))
-    one = materialize(texts_of.groupBy("c", "x").agg(F.min_by("h", F.struct("p", "h")).alias("h")).select("h"), "similar-one")
-    met = materialize(met.join(small(one), "h", "left_semi").select("h", "sid", "n", "p"), "similar-met")
-
-    def beside(rows: DataFrame, **sums: Column) -> DataFrame:
-        """rows and the aggregates of their shingle, joined to them."""
-        return rows.join(small(materialize(rows.groupBy("h").agg(*[c.alias(k) for k, c in sums.items()]), "similar-sums")), "h")
+    met = materialize(met.join(small(shared, HELD), "h", "left_semi"), "similar-met")
+    texts_of = met.groupBy("h").agg(F.min("n").alias("low"), F.min(F.struct("sid", "p"))["p"].alias("p"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("sid")).alias("x"))
+    one = materialize(texts_of.groupBy("c", "x").agg(F.min_by(F.struct("h", "low"), F.struct("p", "h")).alias("x1")).select("x1.*"), "similar-one")
+    met = materialize(met.join(small(one, HELD), "h").where(reaches("low")).select("h", "sid", "n", "p"), "similar-met")
+
+    def apart(at: DataFrame, roots: DataFrame | None, **sums: Column) -> DataFrame:
+        """Of the rows at shingles those that may still have a link to another group there, with roots as they are now and the
+        aggregates of their shingle. Each turn reads only what the one before it left."""
+        if roots is not None:
+            now = roots.select(F.col("node").alias("root"), F.col("root").alias("now"))
+            at = materialize(at.join(small(now, HELD), "root", "left").select("h", "sid", "n", "p", F.coalesce("now", "root").alias("root")), "similar-rooted")
+        found = at.groupBy("h").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.min("n").alias("low"), *[c.alias(k) for k, c in sums.items()]).where("least < most")
+        return materialize(at.join(small(materialize(found.drop("least", "most"), "similar-sums"), HELD), "h").where(reaches("low")).drop("low"), "similar-apart")
 
     def sized(n: str, m: str) -> Column:
         return F.least(n, m) >= least * F.greatest(n, m) - 1e-9
@@ -183,53 +194,54 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         """Whether sets of n and m whose first common shingle is their p-th and q-th can have the similarity."""
         return sized(n, m) & (F.least(F.col(n) - F.col(p), F.col(m) - F.col(q)) >= least / (1 + least) * (F.col(n) + F.col(m)) - 1e-9)
 
-    marks = small(materialize(firsts.select("sid", "n", "odd"), "similar-marks"))
+    marks = firsts.select("sid", "n", "odd")
 
     def linked(pairs: DataFrame) -> DataFrame:
         some = materialize(pairs, "similar-pairs")
         asked = some.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-        asked = materialize(rows.join(small(materialize(asked, "similar-asked")), "sid").groupBy("sid").agg(F.min("key").alias("key")), "similar-asked")
-        sets = texts.join(small(asked), "key").dropDuplicates(["sid"]).select("sid", "text").mapInPandas(whole, "sid long, s array<long>")
+        asked = materialize(rows.select("sid", "key").join(asked, "sid").groupBy("sid").agg(F.min("key").alias("key")), "similar-asked")
+        sets = texts.join(small(asked, HELD), "key").dropDuplicates(["sid"]).select("sid", "text").mapInPandas(whole, "sid long, s array<long>")
         return materialize(_verified(some, materialize(sets, "similar-sets"), least), "similar-links")
 
-    links, roots = None, None
+    def grown(roots: DataFrame | None, found: DataFrame) -> DataFrame:
+        """The groups when these links are added to them; a group so far stands as its star."""
+        stars = found if roots is None else roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(found)
+        return materialize(components(stars), "similar-roots")
+
+    roots = None
     if near is not None:
         # texts of one fingerprint against one of them, and these as the anchors link them
         alike = materialize(firsts.groupBy("fp").agg(F.min("sid").alias("sid")), "similar-fps")
-        same = firsts.select("fp", F.col("sid").alias("b")).join(small(alike), "fp").select(F.col("sid").alias("a"), "b")
+        same = firsts.select("fp", F.col("sid").alias("b")).join(small(alike, HELD), "fp").select(F.col("sid").alias("a"), "b")
         pairs = near(alike.select("fp")).withColumnsRenamed({"a": "x", "b": "y"})
         for fp, c in (("x", "a"), ("y", "b")):
-            pairs = pairs.join(small(alike.select(F.col("fp").alias(fp), F.col("sid").alias(c))), fp)
+            pairs = pairs.join(small(alike.select(F.col("fp").alias(fp), F.col("sid").alias(c)), HELD), fp)
         pairs = same.unionByName(pairs.select("a", "b")).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = linked(_possible(pairs, marks, least))
-        roots = materialize(components(links), "similar-roots")
+        roots = grown(roots, linked(_possible(pairs, marks, least)))
 
     # each text against one of those that it meets, twice with another one
+    at = met.withColumn("root", F.col("sid"))
     for turn in range(TURNS):
-        at = met.withColumn("root", F.col("sid")) if roots is None else met.join(small(roots.withColumnRenamed("node", "sid")), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         lead = F.min(F.struct(F.xxhash64(F.lit(turn), "sid").alias("o"), "sid", "n", "root"))
-        pairs = beside(at, lead=lead).where((F.col("root") != F.col("lead.root")) & sized("n", "lead.n"))
+        at = apart(at, roots, lead=lead)
+        pairs = at.where((F.col("root") != F.col("lead.root")) & sized("n", "lead.n"))
         pairs = pairs.select(F.least("sid", "lead.sid").alias("a"), F.greatest("sid", "lead.sid").alias("b")).distinct()
-        found = linked(_possible(pairs, marks, least))
-        links = found if links is None else materialize(links.unionByName(found), "similar-links")
-        roots = materialize(components(links), "similar-roots")
+        roots = grown(roots, linked(_possible(pairs, marks, least)))
 
     # shingles at which several groups meet
-    apart = met.join(small(roots.withColumnRenamed("node", "sid")), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    apart = beside(apart, least=F.min("root"), most=F.max("root"), many=F.count("*")).where("least < most")
-    apart = materialize(apart.select("h", "sid", "n", "p", "root", "many"), "similar-apart")
-    few = apart.where(F.col("many") <= DENSE)
+    left = apart(at.select("h", "sid", "n", "p", "root"), roots, many=F.count("*"))
+    few = left.where(F.col("many") <= DENSE)
     other = few.select("h", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("p").alias("q"), F.col("root").alias("rb"))
     across = few.join(other, "h").where((F.col("sid") < F.col("b")) & (F.col("root") != F.col("rb")) & may("n", "p", "m", "q")).select(F.col("sid").alias("a"), "b").distinct()
     # many meet: each pair of blocks is a group of its own
     blocks = F.ceil(F.col("many") / BLOCK).cast("int")
-    dense = apart.where(F.col("many") > DENSE).select("h", "sid", "n", "p", "root", blocks.alias("blocks"), F.pmod(F.xxhash64("sid"), blocks).cast("int").alias("block"))
+    dense = left.where(F.col("many") > DENSE).select("h", "sid", "n", "p", "root", blocks.alias("blocks"), F.pmod(F.xxhash64("sid"), blocks).cast("int").alias("block"))
     dense = dense.join(firsts.select("sid", "odd", "first"), "sid").withColumn("before", F.slice("first", F.lit(1), F.col("p")))
     dense = dense.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dense = dense.select("h", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "sid", "n", "p", "root", "odd", "before")
     within = dense.groupBy("h", "i", "j").applyInPandas(lambda frame: _dense(frame, least), "a long, b long").where("a <> b")
     across = _possible(across, marks, least).unionByName(within).distinct()
-    roots = materialize(components(links.unionByName(linked(across))), "similar-roots")
+    roots = grown(roots, linked(across))
     return rows.select("id", "key", "sid").join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(F.col("id").alias(id_col), "key", F.coalesce("root", "sid").alias("root"))
 
 

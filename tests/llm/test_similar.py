@@ -55,3 +55,26 @@ def test_the_pipeline_s_stage_drops_a_near_copy(spark):
     rows = [(1, base, "en", "a", 0), (2, edited(base, 3, 1), "en", "a", 0), (3, prose("else", 200), "en", "a", 0)]
     docs = spark.createDataFrame(rows, SCHEMA)
     assert sorted(r.doc_id for r in corpus_pipeline.distinct_documents(spark, docs, "").collect()) == [1, 3]
+
+
+def test_turns_read_what_is_left_and_broadcasts_are_bounded(spark, monkeypatch):
+    limits, rows, small, materialize = [], {}, similar.small, similar.materialize
+
+    def held(df, limit=None):
+        limits.append(limit)
+        return small(df, limit)
+
+    def written(df, label):
+        out = materialize(df, label)
+        rows.setdefault(label, []).append(out)
+        return out
+
+    monkeypatch.setattr(similar, "small", held)
+    monkeypatch.setattr(similar, "materialize", written)
+    some = texts()[:60]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(some)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in similar.keep_one(docs).collect()) == sorted(set(groups(some)))
+    assert limits and all(x is not None and x <= 4 << 20 for x in limits)  # whatever the input, the driver holds no more at once
+    rooted = [x.count() for x in rows["similar-rooted"]]
+    assert len(rooted) <= similar.TURNS + 1  # once a turn
+    assert rooted[-1] < rows["similar-met"][-1].count()  # settled shingles are not read again
